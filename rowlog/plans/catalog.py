@@ -1,0 +1,42 @@
+"""Registered queries: name -> (spark, sf_dir) -> DataFrame.
+
+Each query builds a fixture log from the driver tables, converts it and runs
+one operator family on the result. Column names match `oracle.queries`.
+"""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rowlog.functions.time import utc_millis
+from rowlog.plans.convert import build_changes
+from rowlog.schema import CHANGE_COLUMNS
+from rowlog.sources import fixtures as fx
+
+LOGS = {
+    "orders": fx.orders_log,
+    "customer": fx.customer_log,
+    "lineitem": fx.lineitem_log,
+    "control": fx.control_stream,
+    "shop": fx.shop_log,
+}
+
+
+def changes_of(spark: SparkSession, sf: str, log: str, **kw) -> DataFrame:
+    if log == "control":
+        kw.setdefault("missing", "null")
+    return build_changes(LOGS[log](spark, sf), **kw)
+
+
+def _flat(ch: DataFrame) -> DataFrame:
+    cols = [c for c in CHANGE_COLUMNS if c != "timestamp_string"]
+    return ch.select(*cols, utc_millis("timestamp").alias("timestamp_utc"), "row_idx")
+
+
+def row_changes(spark, sf):
+    return _flat(changes_of(spark, sf, "orders"))
+
+
+QUERIES = {
+    "row_changes": row_changes,
+}
