@@ -316,18 +316,19 @@ SELECT binarylog, position, txn_position AS gtid_position, txn_gtid AS gtid,
   {gtid_uuid('txn_gtid')} AS gtid_uuid, {gtid_txn('txn_gtid')} AS gtid_txn,
   server_id, timestamp, event_type AS event, db || '.' || tbl AS "table",
   last_query AS query, fp AS query_fingerprint, {"sha256(fp)" if fingerprints else "NULL::VARCHAR"} AS query_hash,
-  CASE WHEN event_type = 'EXT_DELETE_ROWS' THEN {image('qn', 'b')} ELSE {image('qn', 'a')} END AS data,
-  CASE WHEN event_type IN ('EXT_UPDATE_ROWS', 'EXT_DELETE_ROWS') THEN {image('qn', 'b')} END AS old,
-  CASE WHEN event_type = 'EXT_UPDATE_ROWS' THEN '{{' || array_to_string(list_transform(idx,
+  CASE WHEN column_names IS NULL THEN NULL WHEN event_type = 'EXT_DELETE_ROWS' THEN {image('qn', 'b')} ELSE {image('qn', 'a')} END AS data,
+  CASE WHEN column_names IS NOT NULL AND event_type IN ('EXT_UPDATE_ROWS', 'EXT_DELETE_ROWS') THEN {image('qn', 'b')} END AS old,
+  CASE WHEN column_names IS NOT NULL AND event_type = 'EXT_UPDATE_ROWS' THEN '{{' || array_to_string(list_transform(idx,
     lambda i: qn[i] || ':{{"old":' || coalesce(b[i], 'null') || ',"new":' || coalesce(a[i], 'null') || '}}'), ',') || '}}' END AS changed,
-  CASE WHEN event_type = 'EXT_UPDATE_ROWS' THEN to_json(list_transform(idx, lambda i: column_names[i]))::VARCHAR
+  CASE WHEN column_names IS NULL THEN NULL WHEN event_type = 'EXT_UPDATE_ROWS' THEN to_json(list_transform(idx, lambda i: column_names[i]))::VARCHAR
     ELSE to_json(column_names)::VARCHAR END AS columns,
   CAST(row_idx AS INTEGER) AS row_idx, seq, segment, CAST(rows_before + row_idx + 1 AS BIGINT) AS counter
 FROM {out}_z"""),
     ]
 
 
-def pipeline(log: str, out: str = "changes", query_scope: str = "file", fingerprints: bool = True) -> list[tuple[str, str]]:
+def pipeline(log: str, out: str = "changes", query_scope: str = "file", fingerprints: bool = True,
+             rowev_sql=None) -> list[tuple[str, str]]:
     """Fixture log -> sequenced events (`{out}_seq`) -> row events -> `out`."""
     fixtures = {
         "orders": orders_ctes,
@@ -340,14 +341,56 @@ def pipeline(log: str, out: str = "changes", query_scope: str = "file", fingerpr
         ctes += orders_ctes() + customer_ctes()
         ctes.append(("shop_raw", "SELECT * FROM ord_raw UNION ALL SELECT * FROM cus_raw"))
         raw = "shop_raw"
+    elif log == "shop_li":
+        ctes += orders_ctes() + customer_ctes() + lineitem_ctes()
+        ctes.append(("shopli_raw", "SELECT * FROM ord_raw UNION ALL SELECT * FROM cus_raw UNION ALL SELECT * FROM li_raw"))
+        raw = "shopli_raw"
     else:
         ctes += fixtures[log]()
         raw = ctes[-1][0]
     ctes += seq_ctes(raw, f"{out}_seq", query_scope)
     ctes += rowev_ctes(f"{out}_seq", f"{out}_rowev")
-    ctes += changes_ctes(f"{out}_rowev", out, fingerprints)
+    rowev = f"{out}_rowev"
+    if rowev_sql:
+        ctes.append((f"{out}_rowev2", rowev_sql(rowev)))
+        rowev = f"{out}_rowev2"
+    ctes += changes_ctes(rowev, out, fingerprints)
     return ctes
 
 
 def raw_name(log: str) -> str:
-    return {"orders": "ord_raw", "customer": "cus_raw", "lineitem": "li_raw", "control": "ctl_raw", "shop": "shop_raw"}[log]
+    return {"orders": "ord_raw", "customer": "cus_raw", "lineitem": "li_raw", "control": "ctl_raw",
+            "shop": "shop_raw", "shop_li": "shopli_raw"}[log]
+
+
+def raw_ctes(log: str) -> list[tuple[str, str]]:
+    if log == "shop":
+        return orders_ctes() + customer_ctes() + [("shop_raw", "SELECT * FROM ord_raw UNION ALL SELECT * FROM cus_raw")]
+    if log == "shop_li":
+        return orders_ctes() + customer_ctes() + lineitem_ctes() + [
+            ("shopli_raw", "SELECT * FROM ord_raw UNION ALL SELECT * FROM cus_raw UNION ALL SELECT * FROM li_raw")]
+    return {"orders": orders_ctes, "customer": customer_ctes, "lineitem": lineitem_ctes, "control": control_ctes}[log]()
+
+
+def op_class(e: str) -> str:
+    return (f"CASE WHEN lower({e}) LIKE '%write%' OR lower({e}) LIKE '%insert%' THEN 'write' "
+            f"WHEN lower({e}) LIKE '%update%' THEN 'update' WHEN lower({e}) LIKE '%delete%' THEN 'delete' END")
+
+
+def table_key(t: str) -> str:
+    return (f"CASE WHEN {t} IS NULL OR regexp_full_match({t}, '[\\x00-\\x20]*') THEN 'unknown_table' "
+            f"ELSE regexp_replace({t}, '[^a-zA-Z0-9._-]', '_', 'g') END")
+
+
+def padded_seq(n: str) -> str:
+    tail = f"split_part({n}, '.', -1)"
+    return (f"CASE WHEN instr({n}, '.') = 0 THEN '0000000000' "
+            f"ELSE coalesce(printf('%010d', {parse_long(tail)}), '0000000000') END")
+
+
+def utc_ms(c: str) -> str:
+    return f"strftime(epoch_ms({c}), '%Y-%m-%d %H:%M:%S.%g')"
+
+
+def utc_s(c: str) -> str:
+    return f"strftime(epoch_ms({c}), '%Y-%m-%d %H:%M:%S')"

@@ -52,7 +52,8 @@ def padded_seq(name) -> Column:
     name = _c(name)
     tail = F.substring_index(name, ".", -1)
     num = parse_long(F.when(F.instr(name, ".") > 0, tail))
-    return F.coalesce(F.format_string("%010d", num), F.lit(ZEROS10))
+    # format_string renders null as text, so test first
+    return F.when(num.isNotNull(), F.format_string("%010d", num)).otherwise(F.lit(ZEROS10))
 
 
 def file_base(name) -> Column:

@@ -50,10 +50,11 @@ def explode_rows(events: DataFrame, fingerprints: bool = True, strict: bool = Fa
         )
         b = F.coalesce(check.cast("array<string>"), b)
     ex = ex.withColumn("_idx", F.when(et == U, idx))
-    data = F.when(et == D, row_image("_qn", b)).otherwise(row_image("_qn", a))
-    old = F.when(et.isin(U, D), row_image("_qn", b))
-    changed = F.when(et == U, row_diff("_qn", b, a, "_idx"))
-    columns = F.when(et == U, changed_columns("column_names", "_idx")).otherwise(F.col("_all"))
+    named = F.col("column_names").isNotNull()
+    data = F.when(named, F.when(et == D, row_image("_qn", b)).otherwise(row_image("_qn", a)))
+    old = F.when(named & et.isin(U, D), row_image("_qn", b))
+    changed = F.when(named & (et == U), row_diff("_qn", b, a, "_idx"))
+    columns = F.when(named, F.when(et == U, changed_columns("column_names", "_idx")).otherwise(F.col("_all")))
     g = F.col("txn_gtid")
     out = ex.select(
         F.col("binarylog"),

@@ -1,17 +1,26 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
-Each query builds a fixture log from the driver tables, converts it and runs
-one operator family on the result. Column names match `oracle.queries`.
+Each query builds a fixture log from the driver tables (rowlog.sources.
+fixtures), converts it and runs one operator family on the result. Column
+names match the DuckDB oracle in `oracle.queries`.
 """
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowlog.functions.time import utc_millis
-from rowlog.plans.convert import build_changes
-from rowlog.schema import CHANGE_COLUMNS
+from rowlog.functions import images as fi
+from rowlog.functions import text as ft
+from rowlog.functions import time as ftm
+from rowlog.operators import gtid as og
+from rowlog.operators import history as oh
+from rowlog.operators import protect as op
+from rowlog.operators import stats as ost
+from rowlog.operators import workload as ow
+from rowlog.plans.convert import build_changes, sequenced, tagged_row_events
+from rowlog.schema import CHANGE_COLUMNS, FILE, ROW_EVENT_TYPES
 from rowlog.sources import fixtures as fx
+from rowlog.sources.raw import assert_event_types, closed_files
 
 LOGS = {
     "orders": fx.orders_log,
@@ -21,22 +30,340 @@ LOGS = {
     "shop": fx.shop_log,
 }
 
+# Fixed values of the query parameters.
+ORDERS_KEYS = {"o_orderkey": "bigint"}
+CUSTOMER_KEYS = {"c_custkey": "bigint"}
+STATE_AT_MS = 867_628_800_000  # 1997-06-30 00:00:00 UTC
+RETAINED_FROM_MS = 852_076_800_000  # 1997-01-01: the log kept from here on
+SILENT_FROM_MS, SILENT_TO_MS = 883_612_800_000, 915_148_800_000  # 1998
+CUSTOMER_SNAPSHOT_SET = fx.UUID_PREFIX + "4:1-1000"
+AUDITED_TABLES = ("shop.customer",)
+REDACT_POLICY = {"shop.customer": {"c_name": "hash", "c_mktsegment": "drop"}}
+IMAGE_KEY = "0123456789abcdef0123456789abcdef"
+
+
+def raw_of(spark: SparkSession, sf: str, log: str) -> DataFrame:
+    return LOGS[log](spark, sf)
+
 
 def changes_of(spark: SparkSession, sf: str, log: str, **kw) -> DataFrame:
     if log == "control":
         kw.setdefault("missing", "null")
-    return build_changes(LOGS[log](spark, sf), **kw)
+    return build_changes(raw_of(spark, sf, log), **kw)
+
+
+def seq_of(spark, sf, log, **kw):
+    return sequenced(raw_of(spark, sf, log), **kw)
 
 
 def _flat(ch: DataFrame) -> DataFrame:
     cols = [c for c in CHANGE_COLUMNS if c != "timestamp_string"]
-    return ch.select(*cols, utc_millis("timestamp").alias("timestamp_utc"), "row_idx")
+    return ch.select(*cols, ftm.utc_millis("timestamp").alias("timestamp_utc"), "row_idx")
 
 
+# ---- conversion (G1, F12-F16, W6) ------------------------------------------
 def row_changes(spark, sf):
     return _flat(changes_of(spark, sf, "orders"))
 
 
+def row_diff(spark, sf):
+    ch = changes_of(spark, sf, "orders", fingerprints=False)
+    return ch.where(F.col("event") == "EXT_UPDATE_ROWS").select(
+        *FILE, "position", "row_idx", "old", "data", "changed", "columns"
+    )
+
+
+def change_counter(spark, sf):
+    ch = changes_of(spark, sf, "orders", fingerprints=False)
+    return ch.select(
+        *FILE, "position", "row_idx", "counter",
+        ft.change_pk("gtid_uuid", "gtid_txn", "server_id", "binarylog", "position", "counter").alias("pk"),
+    )
+
+
+def multi_row_explode(spark, sf):
+    ch = changes_of(spark, sf, "lineitem", fingerprints=False)
+    return ch.select(*FILE, "position", "row_idx", "gtid", "counter", "data", "columns")
+
+
+def statements(spark, sf):
+    return ost.statements(changes_of(spark, sf, "lineitem"))
+
+
+def customer_changes(spark, sf):
+    return _flat(changes_of(spark, sf, "customer"))
+
+
+# ---- sequencing on the control stream (W1-W5, J1, A7) ----------------------
+def event_positions(spark, sf):
+    return seq_of(spark, sf, "control").select(*FILE, "seq", "event_type", "position")
+
+
+def txn_tagging(spark, sf):
+    s = seq_of(spark, sf, "control")
+    return s.select(*FILE, "seq", "event_type", F.col("txn_gtid").alias("gtid"), F.col("txn_position").alias("gtid_position"))
+
+
+def txn_segments(spark, sf):
+    return seq_of(spark, sf, "control").select(*FILE, "seq", "segment")
+
+
+def stale_query_carry(spark, sf):
+    s = seq_of(spark, sf, "control")
+    return s.where(F.col("event_type").isin(*ROW_EVENT_TYPES)).select(*FILE, "seq", F.col("last_query").alias("query"))
+
+
+def query_txn_scope(spark, sf):
+    s = seq_of(spark, sf, "control", query_scope="txn")
+    return s.where(F.col("event_type").isin(*ROW_EVENT_TYPES)).select(*FILE, "seq", F.col("last_query").alias("query"))
+
+
+def table_map_resolution(spark, sf):
+    t = tagged_row_events(seq_of(spark, sf, "control"), missing="null")
+    return t.select(*FILE, "seq", "segment", "table_id", ft.qualified_table("db", "tbl").alias("table"),
+                    F.to_json("column_names").alias("column_names"))
+
+
+def control_changes(spark, sf):
+    return _flat(changes_of(spark, sf, "control"))
+
+
+def captured_transactions(spark, sf):
+    return ost.captured_transactions(seq_of(spark, sf, "control"))
+
+
+# ---- statistics (A1-A6, O2, O3) ---------------------------------------------
+def file_summary(spark, sf):
+    return ost.file_summary(raw_of(spark, sf, "control"))
+
+
+def merge_gtids(spark, sf):
+    return og.merge_gtids(raw_of(spark, sf, "orders"), FILE)
+
+
+def gtid_intervals(spark, sf):
+    m = og.merge_gtids(raw_of(spark, sf, "orders"), FILE)
+    return og.gtid_intervals(m, "merged_gtids", keep=FILE)
+
+
+def event_type_counts(spark, sf):
+    raw = raw_of(spark, sf, "shop")
+    return ost.event_type_counts(raw, build_changes(raw, fingerprints=False))
+
+
+def total_events(spark, sf):
+    raw = raw_of(spark, sf, "shop")
+    return ost.total_events(ost.event_type_counts(raw, build_changes(raw, fingerprints=False)))
+
+
+def table_op_counts(spark, sf):
+    return ost.table_op_counts(changes_of(spark, sf, "shop", fingerprints=False))
+
+
+def table_event_counts(spark, sf):
+    return ow.table_event_counts(changes_of(spark, sf, "shop", fingerprints=False))
+
+
+def txn_rollup(spark, sf):
+    return ost.txn_rollup(changes_of(spark, sf, "shop", fingerprints=False))
+
+
+# ---- fingerprints and shapes (F21, F22, J2, A9, A10, L3) --------------------
+def query_fingerprint(spark, sf):
+    ch = changes_of(spark, sf, "shop")
+    return ch.groupBy("query_fingerprint", "query_hash").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def new_query_shapes(spark, sf):
+    return ow.new_query_shapes(changes_of(spark, sf, "shop"))
+
+
+def shape_volume(spark, sf):
+    return ow.shape_volume(changes_of(spark, sf, "shop"))
+
+
+# ---- time travel (H1-H4, W7, W8, L4, J4) ------------------------------------
+def _orders(spark, sf):
+    return changes_of(spark, sf, "orders", fingerprints=False)
+
+
+def state_at(spark, sf):
+    return oh.state_at(_orders(spark, sf), ORDERS_KEYS, STATE_AT_MS)
+
+
+def state_at_preimage(spark, sf):
+    ch = _orders(spark, sf).where(F.col("timestamp") >= RETAINED_FROM_MS)
+    return oh.state_at(ch, ORDERS_KEYS, STATE_AT_MS, use_preimage=True)
+
+
+def row_history(spark, sf):
+    return oh.row_history(_orders(spark, sf), ORDERS_KEYS)
+
+
+def first_set(spark, sf):
+    return ow.first_set(_orders(spark, sf), ORDERS_KEYS, "o_orderstatus", "F")
+
+
+def transitions(spark, sf):
+    t = ow.transitions(_orders(spark, sf), "o_orderstatus", "O", "F")
+    return t.select(*FILE, "position", "gtid", fi.image_col("data", "o_orderkey", "bigint").alias("o_orderkey"))
+
+
+def after_gtid_set(spark, sf):
+    ch = changes_of(spark, sf, "customer", fingerprints=False)
+    later = og.after_gtid_set(ch, og.intervals_of(spark, CUSTOMER_SNAPSHOT_SET))
+    return later.select(*FILE, "position", "gtid", "event")
+
+
+def bootstrap(spark, sf):
+    ch = changes_of(spark, sf, "customer", fingerprints=False)
+    iv = og.intervals_of(spark, CUSTOMER_SNAPSHOT_SET)
+    inside = ch.join(F.broadcast(iv.select(F.col("uuid").alias("gtid_uuid"), "lo", "hi")), "gtid_uuid").where(
+        F.col("gtid_txn").between(F.col("lo"), F.col("hi"))
+    ).drop("lo", "hi")
+    snapshot = oh.state_at(inside, CUSTOMER_KEYS, 1 << 62)
+    return oh.bootstrap(snapshot, ch, iv, CUSTOMER_KEYS)
+
+
+# ---- workload (A11-A14, J5, J6) --------------------------------------------
+def _shop(spark, sf):
+    return changes_of(spark, sf, "shop", fingerprints=False)
+
+
+def write_rate(spark, sf):
+    return ow.write_rate(_shop(spark, sf), ow.HOUR_MS)
+
+
+def delete_storms(spark, sf):
+    return ow.delete_storms(_shop(spark, sf), ow.DAY_MS, lookback=7, min_deletes=3, ratio=2)
+
+
+def silent_tables(spark, sf):
+    raw = raw_of(spark, sf, "shop").unionByName(raw_of(spark, sf, "lineitem"))
+    ch = build_changes(raw, fingerprints=False)
+    return ow.silent_tables(ow.table_catalog(raw), ch, SILENT_FROM_MS, SILENT_TO_MS)
+
+
+def co_changed(spark, sf):
+    ch = changes_of(spark, sf, "lineitem", fingerprints=False)
+    hit = F.get_json_object("data", "$.l_returnflag") == "R"
+    return ow.co_changed(ch, hit, "statement").select(*FILE, "position", "row_idx")
+
+
+def audit_candidates(spark, sf):
+    raw = raw_of(spark, sf, "shop").unionByName(raw_of(spark, sf, "lineitem"))
+    ch = build_changes(raw, fingerprints=False)
+    audited = spark.createDataFrame([(t,) for t in AUDITED_TABLES], "table string")
+    return ow.audit_candidates(ch, audited, min_rows=100)
+
+
+# ---- scalar functions on driver-derived text (F1-F11) -----------------------
+def _variants(spark, sf, texts):
+    e = fx._read(spark, sf, "events").select("event_id")
+    arr = F.array(*texts)
+    return e.select("event_id", F.element_at(arr, (F.col("event_id") % len(texts) + 1).cast("int")).alias("t"))
+
+
+def gtid_parse(spark, sf):
+    i = F.col("event_id").cast("string")
+    v = _variants(spark, sf, [
+        F.concat(F.lit("u"), i, F.lit(":"), i), F.concat(F.lit("u"), i, F.lit(":")), F.concat(F.lit(":"), i),
+        F.concat(F.lit("u"), i), F.lit(""), F.concat(F.lit("u:"), i, F.lit(":2")), F.concat(F.lit("u: "), i),
+        F.concat(F.lit("u:+"), i), F.concat(F.lit("u:99999999999999999999"), i), F.lit(None).cast("string"),
+    ])
+    return v.select("event_id", F.col("t").alias("gtid"), ft.gtid_uuid("t").alias("gtid_uuid"),
+                    ft.gtid_txn_text("t").alias("txn_text"), ft.gtid_txn("t").alias("gtid_txn"))
+
+
+def padded_names(spark, sf):
+    i = F.col("event_id").cast("string")
+    v = _variants(spark, sf, [
+        F.concat(F.lit("mysql-bin."), i), F.lit("x"), F.lit("x."), F.concat(F.lit("a.b.0000"), i),
+        F.concat(F.lit("m."), i, F.lit("00000000000")), F.concat(i, F.lit("-basic-crud.binlog")),
+        F.concat(F.lit("n.-"), i),
+    ])
+    return v.select("event_id", F.col("t").alias("name"), ft.padded_seq("t").alias("log_seq"),
+                    ft.output_name("t", F.col("event_id") % 3 + 1).alias("output_name"))
+
+
+def table_keys(spark, sf):
+    i = F.col("event_id").cast("string")
+    v = _variants(spark, sf, [
+        F.concat(F.lit("db.t"), i), F.concat(F.lit("a b.c/d"), i), F.lit(""), F.lit(None).cast("string"),
+        F.lit("  "), F.concat(F.lit("x\ty"), i), F.concat(F.lit("schéma.t"), i),
+    ])
+    return v.select("event_id", F.col("t").alias("name"), ft.table_key("t").alias("table_key"),
+                    ft.op_class(F.element_at(F.array(F.lit("EXT_WRITE_ROWS"), F.lit("update_rows"), F.lit("DELETE"),
+                                                     F.lit("QUERY"), F.lit("insert")),
+                                             (F.col("event_id") % 5 + 1).cast("int"))).alias("op"))
+
+
+def time_formats(spark, sf):
+    e = fx._read(spark, sf, "events").select("event_id", ftm.epoch_millis("ts").alias("ms"))
+    texts = F.element_at(
+        F.array(F.col("ms").cast("string"), ftm.utc_seconds("ms"), F.lit("not a time"), F.concat(F.lit(" "), F.col("ms").cast("string"))),
+        (F.col("event_id") % 4 + 1).cast("int"),
+    )
+    return e.select("event_id", "ms", ftm.utc_seconds("ms").alias("utc_seconds"), ftm.utc_millis("ms").alias("utc_millis"),
+                    texts.alias("text"), ftm.parse_time_text(texts).alias("parsed_ms"))
+
+
+def json_images(spark, sf):
+    ch = changes_of(spark, sf, "orders", fingerprints=False)
+    return ch.select(*FILE, "position", "row_idx",
+                     fi.image_col("data", "cents", "bigint").alias("cents"),
+                     fi.image_col("data", "o_orderstatus").alias("status"),
+                     fi.image_has("data", "cents").alias("has_cents"),
+                     fi.image_has("data", "missing").alias("has_missing"))
+
+
+# ---- protection (L5-L7) ----------------------------------------------------
+def filtered_tables(spark, sf):
+    ch = _shop(spark, sf)
+    f = op.filter_tables(ch, allow=[r"shop\..*"], deny=[r".*cust.*"], regex=True)
+    return f.groupBy("table", "event").agg(F.count(F.lit(1)).alias("n"))
+
+
+def redacted_changes(spark, sf):
+    ch = changes_of(spark, sf, "customer", fingerprints=False, redact=REDACT_POLICY)
+    return ch.select(*FILE, "position", "row_idx", "data", "old", "changed", "columns")
+
+
+def encrypted_roundtrip(spark, sf):
+    ch = changes_of(spark, sf, "customer", fingerprints=False).select(*FILE, "position", "row_idx", "data", "old", "changed")
+    enc = op.encrypt_images(ch, IMAGE_KEY)
+    return op.decrypt_images(enc, IMAGE_KEY)
+
+
+def event_type_gate(spark, sf):
+    raw = raw_of(spark, sf, "control")
+    odd = (F.col("event_type") == "GTID") & (F.col("seq") % 50 == 0)
+    raw = raw.withColumn("event_type", F.when(odd, F.lit("ANONYMOUS_GTID")).otherwise(F.col("event_type")))
+    ok, bad = assert_event_types(raw, on_error="quarantine")
+    return ok.select("event_type", F.lit(True).alias("accepted")).unionByName(
+        bad.select("event_type", F.lit(False).alias("accepted"))
+    ).groupBy("event_type", "accepted").agg(F.count(F.lit(1)).alias("n"))
+
+
+def closed_logs(spark, sf):
+    raw = raw_of(spark, sf, "orders")
+    listing = raw.select("server_id", "binarylog").distinct()
+    current = listing.groupBy("server_id").agg(F.max("binarylog").alias("binarylog"))
+    return closed_files(listing, current, keys=["server_id"]).select("server_id", "binarylog", "log_seq")
+
+
 QUERIES = {
-    "row_changes": row_changes,
+    f.__name__: f
+    for f in [
+        row_changes, row_diff, change_counter, multi_row_explode, statements, customer_changes,
+        event_positions, txn_tagging, txn_segments, stale_query_carry, query_txn_scope,
+        table_map_resolution, control_changes, captured_transactions,
+        file_summary, merge_gtids, gtid_intervals, event_type_counts, total_events,
+        table_op_counts, table_event_counts, txn_rollup,
+        query_fingerprint, new_query_shapes, shape_volume,
+        state_at, state_at_preimage, row_history, first_set, transitions, after_gtid_set, bootstrap,
+        write_rate, delete_storms, silent_tables, co_changed, audit_candidates,
+        gtid_parse, padded_names, table_keys, time_formats, json_images,
+        filtered_tables, redacted_changes, encrypted_roundtrip, event_type_gate, closed_logs,
+    ]
 }

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowlog.operators.explode import explode_rows
+from rowlog.operators.protect import redact_rows
 from rowlog.operators.sequence import DEFAULT_BUCKET, narrow, resolve_table_maps, sequence_events
 from rowlog.schema import FILE, ROW_EVENT_TYPES
 from rowlog.sources.raw import assert_event_types
@@ -53,9 +54,12 @@ def build_changes(
     strict: bool = False,
     gate: bool = True,
     materialize: bool = False,
+    redact: dict | None = None,
 ) -> DataFrame:
     seq = sequenced(raw, method, bucket_size, query_scope, gate, materialize)
     tagged = tagged_row_events(seq, missing)
     images = raw.where(F.col("event_type").isin(*ROW_EVENT_TYPES)).select(*FILE, "seq", "rows")
     joined = tagged.join(images, [*FILE, "seq"], "inner")
+    if redact:
+        joined = redact_rows(joined, redact)
     return explode_rows(joined, fingerprints=fingerprints, strict=strict)

@@ -59,14 +59,15 @@ def _key_literal(name: str) -> str:
     return re.sub(r"[^a-zA-Z0-9._-]", "_", name)
 
 
-def closed_files(listing: DataFrame, current: DataFrame, name_col: str = "binarylog") -> DataFrame:
+def closed_files(listing: DataFrame, current: DataFrame, name_col: str = "binarylog", keys=()) -> DataFrame:
     """All listed logs except the active one(s), in log order.
 
     `listing` has one row per log file name (e.g. from SHOW BINARY LOGS),
-    `current` the active file name(s). Ordered by the zero-padded sequence so
-    `x.10` sorts after `x.9`."""
-    closed = listing.join(current.select(F.col(name_col)), name_col, "left_anti")
-    return closed.withColumn("log_seq", padded_seq(name_col)).orderBy("log_seq", name_col)
+    `current` the active file name(s), both optionally per `keys` (e.g.
+    server_id). Ordered by the zero-padded sequence so `x.10` sorts after `x.9`."""
+    on = [*keys, name_col]
+    closed = listing.join(current.select(*on), on, "left_anti")
+    return closed.withColumn("log_seq", padded_seq(name_col)).orderBy(*keys, "log_seq", name_col)
 
 
 def with_table_key(df: DataFrame, col: str = "table") -> DataFrame:
