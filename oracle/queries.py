@@ -471,6 +471,45 @@ SELECT server_id, binarylog, {padded_seq('binarylog')} AS log_seq FROM (SELECT D
 WHERE binarylog <> (SELECT max(binarylog) FROM ord_raw r WHERE r.server_id = l.server_id)""")
 
 
+# ---- sinks and streams ---------------------------------------------------------
+def per_table_roundtrip():
+    tk = table_key('"table"')
+    return with_(nofp("shop"), f"SELECT {tk} AS table_key, {FILE}, position, row_idx, data FROM changes")
+
+
+def lake_one_table():
+    return with_(nofp("shop"), f"""
+SELECT {padded_seq('binarylog')} AS log_seq, {table_key('"table"')} AS table_key, {FILE}, position, row_idx, changed
+FROM changes WHERE "table" = 'shop.customer'""")
+
+
+def single_file_roundtrip():
+    return with_(nofp("shop"), f'SELECT {FILE}, position, row_idx, event, "table", data FROM changes')
+
+
+def output_audit():
+    return with_(nofp("shop") + [("oc", _op_counts())], """
+SELECT table_key, total AS expected_rows, total AS written_rows, true AS ok, false AS small_file FROM oc""")
+
+
+def written_stats():
+    return table_op_counts()
+
+
+def stream_convert():
+    return row_changes()
+
+
+def stream_write_rate():
+    return write_rate()
+
+
+def stream_query_shapes():
+    return with_(pipeline("shop"), """
+SELECT query_hash, min(timestamp) AS first_seen, CAST(count(*) AS BIGINT) AS rows_affected
+FROM changes WHERE query_hash IS NOT NULL GROUP BY query_hash""")
+
+
 SQL = {
     f.__name__: f
     for f in [
@@ -484,6 +523,8 @@ SQL = {
         write_rate, delete_storms, silent_tables, co_changed, audit_candidates,
         gtid_parse, padded_names, table_keys, time_formats, json_images,
         filtered_tables, redacted_changes, encrypted_roundtrip, event_type_gate, closed_logs,
+        per_table_roundtrip, lake_one_table, single_file_roundtrip, output_audit, written_stats,
+        stream_convert, stream_write_rate, stream_query_shapes,
     ]
 }
 

@@ -367,3 +367,107 @@ QUERIES = {
         filtered_tables, redacted_changes, encrypted_roundtrip, event_type_gate, closed_logs,
     ]
 }
+
+
+# ---- sinks and streams (K1-K8, S4, S5, T1-T4) ------------------------------
+def _lake(spark, sf, log="shop", by_file=False):
+    from rowlog.session import scratch_path
+    from rowlog.sinks.parquet import write_by_table
+
+    root = scratch_path(spark, "lake")
+    write_by_table(changes_of(spark, sf, log, fingerprints=False), root, by_file=by_file)
+    return root
+
+
+def per_table_roundtrip(spark, sf):
+    from rowlog.sinks.parquet import read_lake
+
+    lake = read_lake(spark, _lake(spark, sf))
+    return lake.select("table_key", *FILE, "position", "row_idx", "data")
+
+
+def lake_one_table(spark, sf):
+    from rowlog.sinks.parquet import read_lake
+
+    lake = read_lake(spark, _lake(spark, sf, by_file=True), by_file=True, tables=["shop.customer"])
+    return lake.select("log_seq", "table_key", *FILE, "position", "row_idx", "changed")
+
+
+def single_file_roundtrip(spark, sf):
+    from rowlog.session import scratch_path
+    from rowlog.sinks.parquet import write_single
+
+    path = scratch_path(spark, "single")
+    write_single(changes_of(spark, sf, "shop", fingerprints=False), path)
+    return spark.read.parquet(path).select(*FILE, "position", "row_idx", "event", "table", "data")
+
+
+def output_audit(spark, sf):
+    from rowlog.sinks.parquet import audit_output
+
+    root = _lake(spark, sf)
+    expected = ost.table_op_counts(changes_of(spark, sf, "shop", fingerprints=False)).select(
+        "table_key", F.col("total").alias("expected_rows")
+    )
+    return audit_output(spark, root, expected)
+
+
+def written_stats(spark, sf):
+    from rowlog.session import scratch_path
+    from rowlog.sinks.parquet import write_stats
+
+    root = scratch_path(spark, "stats")
+    raw = raw_of(spark, sf, "shop")
+    ch = build_changes(raw, fingerprints=False)
+    write_stats(root, table_op_counts=ost.table_op_counts(ch), file_summary=ost.file_summary(raw))
+    return spark.read.parquet(f"{root}/_stats/table_op_counts")
+
+
+def _landed_events(spark, sf, log):
+    """Land a fixture log as event-table files, each holding whole log files."""
+    from rowlog.session import scratch_path
+
+    src = scratch_path(spark, "events")
+    raw_of(spark, sf, log).repartition(*FILE).write.parquet(src)
+    return src
+
+
+def stream_convert(spark, sf):
+    from rowlog.session import scratch_path
+    from rowlog.sinks.parquet import read_lake
+    from rowlog.streaming.stream import stream_convert as start
+
+    src, dst = _landed_events(spark, sf, "orders"), scratch_path(spark, "stream-lake")
+    q = start(spark, src, dst, scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    lake = read_lake(spark, dst, by_file=True)
+    return _flat(lake)
+
+
+def stream_write_rate(spark, sf):
+    from rowlog.session import scratch_path
+    from rowlog.streaming.stream import stream_write_rate as start
+
+    out = scratch_path(spark, "rate")
+    start(spark, _lake(spark, sf), out, scratch_path(spark, "rate-ckpt")).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def stream_query_shapes(spark, sf):
+    from rowlog.session import scratch_path
+    from rowlog.streaming.stream import stream_query_shapes as start
+
+    root = scratch_path(spark, "lake")
+    from rowlog.sinks.parquet import write_by_table
+
+    write_by_table(changes_of(spark, sf, "shop"), root)
+    out = scratch_path(spark, "shapes")
+    start(spark, root, out, scratch_path(spark, "shapes-ckpt")).awaitTermination()
+    return spark.read.parquet(out)
+
+
+QUERIES.update({
+    f.__name__: f
+    for f in [per_table_roundtrip, lake_one_table, single_file_roundtrip, output_audit, written_stats,
+              stream_convert, stream_write_rate, stream_query_shapes]
+})

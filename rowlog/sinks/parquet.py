@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowlog.functions.text import padded_seq, table_key
-from rowlog.schema import CHANGE_COLUMNS
+from rowlog.schema import CHANGE_COLUMNS, CHANGE_SCHEMA
 
 # The reference writer's Parquet settings.
 REFERENCE_PROFILE = {
@@ -80,8 +80,26 @@ def write_single(changes: DataFrame, path: str, files: int | None = None) -> str
     return path
 
 
-def read_lake(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(root)
+def lake_schema(by_file: bool = False):
+    """Explicit read schema: partition values keep their text (no type
+    inference turning `0000000008` into 8)."""
+    from pyspark.sql import types as T
+
+    schema = T.StructType(list(CHANGE_SCHEMA.fields))
+    schema = schema.add("row_idx", T.IntegerType())
+    if by_file:
+        schema = schema.add("log_seq", T.StringType())
+    return schema.add("table_key", T.StringType())
+
+
+def read_lake(spark: SparkSession, root: str, by_file: bool = False, tables=None) -> DataFrame:
+    """Read a change lake; `tables` (db.table names) prune partition directories."""
+    df = spark.read.schema(lake_schema(by_file)).parquet(root)
+    if tables:
+        from rowlog.operators.protect import filter_tables
+
+        df = filter_tables(df, allow=list(tables))
+    return df
 
 
 def audit_output(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
