@@ -260,7 +260,7 @@ SELECT {_key('data', k)} AS {k}, {op_class('event')} AS op, {_ord()} AS ord, dat
 UNION ALL
 SELECT {_key('old', k)}, 'delete', {_ord('0')}, data, old, timestamp FROM {src} WHERE {moved}
 UNION ALL
-SELECT {_key('data', k)}, 'update', {_ord()}, data, old, timestamp FROM {src} WHERE {moved}""")]
+SELECT {_key('data', k)}, 'write', {_ord()}, data, old, timestamp FROM {src} WHERE {moved}""")]
 
 
 def _state(kd: str, k: str, ts: int, preimage: bool) -> str:

@@ -31,7 +31,8 @@ def _keyed(changes: DataFrame, keys: dict) -> DataFrame:
         moved,
         F.array(
             F.struct(old_k.alias("k"), F.lit("delete").alias("op"), F.lit(0).alias("sub")),
-            F.struct(new_k.alias("k"), F.lit("update").alias("op"), F.lit(1).alias("sub")),
+            # the new key did not exist before: an upsert with no usable pre-image
+            F.struct(new_k.alias("k"), F.lit("write").alias("op"), F.lit(1).alias("sub")),
         ),
     ).otherwise(F.array(F.struct(new_k.alias("k"), op.alias("op"), F.lit(1).alias("sub"))))
     x = changes.select("*", log_order_struct().alias("_o"), F.explode(items).alias("_it"))
