@@ -79,12 +79,37 @@ def intervals_of(spark: SparkSession, gtid_set: str) -> DataFrame:
     return gtid_intervals(spark.createDataFrame([(gtid_set,)], "s string"), "s")
 
 
-def after_gtid_set(changes: DataFrame, intervals: DataFrame) -> DataFrame:
+def _bucketed(intervals: DataFrame, bucket: int) -> DataFrame:
+    """Intervals keyed by (uuid, txn bucket): an interval is repeated once per
+    bucket it touches, so the row count is at most #intervals + txn range / bucket."""
+    b = F.explode(F.sequence(F.expr(f"lo div {bucket}"), F.expr(f"hi div {bucket}"))).alias("_ib")
+    return intervals.where(F.col("lo").isNotNull() & (F.col("hi") >= F.col("lo"))).select(
+        F.col("uuid").alias("_u"), b, F.col("lo").alias("_lo"), F.col("hi").alias("_hi")
+    )
+
+
+def _gtid_set_join(changes: DataFrame, intervals: DataFrame, how: str, bucket: int) -> DataFrame:
+    iv = _bucketed(intervals, bucket)
+    cb = changes.withColumn("_cb", F.expr(f"gtid_txn div {bucket}"))
+    cond = (
+        (F.col("gtid_uuid") == F.col("_u"))
+        & (F.col("_cb") == F.col("_ib"))
+        & F.col("gtid_txn").between(F.col("_lo"), F.col("_hi"))
+    )
+    return cb.join(iv, cond, how).drop("_cb")
+
+
+def after_gtid_set(changes: DataFrame, intervals: DataFrame, bucket: int = DEFAULT_TXN_BUCKET) -> DataFrame:
     """Changes whose GTID is not in the executed set (`intervals`: uuid, lo, hi).
 
-    Rows without a GTID are kept. The interval side comes from a set text, so
-    its size is bounded by that text and it is broadcast; the anti join is an
-    equi-join on uuid plus a range test, planned as a broadcast hash join."""
-    iv = F.broadcast(intervals.select(F.col("uuid").alias("_u"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi")))
-    cond = (F.col("gtid_uuid") == F.col("_u")) & F.col("gtid_txn").between(F.col("_lo"), F.col("_hi"))
-    return changes.join(iv, cond, "left_anti")
+    Rows without a GTID are kept. The join is an equi-join on (uuid, txn
+    bucket) plus the range test, with no broadcast hint: a set parsed from a
+    text is tiny and the planner (or AQE at run time) broadcasts it under its
+    size threshold; a large set shuffles on a key spread over txn buckets, so
+    one busy server uuid does not become one task."""
+    return _gtid_set_join(changes, intervals, "left_anti", bucket)
+
+
+def in_gtid_set(changes: DataFrame, intervals: DataFrame, bucket: int = DEFAULT_TXN_BUCKET) -> DataFrame:
+    """Changes whose GTID is in the executed set (each change at most once)."""
+    return _gtid_set_join(changes, intervals, "left_semi", bucket)

@@ -218,9 +218,7 @@ def after_gtid_set(spark, sf):
 def bootstrap(spark, sf):
     ch = changes_of(spark, sf, "customer", fingerprints=False)
     iv = og.intervals_of(spark, CUSTOMER_SNAPSHOT_SET)
-    inside = ch.join(F.broadcast(iv.select(F.col("uuid").alias("gtid_uuid"), "lo", "hi")), "gtid_uuid").where(
-        F.col("gtid_txn").between(F.col("lo"), F.col("hi"))
-    ).drop("lo", "hi")
+    inside = og.in_gtid_set(ch, iv)
     snapshot = oh.state_at(inside, CUSTOMER_KEYS, 1 << 62)
     return oh.bootstrap(snapshot, ch, iv, CUSTOMER_KEYS)
 
