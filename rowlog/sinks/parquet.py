@@ -45,7 +45,6 @@ def write_by_table(
     re-runs of a file)."""
     df = lake_frame(changes, by_file)
     parts = ["server_id", "log_seq", "table_key"] if by_file else ["table_key"]
-    order = ["table_key", "server_id"] + (["log_seq"] if by_file else [padded_seq("binarylog").alias("_ls")])
     df = df.hint("rebalance", "table_key")
     if by_file:
         df = df.sortWithinPartitions("table_key", "server_id", "log_seq", "binarylog", "position", *(["row_idx"] if "row_idx" in df.columns else []))
@@ -53,7 +52,6 @@ def write_by_table(
         df = df.withColumn("_ls", padded_seq("binarylog")).sortWithinPartitions(
             "table_key", "server_id", "_ls", "binarylog", "position", *(["row_idx"] if "row_idx" in df.columns else [])
         ).drop("_ls")
-    del order
     w = df.write.mode("overwrite").partitionBy(*parts)
     w = w.option("partitionOverwriteMode", "dynamic" if replace == "touched" else "static")
     for k, v in (profile or REFERENCE_PROFILE).items():
