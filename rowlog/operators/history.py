@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowlog.functions.images import image_col
-from rowlog.functions.text import op_class
+from rowlog.functions.text import op_class, padded_seq
 from rowlog.operators.gtid import after_gtid_set
 from rowlog.operators.workload import log_order, log_order_struct
 
@@ -64,18 +64,46 @@ def state_at(changes: DataFrame, keys: dict, ts_ms: int, use_preimage: bool = Fa
     return g.select(*keys, data.alias("data")).where(F.col("data").isNotNull())
 
 
-def row_history(changes: DataFrame, keys: dict) -> DataFrame:
-    """Every version of every key in log order, with the previous version."""
-    k = key_columns(changes, keys)
-    w = Window.partitionBy(*keys).orderBy(*log_order())
-    return k.select(
-        *keys,
-        F.row_number().over(w).alias("version"),
+HISTORY_BUCKET = 1 << 26  # log bytes of one file per history bucket
+
+
+def row_history(changes: DataFrame, keys: dict, bucket: int = HISTORY_BUCKET) -> DataFrame:
+    """Every version of every key in log order, with the previous version.
+
+    A key's history is split into buckets of (server, file, position range).
+    Version numbers and previous images are computed inside each bucket, and
+    a per-bucket summary (version count, last image) is rolled forward over
+    the buckets of the key and joined back. A key changed in a third of all
+    rows is then many bounded sorts, not one task."""
+    kk = list(keys)
+    k = key_columns(changes, keys).withColumn("_hb", F.expr(f"position div {bucket}"))
+    part = [*kk, "server_id", "binarylog", "_hb"]
+    wl = Window.partitionBy(*part).orderBy("position", "row_idx")
+    local = k.select(
+        *part, "event", "position", "row_idx", "data",
+        F.row_number().over(wl).alias("_rn"),
+        F.lag("data").over(wl).alias("_lag"),
+    )
+    summ = local.groupBy(*part).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.max_by("data", F.struct("position", "row_idx")).alias("_last"),
+    )
+    wk = Window.partitionBy(*kk).orderBy("server_id", padded_seq("binarylog"), "binarylog", "_hb")
+    carry = summ.select(
+        *[F.col(c).alias(f"_s{i}") for i, c in enumerate(part)],
+        F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.lag("_last").over(wk).alias("_prev_last"),
+    )
+    cond = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(part)]
+    j = local.join(carry, cond, "inner")
+    return j.select(
+        *kk,
+        (F.col("_before") + F.col("_rn")).cast("int").alias("version"),
         "event",
         "binarylog",
         "position",
         "data",
-        F.lag("data").over(w).alias("prev_data"),
+        F.when(F.col("_rn") == 1, F.col("_prev_last")).otherwise(F.col("_lag")).alias("prev_data"),
     )
 
 
