@@ -243,6 +243,18 @@ SELECT query_hash, query_fingerprint, "table", CAST(count(*) AS BIGINT) AS n_row
 FROM changes WHERE query_hash IS NOT NULL GROUP BY query_hash, query_fingerprint, "table\"""")
 
 
+def statement_stats_join():
+    return with_(pipeline("shop"), """
+SELECT h.query_hash, h.query_fingerprint, h.n_rows, s.n_statements, s.max_rows
+FROM (SELECT query_hash, query_fingerprint, CAST(count(*) AS BIGINT) AS n_rows
+      FROM changes WHERE query_hash IS NOT NULL GROUP BY query_hash, query_fingerprint) h
+LEFT JOIN (SELECT query_hash, CAST(count(*) AS BIGINT) AS n_statements, CAST(max(n) AS BIGINT) AS max_rows
+           FROM (SELECT server_id, binarylog, position, query_hash, count(*) AS n
+                 FROM changes WHERE query_hash IS NOT NULL GROUP BY server_id, binarylog, position, query_hash) p
+           GROUP BY query_hash) s
+ON h.query_hash = s.query_hash""")
+
+
 # ---- time travel -------------------------------------------------------------------
 def _key(img, k="o_orderkey"):
     return f"TRY_CAST(json_extract_string({img}, '$.{k}') AS BIGINT)"
@@ -518,7 +530,7 @@ SQL = {
         table_map_resolution, control_changes, captured_transactions,
         file_summary, merge_gtids, gtid_intervals, event_type_counts, total_events,
         table_op_counts, table_event_counts, txn_rollup,
-        query_fingerprint, new_query_shapes, shape_volume,
+        query_fingerprint, new_query_shapes, shape_volume, statement_stats_join,
         state_at, state_at_preimage, row_history, first_set, transitions, after_gtid_set, bootstrap,
         write_rate, delete_storms, silent_tables, co_changed, audit_candidates,
         gtid_parse, padded_names, table_keys, time_formats, json_images,

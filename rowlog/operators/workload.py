@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowlog.functions.fingerprint import fingerprint, query_hash
 from rowlog.functions.text import op_class, padded_seq, table_key
 from rowlog.schema import FILE
 
@@ -55,6 +56,41 @@ def shape_volume(changes: DataFrame) -> DataFrame:
     )
 
 
+def with_fingerprint(changes: DataFrame, method: str = "expr", text_col: str = "query") -> DataFrame:
+    """Attach `query_fingerprint` and `query_hash` by SQL text.
+
+    method="expr" normalizes on every row as plain column expressions (no
+    shuffle). method="distinct" normalizes each distinct text once (the
+    distinct is combined map-side) and joins the result back on the text.
+    With no hint, the planner or AQE broadcasts the text side under its size
+    threshold, and AQE splits a hot statement's partitions otherwise."""
+    base = changes.drop("query_fingerprint", "query_hash")
+    if method == "expr":
+        fp = fingerprint(text_col)
+        return base.withColumn("query_fingerprint", fp).withColumn("query_hash", query_hash("query_fingerprint"))
+    if method != "distinct":
+        raise ValueError(f"unknown method {method!r}")
+    texts = base.where(F.col(text_col).isNotNull()).select(text_col).distinct()
+    texts = texts.select(text_col, fingerprint(text_col).alias("query_fingerprint"))
+    texts = texts.withColumn("query_hash", query_hash("query_fingerprint"))
+    return base.join(texts, text_col, "left")
+
+
+def join_statement_stats(by_hash: DataFrame, stats: DataFrame, hash_col: str = "query_hash") -> DataFrame:
+    """Left-join per-shape results to a statement-statistics table by hash."""
+    return by_hash.join(stats, hash_col, "left")
+
+
+def statement_stats(changes: DataFrame) -> DataFrame:
+    """Per query hash: statements (row events) and the most rows one touched."""
+    per_stmt = changes.where(F.col("query_hash").isNotNull()).groupBy(
+        "server_id", "binarylog", "position", "query_hash"
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    return per_stmt.groupBy("query_hash").agg(
+        F.count(F.lit(1)).alias("n_statements"), F.max("_n").alias("max_rows")
+    )
+
+
 def bucket_start(ts_col: str, bucket_ms: int):
     return F.col(ts_col) - F.pmod(F.col(ts_col), F.lit(bucket_ms))
 

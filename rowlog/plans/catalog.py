@@ -182,6 +182,15 @@ def shape_volume(spark, sf):
     return ow.shape_volume(changes_of(spark, sf, "shop"))
 
 
+def statement_stats_join(spark, sf):
+    """J2 (distinct-text form) and J3: per-shape rows joined to statement stats."""
+    ch = ow.with_fingerprint(changes_of(spark, sf, "shop", fingerprints=False), method="distinct")
+    by_hash = ch.where(F.col("query_hash").isNotNull()).groupBy("query_hash", "query_fingerprint").agg(
+        F.count(F.lit(1)).alias("n_rows")
+    )
+    return ow.join_statement_stats(by_hash, ow.statement_stats(ch))
+
+
 # ---- time travel (H1-H4, W7, W8, L4, J4) ------------------------------------
 def _orders(spark, sf):
     return changes_of(spark, sf, "orders", fingerprints=False)
@@ -358,7 +367,7 @@ QUERIES = {
         table_map_resolution, control_changes, captured_transactions,
         file_summary, merge_gtids, gtid_intervals, event_type_counts, total_events,
         table_op_counts, table_event_counts, txn_rollup,
-        query_fingerprint, new_query_shapes, shape_volume,
+        query_fingerprint, new_query_shapes, shape_volume, statement_stats_join,
         state_at, state_at_preimage, row_history, first_set, transitions, after_gtid_set, bootstrap,
         write_rate, delete_storms, silent_tables, co_changed, audit_candidates,
         gtid_parse, padded_names, table_keys, time_formats, json_images,

@@ -51,3 +51,18 @@ def test_fingerprint(spark):
         "UPDATE t1 SET v = ? WHERE id IN (...)",
         "SELECT * FROM t2 WHERE h = ? AND s = ?",
     ]
+
+
+def test_with_fingerprint_distinct_equals_expr(spark):
+    from rowlog.operators.workload import with_fingerprint
+
+    df = spark.createDataFrame(
+        [(1, "INSERT INTO t VALUES (1, 'a'), (2, 'b')"), (2, "UPDATE t SET v = 5 WHERE id IN (1, 2, 3)"),
+         (3, None), (4, "INSERT INTO t VALUES (7, 'c')")],
+        "id long, query string",
+    )
+    a = sorted(tuple(r) for r in with_fingerprint(df, "expr").collect())
+    b = sorted(tuple(r) for r in with_fingerprint(df, "distinct").select(*df.columns, "query_fingerprint", "query_hash").collect())
+    assert a == b
+    assert a[0][2] == a[3][2] == "INSERT INTO t VALUES (?, ?)"
+    assert a[2][2] is None and a[2][3] is None
