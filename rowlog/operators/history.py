@@ -76,11 +76,15 @@ def row_history(changes: DataFrame, keys: dict, bucket: int = HISTORY_BUCKET) ->
     the buckets of the key and joined back. A key changed in a third of all
     rows is then many bounded sorts, not one task."""
     kk = list(keys)
-    k = key_columns(changes, keys).withColumn("_hb", F.expr(f"position div {bucket}"))
-    part = [*kk, "server_id", "binarylog", "_hb"]
+    # One struct key: struct equality matches null key fields, so the join
+    # back is a plain equi-join and keeps the local side's partitioning.
+    k = key_columns(changes, keys).withColumn("_hb", F.expr(f"position div {bucket}")).withColumn(
+        "_kk", F.struct(*kk)
+    )
+    part = ["_kk", "server_id", "binarylog", "_hb"]
     wl = Window.partitionBy(*part).orderBy("position", "row_idx")
     local = k.select(
-        *part, "event", "position", "row_idx", "data",
+        *part, *kk, "event", "position", "row_idx", "data",
         F.row_number().over(wl).alias("_rn"),
         F.lag("data").over(wl).alias("_lag"),
     )
@@ -88,14 +92,13 @@ def row_history(changes: DataFrame, keys: dict, bucket: int = HISTORY_BUCKET) ->
         F.count(F.lit(1)).alias("_n"),
         F.max_by("data", F.struct("position", "row_idx")).alias("_last"),
     )
-    wk = Window.partitionBy(*kk).orderBy("server_id", padded_seq("binarylog"), "binarylog", "_hb")
+    wk = Window.partitionBy("_kk").orderBy("server_id", padded_seq("binarylog"), "binarylog", "_hb")
     carry = summ.select(
-        *[F.col(c).alias(f"_s{i}") for i, c in enumerate(part)],
+        *part,
         F.coalesce(F.sum("_n").over(wk.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         F.lag("_last").over(wk).alias("_prev_last"),
     )
-    cond = [F.col(c).eqNullSafe(F.col(f"_s{i}")) for i, c in enumerate(part)]
-    j = local.join(carry, cond, "inner")
+    j = local.join(carry, part, "inner")
     return j.select(
         *kk,
         (F.col("_before") + F.col("_rn")).cast("int").alias("version"),

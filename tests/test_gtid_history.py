@@ -90,3 +90,19 @@ def test_row_history_buckets_equal_one_window(spark):
         got = sorted(tuple(r) for r in oh.row_history(ch, ORDERS_KEYS, bucket=b).collect())
         assert got == want
     assert max(r[1] for r in want) > 1  # keys with several versions are covered
+
+
+def test_row_history_null_key_is_one_key(spark):
+    rows = [
+        (1, "b.000001", 10, 0, "EXT_WRITE_ROWS", '{"id":null,"v":1}'),
+        (1, "b.000001", 20, 0, "EXT_UPDATE_ROWS", '{"id":null,"v":2}'),
+        (1, "b.000002", 5, 0, "EXT_UPDATE_ROWS", '{"id":null,"v":3}'),
+        (1, "b.000002", 6, 0, "EXT_WRITE_ROWS", '{"id":7,"v":1}'),
+    ]
+    df = spark.createDataFrame(rows, "server_id long, binarylog string, position long, row_idx int, event string, data string")
+    for b in (1, oh.HISTORY_BUCKET):
+        key = lambda t: (-1 if t[0] is None else t[0], t[1])
+        got = sorted(((r.id, r.version, r.position, r.prev_data) for r in oh.row_history(df, {"id": "bigint"}, bucket=b).collect()), key=key)
+        assert got == [
+            (None, 1, 10, None), (None, 2, 20, '{"id":null,"v":1}'), (None, 3, 5, '{"id":null,"v":2}'), (7, 1, 6, None),
+        ]
