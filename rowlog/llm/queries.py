@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowlog.llm import bpe, decontaminate, token_counts, toxicity
+from rowlog.llm import bpe, decontaminate, line_dedup, secrets, token_counts, toxicity
 from rowlog.llm.common import table
 
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "")
@@ -32,11 +32,19 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.digest(token_counts.token_counts(docs, tokenizer_path("byte_bpe_50k.json")))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.digest(bpe.encode_decode(docs, tokenizer_path("word_bpe_49k.json")))
 
 
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.digest(line_dedup.clean_lines(table(spark, sf_dir, "documents")))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.digest(found)
@@ -45,7 +53,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
+    "op4_secrets": op4_secrets,
     "op6_bpe": op6_bpe,
+    "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
