@@ -122,9 +122,13 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, blo
     yield block
 
 
+def _mark(patterns: dict[str, list[str]]) -> str:
+    return hashlib.sha256("\0".join(f"{p}\1{','.join(i)}" for p, i in sorted(patterns.items())).encode()).hexdigest()
+
+
 def _scan_block(docs: DataFrame, patterns: dict[str, list[str]]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(patterns)
-    digest = hashlib.sha256("\0".join(f"{p}\1{','.join(i)}" for p, i in sorted(patterns.items())).encode()).hexdigest()
+    digest = _mark(patterns)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a = _automaton(shared.value, digest)
@@ -175,3 +179,26 @@ def digest(found: DataFrame) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.size("hit_words") > 0).alias("contaminated"),
     )
+
+
+def clean(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    window: int = WINDOW, block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """The documents, all columns, in which no window occurs."""
+    prepare(docs.sparkSession)
+    for patterns in _blocks(benchmark, item_col, item_text_col, window, block_chars):
+        docs = docs.where(~_hit(docs, patterns)(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    return docs
+
+
+def _hit(docs: DataFrame, patterns: dict[str, list[str]]):
+    shared = docs.sparkSession.sparkContext.broadcast(patterns)
+    digest = _mark(patterns)
+
+    @F.pandas_udf("boolean")
+    def hit(text):
+        a = _automaton(shared.value, digest)
+        return text.map(lambda t: len(scan(t, a)[1]) > 0)
+
+    return hit

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowlog.llm import bpe, decontaminate, line_dedup, secrets, token_counts, toxicity
+from rowlog.llm import bpe, decontaminate, line_dedup, near_dups, secrets, token_counts, toxicity
 from rowlog.llm.common import table
 
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "")
@@ -41,6 +41,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode_decode(docs, tokenizer_path("word_bpe_49k.json")))
 
 
+def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.digest(line_dedup.clean_lines(table(spark, sf_dir, "documents")))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_counts": op2_token_counts,
     "op4_secrets": op4_secrets,
     "op6_bpe": op6_bpe,
+    "op8_near_dups": op8_near_dups,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
 }
