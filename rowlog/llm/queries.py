@@ -5,8 +5,9 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowlog.llm import bpe, decontaminate, line_dedup, near_dups, secrets, token_counts, toxicity
+from rowlog.llm import ann, bpe, decontaminate, line_dedup, near_dups, secrets, token_counts, toxicity, urls
 from rowlog.llm.common import table
 
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "")
@@ -32,10 +33,18 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.digest(token_counts.token_counts(docs, tokenizer_path("byte_bpe_50k.json")))
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.digest(bpe.encode_decode(docs, tokenizer_path("word_bpe_49k.json")))
@@ -57,7 +66,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
+    "op3_url_filters": op3_url_filters,
     "op4_secrets": op4_secrets,
+    "op5_nearest": op5_nearest,
     "op6_bpe": op6_bpe,
     "op8_near_dups": op8_near_dups,
     "op9_line_dedup": op9_line_dedup,
