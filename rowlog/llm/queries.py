@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowlog.llm import ann, bpe, decontaminate, line_dedup, near_dups, secrets, token_counts, toxicity, urls
+from rowlog.llm import ann, bpe, decontaminate, line_dedup, near_dups, repeats, secrets, token_counts, toxicity, urls
 from rowlog.llm.common import table
 
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "")
@@ -50,6 +50,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.encode_decode(docs, tokenizer_path("word_bpe_49k.json")))
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(table(spark, sf_dir, "documents")))
+
+
 def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_secrets": op4_secrets,
     "op5_nearest": op5_nearest,
     "op6_bpe": op6_bpe,
+    "op7_repeats": op7_repeats,
     "op8_near_dups": op8_near_dups,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
