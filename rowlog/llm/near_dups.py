@@ -128,7 +128,8 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(first, len(found)), pa.ListArray.from_arrays(pa.array(ends), values)], names=["id", "shingles"])
 
-    return docs.join(ids.select(F.col("id").alias("doc_id")), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
+    # A merge at every size, so that the cost on little data tells that on much.
+    return docs.join(ids.select(F.col("id").alias("doc_id")).hint("merge"), "doc_id", "left_semi").select("doc_id", "text").mapInArrow(
         sets, "id long, shingles array<long>")
 
 

@@ -25,7 +25,8 @@ Documents are identified by doc_id and a 22-bit mark of the text, so rows
 that repeat an id with other text are documents of their own, in the order
 of the marks, and rows that repeat both are one document. Neither texts nor
 groups are collected in one place: step 1 and 2 aggregate before they join,
-and joins may be split on hot anchors.
+and joins may be split on hot anchors. Joins with texts ask for a merge at
+every size, so their cost on little data tells that on much.
 
 Edge cases: null text is empty; texts under LENGTH bytes lose nothing; a
 null doc_id counts as the smallest.
@@ -96,7 +97,7 @@ def _bytes_of(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
                 [h, salt, salts, pa.array(b.column(0).to_numpy()[of]), pos, n, pa.array(cells, pa.binary())],
                 names=["h", "salt", "salts", "id", "pos", "n", "bytes"])
 
-    return docs.join(per, ["id", "mark"]).dropDuplicates(["id", "mark"]).select("id", "text", "runs").mapInArrow(
+    return docs.join(per.hint("merge"), ["id", "mark"]).dropDuplicates(["id", "mark"]).select("id", "text", "runs").mapInArrow(
         cut, "h long, salt int, salts int, id long, pos long, n int, bytes binary")
 
 
@@ -233,7 +234,7 @@ def remove_repeats(
                 [b.column(0), *(pa.array([o[i] for o in out], pa.int64()) for i in range(3)), pa.array([o[3] for o in out], pa.binary())],
                 names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    done = rows.join(gone, ["id", "mark"], "left").select("id", "text", "gone").mapInArrow(
+    done = rows.join(gone.hint("merge"), ["id", "mark"], "left").select("id", "text", "gone").mapInArrow(
         cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return done.select(_null_again().alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
 
