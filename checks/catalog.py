@@ -1,7 +1,7 @@
 """Registered queries: name -> (spark, sf_dir) -> DataFrame.
 
-Each query builds a fixture log from the driver tables (rowlog.sources.
-fixtures), converts it and runs one operator family on the result. Column
+Each query takes a fixture log built from the driver tables (checks.fixtures),
+converts it and runs one operator family on the result. Column
 names match the DuckDB oracle in `oracle.queries`.
 """
 from __future__ import annotations
@@ -12,15 +12,18 @@ from pyspark.sql import functions as F
 from rowlog.functions import images as fi
 from rowlog.functions import text as ft
 from rowlog.functions import time as ftm
+from rowlog.functions.fingerprint import fingerprint
 from rowlog.operators import gtid as og
 from rowlog.operators import history as oh
 from rowlog.operators import protect as op
 from rowlog.operators import stats as ost
 from rowlog.operators import workload as ow
-from rowlog.plans.convert import build_changes, sequenced, tagged_row_events
+from rowlog.operators.sequence import resolve_table_maps, with_query_text
+from rowlog.plans.convert import build_changes, sequenced
 from rowlog.schema import CHANGE_COLUMNS, FILE, ROW_EVENT_TYPES
-from rowlog.sources import fixtures as fx
-from rowlog.sources.raw import assert_event_types, closed_files
+from checks import fixtures as fx
+from rowlog.session import scratch_path, written
+from rowlog.sources.raw import assert_event_types, closed_files, raw_events
 
 LOGS = {
     "orders": fx.orders_log,
@@ -28,6 +31,7 @@ LOGS = {
     "lineitem": fx.lineitem_log,
     "control": fx.control_stream,
     "shop": fx.shop_log,
+    "accounts": fx.accounts_log,
 }
 
 # Fixed values of the query parameters.
@@ -39,11 +43,22 @@ SILENT_FROM_MS, SILENT_TO_MS = 883_612_800_000, 915_148_800_000  # 1998
 CUSTOMER_SNAPSHOT_SET = fx.UUID_PREFIX + "4:1-1000"
 AUDITED_TABLES = ("shop.customer",)
 REDACT_POLICY = {"shop.customer": {"c_name": "hash", "c_mktsegment": "drop"}}
-IMAGE_KEY = "0123456789abcdef0123456789abcdef"
+ACCOUNT_KEYS = {"id": "bigint"}
+ACCOUNT_POLICY = {"shop.acct book": {"amount": "hash"}}
+
+
+_LANDED: dict[tuple[str, str, str], str] = {}
 
 
 def raw_of(spark: SparkSession, sf: str, log: str) -> DataFrame:
-    return LOGS[log](spark, sf)
+    """The event table of a fixture log: written once for a session, as a
+    decoder would land it, then scanned."""
+    key = (spark.sparkContext.applicationId, sf, log)
+    if key not in _LANDED:
+        path = scratch_path(spark, f"events-{log}")
+        LOGS[log](spark, sf).write.parquet(path)
+        _LANDED[key] = path
+    return raw_events(spark, _LANDED[key])
 
 
 def changes_of(spark: SparkSession, sf: str, log: str, **kw) -> DataFrame:
@@ -109,17 +124,20 @@ def txn_segments(spark, sf):
 
 
 def stale_query_carry(spark, sf):
-    s = seq_of(spark, sf, "control")
+    raw = raw_of(spark, sf, "control")
+    s = with_query_text(sequenced(raw), raw)
     return s.where(F.col("event_type").isin(*ROW_EVENT_TYPES)).select(*FILE, "seq", F.col("last_query").alias("query"))
 
 
 def query_txn_scope(spark, sf):
-    s = seq_of(spark, sf, "control", query_scope="txn")
+    raw = raw_of(spark, sf, "control")
+    s = with_query_text(sequenced(raw, query_scope="txn"), raw)
     return s.where(F.col("event_type").isin(*ROW_EVENT_TYPES)).select(*FILE, "seq", F.col("last_query").alias("query"))
 
 
 def table_map_resolution(spark, sf):
-    t = tagged_row_events(seq_of(spark, sf, "control"), missing="null")
+    raw = raw_of(spark, sf, "control")
+    t = resolve_table_maps(sequenced(raw), raw, missing="null")
     return t.select(*FILE, "seq", "segment", "table_id", ft.qualified_table("db", "tbl").alias("table"),
                     F.to_json("column_names").alias("column_names"))
 
@@ -141,6 +159,12 @@ def merge_gtids(spark, sf):
     return og.merge_gtids(raw_of(spark, sf, "orders"), FILE)
 
 
+def merge_gtids_fragmented(spark, sf):
+    """Every third number is missing, so runs grow with the data; small buckets."""
+    raw = raw_of(spark, sf, "orders").where((F.col("event_type") == "GTID") & (ft.gtid_txn("gtid") % 3 != 0))
+    return og.runs_to_text(og.gtid_runs(raw, FILE, bucket=64), FILE)
+
+
 def gtid_intervals(spark, sf):
     m = og.merge_gtids(raw_of(spark, sf, "orders"), FILE)
     return og.gtid_intervals(m, "merged_gtids", keep=FILE)
@@ -213,6 +237,27 @@ def first_set(spark, sf):
     return ow.first_set(_orders(spark, sf), ORDERS_KEYS, "o_orderstatus", "F")
 
 
+def _accounts(spark, sf, **kw):
+    return changes_of(spark, sf, "accounts", fingerprints=False, **kw)
+
+
+def _moved(spark, sf, column, old, new):
+    t = ow.transitions(_accounts(spark, sf), column, old, new)
+    return t.select(*FILE, "gtid", "table", fi.image_col("data", "id", "bigint").alias("id"), fi.image_col("data", "amount").alias("amount"))
+
+
+def transitions_decimal(spark, sf):
+    return _moved(spark, sf, "amount", "100.00", "75.00")
+
+
+def transitions_null(spark, sf):
+    return _moved(spark, sf, "ship.to", None, "dock").unionByName(_moved(spark, sf, "active", True, False))
+
+
+def row_history_moves(spark, sf):
+    return oh.row_history(_accounts(spark, sf), ACCOUNT_KEYS)
+
+
 def transitions(spark, sf):
     t = ow.transitions(_orders(spark, sf), "o_orderstatus", "O", "F")
     return t.select(*FILE, "position", "gtid", fi.image_col("data", "o_orderkey", "bigint").alias("o_orderkey"))
@@ -257,6 +302,11 @@ def co_changed(spark, sf):
     return ow.co_changed(ch, hit, "statement").select(*FILE, "position", "row_idx")
 
 
+def co_changed_txn(spark, sf):
+    ch = changes_of(spark, sf, "control", fingerprints=False)
+    return ow.co_changed(ch, F.col("event") == "EXT_DELETE_ROWS", "transaction").select(*FILE, "position", "row_idx")
+
+
 def audit_candidates(spark, sf):
     raw = raw_of(spark, sf, "shop").unionByName(raw_of(spark, sf, "lineitem"))
     ch = build_changes(raw, fingerprints=False)
@@ -282,6 +332,21 @@ def gtid_parse(spark, sf):
                     ft.gtid_txn_text("t").alias("txn_text"), ft.gtid_txn("t").alias("gtid_txn"))
 
 
+def fingerprint_cases(spark, sf):
+    """Statements that a rewrite by one rule after another gets wrong."""
+    i = F.col("event_id").cast("string")
+    v = _variants(spark, sf, [
+        F.concat(F.lit("INSERT INTO t VALUES ('/*', 'x"), i, F.lit("', '*/')")),
+        F.concat(F.lit("UPDATE t SET a = "), i, F.lit("--3 WHERE id = "), i),
+        F.concat(F.lit("UPDATE t SET a = 1 -- don't\n, b = 'x' WHERE id = "), i),
+        F.concat(F.lit("UPDATE `it's` SET a = 'q"), i, F.lit("'")),
+        F.concat(F.lit("UPDATE t SET a = ."), i, F.lit(" WHERE b = 1.5e-3")),
+        F.concat(F.lit("INSERT INTO t VALUES "), F.array_join(F.array_repeat(F.concat(F.lit("("), i, F.lit(", 'v', -1)")), 300), ", ")),
+        F.concat(F.lit("UPDATE t SET a = '"), F.repeat(F.lit("''"), 500), i, F.lit("' WHERE id IN (1, 2)")),
+    ])
+    return v.select("event_id", fingerprint("t").alias("query_fingerprint"))
+
+
 def padded_names(spark, sf):
     i = F.col("event_id").cast("string")
     v = _variants(spark, sf, [
@@ -336,10 +401,16 @@ def redacted_changes(spark, sf):
     return ch.select(*FILE, "position", "row_idx", "data", "old", "changed", "columns")
 
 
+def redacted_query(spark, sf):
+    ch = _accounts(spark, sf, redact=ACCOUNT_POLICY)
+    return ch.groupBy("table", "query").agg(F.count(F.lit(1)).alias("n"))
+
+
 def encrypted_roundtrip(spark, sf):
     ch = changes_of(spark, sf, "customer", fingerprints=False).select(*FILE, "position", "row_idx", "data", "old", "changed")
-    enc = op.encrypt_images(ch, IMAGE_KEY)
-    return op.decrypt_images(enc, IMAGE_KEY)
+    key = written(spark.range(1).select(F.substring(F.sha2(F.expr("uuid()"), 256), 1, 32).alias("key")), "key")
+    enc = written(op.encrypt_images(ch, key.scalar()), "encrypted")
+    return op.decrypt_images(enc, key.scalar())
 
 
 def event_type_gate(spark, sf):
@@ -355,7 +426,7 @@ def event_type_gate(spark, sf):
 def closed_logs(spark, sf):
     raw = raw_of(spark, sf, "orders")
     listing = raw.select("server_id", "binarylog").distinct()
-    current = listing.groupBy("server_id").agg(F.max("binarylog").alias("binarylog"))
+    current = listing.groupBy("server_id").agg(F.max_by("binarylog", ft.padded_seq("binarylog")).alias("binarylog"))
     return closed_files(listing, current, keys=["server_id"]).select("server_id", "binarylog", "log_seq")
 
 
@@ -369,8 +440,9 @@ QUERIES = {
         table_op_counts, table_event_counts, txn_rollup,
         query_fingerprint, new_query_shapes, shape_volume, statement_stats_join,
         state_at, state_at_preimage, row_history, first_set, transitions, after_gtid_set, bootstrap,
-        write_rate, delete_storms, silent_tables, co_changed, audit_candidates,
-        gtid_parse, padded_names, table_keys, time_formats, json_images,
+        transitions_decimal, transitions_null, row_history_moves, merge_gtids_fragmented,
+        write_rate, delete_storms, silent_tables, co_changed, co_changed_txn, audit_candidates,
+        gtid_parse, fingerprint_cases, redacted_query, padded_names, table_keys, time_formats, json_images,
         filtered_tables, redacted_changes, encrypted_roundtrip, event_type_gate, closed_logs,
     ]
 }
@@ -378,7 +450,7 @@ QUERIES = {
 
 # ---- sinks and streams (K1-K8, S4, S5, T1-T4) ------------------------------
 def _lake(spark, sf, log="shop", by_file=False):
-    from rowlog.session import scratch_path
+    from rowlog.session import scratch_path, written
     from rowlog.sinks.parquet import write_by_table
 
     root = scratch_path(spark, "lake")
@@ -401,7 +473,7 @@ def lake_one_table(spark, sf):
 
 
 def single_file_roundtrip(spark, sf):
-    from rowlog.session import scratch_path
+    from rowlog.session import scratch_path, written
     from rowlog.sinks.parquet import write_single
 
     path = scratch_path(spark, "single")
@@ -420,7 +492,7 @@ def output_audit(spark, sf):
 
 
 def written_stats(spark, sf):
-    from rowlog.session import scratch_path
+    from rowlog.session import scratch_path, written
     from rowlog.sinks.parquet import write_stats
 
     root = scratch_path(spark, "stats")
@@ -432,7 +504,7 @@ def written_stats(spark, sf):
 
 def _landed_events(spark, sf, log):
     """Land a fixture log as event-table files, each holding whole log files."""
-    from rowlog.session import scratch_path
+    from rowlog.session import scratch_path, written
 
     src = scratch_path(spark, "events")
     raw_of(spark, sf, log).repartition(*FILE).write.parquet(src)
@@ -440,7 +512,7 @@ def _landed_events(spark, sf, log):
 
 
 def stream_convert(spark, sf):
-    from rowlog.session import scratch_path
+    from rowlog.session import scratch_path, written
     from rowlog.sinks.parquet import read_lake
     from rowlog.streaming.stream import stream_convert as start
 
@@ -452,7 +524,7 @@ def stream_convert(spark, sf):
 
 
 def stream_write_rate(spark, sf):
-    from rowlog.session import scratch_path
+    from rowlog.session import scratch_path, written
     from rowlog.streaming.stream import stream_write_rate as start
 
     out = scratch_path(spark, "rate")
@@ -461,7 +533,7 @@ def stream_write_rate(spark, sf):
 
 
 def stream_query_shapes(spark, sf):
-    from rowlog.session import scratch_path
+    from rowlog.session import scratch_path, written
     from rowlog.streaming.stream import stream_query_shapes as start
 
     root = scratch_path(spark, "lake")
@@ -473,8 +545,100 @@ def stream_query_shapes(spark, sf):
     return spark.read.parquet(out)
 
 
+def _renamed(raw: DataFrame, base: str) -> DataFrame:
+    """The same log under another base name: same server, same number."""
+    return raw.withColumn("binarylog", F.concat(F.lit(base + "."), F.substring_index("binarylog", ".", -1)))
+
+
+def _per_log(lake: DataFrame) -> DataFrame:
+    return lake.groupBy("log_base", "server_id", "table_key").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("log_seq").alias("logs"))
+
+
+def lake_two_bases(spark, sf):
+    """Two logs of one server and number in one lake, the second one twice."""
+    from rowlog.sinks.parquet import read_lake, write_by_table
+
+    root = scratch_path(spark, "lake")
+    raw = raw_of(spark, sf, "customer")
+    for base in ("cust-bin", "other-bin", "other-bin"):
+        write_by_table(build_changes(_renamed(raw, base), fingerprints=False), root, by_file=True)
+    return _per_log(read_lake(spark, root, by_file=True))
+
+
+def lake_table_exact(spark, sf):
+    from rowlog.sinks.parquet import read_lake, write_by_table
+
+    root = scratch_path(spark, "lake")
+    write_by_table(_accounts(spark, sf), root, by_file=True)
+    one = read_lake(spark, root, by_file=True, tables=["shop.acct book"])
+    return one.groupBy("table", "table_key", "event").agg(F.count(F.lit(1)).alias("n"))
+
+
+def stream_two_batches(spark, sf):
+    from rowlog.sinks.parquet import read_lake
+    from rowlog.streaming.stream import stream_convert as start
+
+    src, dst, ckpt = (scratch_path(spark, f"two-{x}") for x in ("src", "lake", "ckpt"))
+    raw = raw_of(spark, sf, "customer")
+    for base in ("cust-bin", "other-bin"):
+        _renamed(raw, base).repartition(*FILE).write.mode("append").parquet(src)
+        start(spark, src, dst, ckpt, fingerprints=False).awaitTermination()
+    return _per_log(read_lake(spark, dst, by_file=True))
+
+
+def convert_job(spark, sf):
+    """The whole job on a landed event table; every row carries its table's audit."""
+    from rowlog.plans.convert import convert
+    from rowlog.sinks.parquet import read_lake
+
+    src, dst = _landed_events(spark, sf, "accounts"), scratch_path(spark, "job")
+    done = convert(spark, src, dst)
+    audit = done.audit.select("table_key", F.col("ok").alias("audit_ok"), F.col("expected_rows").alias("audit_rows"))
+    return read_lake(spark, dst, by_file=True).join(audit, "table_key").select(
+        *FILE, "position", "row_idx", "table", "event", "data", F.unix_millis("timestamp_string").alias("instant_ms"), "audit_ok", "audit_rows")
+
+
+def empty_lake(spark, sf):
+    """Events without row changes: the lake is empty, readable, and reported."""
+    from rowlog.plans.convert import convert
+    from rowlog.sinks.parquet import read_lake
+
+    src, dst = scratch_path(spark, "no-rows"), scratch_path(spark, "empty")
+    raw_of(spark, sf, "customer").where(~F.col("event_type").isin(*ROW_EVENT_TYPES)).write.parquet(src)
+    done = convert(spark, src, dst)
+    rows = read_lake(spark, dst, by_file=True).count() + done.audit.count()
+    return done.event_type_counts.withColumn("lake_rows", F.lit(rows).cast("long"))
+
+
+def stream_rate_append(spark, sf):
+    """Hourly rates, each once: the second batch rewrites what the first had."""
+    from rowlog.sinks.parquet import write_by_table
+    from rowlog.streaming.stream import stream_write_rate as start
+
+    lake, out, ckpt = (scratch_path(spark, f"rate-{x}") for x in ("lake", "out", "ckpt"))
+    ch = written(changes_of(spark, sf, "customer", fingerprints=False), "rate-changes")
+    half = ch.where(F.col("timestamp") <= ch.select(F.expr("(min(timestamp) + max(timestamp)) div 2").alias("t")).scalar())
+    for part in (half, ch):
+        write_by_table(part, lake, by_file=True)
+        start(spark, lake, out, ckpt, watermark="1 hour", output_mode="append", by_file=True).awaitTermination()
+    return spark.read.parquet(out)
+
+
+def stream_first_seen(spark, sf):
+    """One alert a shape, although the second batch has the same rows again."""
+    from rowlog.sinks.parquet import write_by_table
+    from rowlog.streaming.stream import stream_first_seen as start
+
+    lake, out, ckpt = (scratch_path(spark, f"seen-{x}") for x in ("lake", "out", "ckpt"))
+    for log in ("customer", "shop"):
+        write_by_table(changes_of(spark, sf, log), lake, by_file=True)
+        start(spark, lake, out, ckpt, by_file=True).awaitTermination()
+    return spark.read.parquet(out).groupBy("query_hash", "query_fingerprint").agg(F.count(F.lit(1)).alias("alerts"))
+
+
 QUERIES.update({
     f.__name__: f
-    for f in [per_table_roundtrip, lake_one_table, single_file_roundtrip, output_audit, written_stats,
+    for f in [lake_two_bases, lake_table_exact, stream_two_batches, convert_job, empty_lake, stream_rate_append,
+              stream_first_seen, per_table_roundtrip, lake_one_table, single_file_roundtrip, output_audit, written_stats,
               stream_convert, stream_write_rate, stream_query_shapes]
 })

@@ -20,13 +20,14 @@ DAY_MS = 86_400_000
 ORDERS_PER_FILE = 500
 CUSTOMERS_PER_FILE = 1000
 LINE_ORDERS_PER_FILE = 2000
-ROWS_PER_EVENT = 8  # a multi-row event is split like a server splits large statements
 ORDERS_COLUMNS = ["o_orderkey", "o_orderstatus", "cents", "o_orderpriority"]
 CUSTOMER_COLUMNS = ["c_custkey", "c_name", "balance_cents", "c_mktsegment"]
 LINEITEM_COLUMNS = [
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
     "l_quantity", "price_cents", "l_returnflag", "l_linestatus",
 ]
+ACCOUNT_COLUMNS = ["id", "amount", "ship.to", "active"]
+ACCOUNT_TABLE_ID, ACCOUNT_MOVE = 200, 100_000_000
 CONTROL_COLUMNS = ["id", "user_id", "cents"]
 ORDERS_TABLE_ID, CUSTOMER_TABLE_ID, LINEITEM_TABLE_ID = 101, 102, 103
 CUSTOMER_EPOCH_MS = 1_704_067_200_000  # 2024-01-01 00:00:00 UTC
@@ -44,6 +45,11 @@ def _s(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
 
+def _file_number(n: Column) -> Column:
+    """Six digits at least; longer numbers stay whole."""
+    return F.format_string("%06d", n)
+
+
 def _conform(df: DataFrame) -> DataFrame:
     """Select the raw contract columns, typed, filling absent ones with null."""
     cols = []
@@ -137,7 +143,7 @@ def orders_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     fileno = F.expr(f"key div 3 div {ORDERS_PER_FILE}")
     return ch.select(
         (key % 3 + 1).alias("server_id"),
-        F.concat(F.lit("mysql-bin."), F.lpad(_s(fileno + 8), 6, "0")).alias("binarylog"),
+        F.concat(F.lit("mysql-bin."), _file_number(fileno + 8)).alias("binarylog"),
         (m * 3 + F.col("kind")).alias("cseq"),
         (m * 3 + F.col("kind")).alias("txn"),
         (fileno * ORDERS_PER_FILE * 3).alias("file_base"),
@@ -180,7 +186,7 @@ def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     fileno = F.expr(f"key div {CUSTOMERS_PER_FILE}")
     ch = ch.select(
         F.lit(4).cast("long").alias("server_id"),
-        F.concat(F.lit("cust-bin."), F.lpad(_s(fileno + 1), 6, "0")).alias("binarylog"),
+        F.concat(F.lit("cust-bin."), _file_number(fileno + 1)).alias("binarylog"),
         cseq.alias("cseq"),
         cseq.alias("txn"),
         (fileno * CUSTOMERS_PER_FILE * 2).alias("file_base"),
@@ -194,9 +200,55 @@ def customer_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _expand_changes(ch)
 
 
+def accounts_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Server 6, tables `shop.acct book` (even keys) and `shop.acct_book`: names
+    that fold to one folder name, decimals with scale, nulls, a dotted column
+    and keys that change. Every customer: insert; update of amount (100.00 to
+    75.00 for every third), null and boolean; every fifth moves to another id
+    and is updated there."""
+    c = _read(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("key"), F.format_string("%.2f", F.col("c_acctbal").cast("double")).alias("bal"))
+    key = F.col("key")
+    third, k, moved = key % 3 == 0, _s(key), _s(key + ACCOUNT_MOVE)
+    first = F.when(third, F.lit("100.00")).otherwise(F.col("bal"))
+    second = F.when(third, F.lit("75.00")).otherwise(F.lit("1.10"))
+    null = F.lit(None).cast("string")
+    v1 = F.array(k, first, null, F.lit("true"))
+    v2 = F.array(k, second, F.lit('"dock"'), F.lit("false"))
+    v3 = F.array(moved, second, F.lit('"dock"'), F.lit("false"))
+    v4 = F.array(moved, F.lit("0.50"), F.lit('"dock"'), F.lit("false"))
+    tbl = F.when(key % 2 == 0, F.lit("acct book")).otherwise(F.lit("acct_book"))
+    name = F.concat(F.lit("`"), tbl, F.lit("`"))
+    update = F.concat(F.lit("UPDATE "), name, F.lit(" SET amount = "))
+    steps = [
+        (F.lit(True), "EXT_WRITE_ROWS", _one_row(F.lit(None), v1), F.concat(F.lit("INSERT INTO "), name, F.lit(" VALUES ("), k, F.lit(", "), first, F.lit(", 'none', 1)"))),
+        (F.lit(True), "EXT_UPDATE_ROWS", _one_row(v1, v2), F.concat(update, second, F.lit(", `ship.to` = 'dock' WHERE id = "), k)),
+        (key % 5 == 0, "EXT_UPDATE_ROWS", _one_row(v2, v3), F.concat(F.lit("UPDATE "), name, F.lit(" SET id = "), moved, F.lit(" WHERE id = "), k)),
+        (key % 5 == 0, "EXT_UPDATE_ROWS", _one_row(v3, v4), F.concat(update, F.lit("0.50 WHERE id = "), moved)),
+    ]
+    ch = None
+    for i, (when, etype, rows, stmt) in enumerate(steps):
+        one = c.where(when).select("key", tbl.alias("tbl"), F.lit(i).alias("kind"), F.lit(etype).alias("etype"), rows.alias("rows"), stmt.alias("stmt"))
+        ch = one if ch is None else ch.unionByName(one)
+    fileno = F.expr(f"key div {CUSTOMERS_PER_FILE}")
+    cseq = key * len(steps) + F.col("kind")
+    ch = ch.select(
+        F.lit(6).cast("long").alias("server_id"),
+        F.concat(F.lit("acct-bin."), _file_number(fileno + 1)).alias("binarylog"),
+        cseq.alias("cseq"), cseq.alias("txn"),
+        (fileno * CUSTOMERS_PER_FILE * len(steps)).alias("file_base"),
+        (F.lit(CUSTOMER_EPOCH_MS) + cseq * 60_000).alias("ts"),
+        "etype", "stmt", "rows",
+        (F.lit(ACCOUNT_TABLE_ID) + key % 2).alias("table_id"),
+        F.lit("shop").alias("db"), "tbl",
+        F.array(*[F.lit(x) for x in ACCOUNT_COLUMNS]).alias("column_names"),
+    )
+    return _expand_changes(ch)
+
+
 def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Server 5, table shop.lineitem: one multi-row WRITE event per order's
-    lines (split every ROWS_PER_EVENT rows), rows in a total order."""
+    """Server 5, table shop.lineitem: one multi-row WRITE event per order,
+    holding all its lines in a total order."""
     li = _read(spark, sf_dir, "lineitem")
     order_cols = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
                   "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
@@ -207,7 +259,7 @@ def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         cell_literal("l_returnflag"), cell_literal("l_linestatus"),
     )
     r = li.select("l_orderkey", "l_shipdate", after.alias("after"), F.row_number().over(w).alias("rn"))
-    ev = r.groupBy("l_orderkey", F.expr(f"(rn - 1) div {ROWS_PER_EVENT}").alias("chunk")).agg(
+    ev = r.groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(F.struct("rn", "after"))).alias("_rows"),
         F.min("l_shipdate").alias("_ship"),
     )
@@ -216,14 +268,14 @@ def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("INSERT INTO lineitem VALUES "),
         F.array_join(F.transform("_rows", lambda x: F.concat(F.lit("("), F.array_join(x["after"], ", "), F.lit(")"))), ", "),
     )
-    cseq = F.col("l_orderkey") * 2 + F.col("chunk")
+    cseq = F.col("l_orderkey")
     fileno = F.expr(f"l_orderkey div {LINE_ORDERS_PER_FILE}")
     ch = ev.select(
         F.lit(5).cast("long").alias("server_id"),
-        F.concat(F.lit("line-bin."), F.lpad(_s(fileno + 1), 6, "0")).alias("binarylog"),
+        F.concat(F.lit("line-bin."), _file_number(fileno + 1)).alias("binarylog"),
         cseq.alias("cseq"),
         cseq.alias("txn"),
-        (fileno * LINE_ORDERS_PER_FILE * 2).alias("file_base"),
+        (fileno * LINE_ORDERS_PER_FILE).alias("file_base"),
         epoch_millis("_ship").alias("ts"),
         F.lit("EXT_WRITE_ROWS").alias("etype"),
         stmt.alias("stmt"),

@@ -92,7 +92,21 @@ def change_counter():
 
 
 def multi_row_explode():
-    return with_(nofp("lineitem"), f"SELECT {FILE}, position, row_idx, gtid, counter, data, columns FROM changes")
+    """Straight from `lineitem`: an order is one event, the 4th of its five."""
+    order = ("l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, "
+             "l_returnflag, l_linestatus, l_shipdate")
+    data = ("'{\"l_orderkey\":' || l_orderkey || ',\"l_linenumber\":' || l_linenumber || ',\"l_partkey\":' || l_partkey "
+            "|| ',\"l_suppkey\":' || l_suppkey || ',\"l_quantity\":' || CAST(l_quantity AS BIGINT) "
+            "|| ',\"price_cents\":' || CAST(round(l_extendedprice * 100) AS BIGINT) "
+            "|| ',\"l_returnflag\":\"' || l_returnflag || '\",\"l_linestatus\":\"' || l_linestatus || '\"}'")
+    return f"""
+SELECT CAST(5 AS BIGINT) AS server_id, 'line-bin.' || printf('%06d', file + 1) AS binarylog,
+  CAST(4 + 100 * ((l_orderkey - file * 2000) * 5 + 3) AS BIGINT) AS position, CAST(rn - 1 AS INTEGER) AS row_idx,
+  '{UUID_PREFIX}5:' || l_orderkey AS gtid,
+  CAST(row_number() OVER (PARTITION BY file ORDER BY l_orderkey, rn) AS BIGINT) AS counter, data,
+  '["l_orderkey","l_linenumber","l_partkey","l_suppkey","l_quantity","price_cents","l_returnflag","l_linestatus"]' AS columns
+FROM (SELECT l_orderkey, l_orderkey // 2000 AS file, {data} AS data,
+        row_number() OVER (PARTITION BY l_orderkey ORDER BY {order}) AS rn FROM lineitem) x"""
 
 
 def statements():
@@ -239,7 +253,8 @@ def shape_volume():
 SELECT query_hash, query_fingerprint, "table", CAST(count(*) AS BIGINT) AS n_rows,
   CAST(count(*) FILTER (WHERE {op_class('event')} = 'write') AS BIGINT) AS writes,
   CAST(count(*) FILTER (WHERE {op_class('event')} = 'update') AS BIGINT) AS updates,
-  CAST(count(*) FILTER (WHERE {op_class('event')} = 'delete') AS BIGINT) AS deletes
+  CAST(count(*) FILTER (WHERE {op_class('event')} = 'delete') AS BIGINT) AS deletes,
+  round(count(*) / sum(count(*)) OVER (PARTITION BY "table"), 6) AS write_share
 FROM changes WHERE query_hash IS NOT NULL GROUP BY query_hash, query_fingerprint, "table\"""")
 
 
@@ -305,9 +320,9 @@ FROM (SELECT *, {_key('data')} AS o_orderkey FROM changes) c""")
 
 def first_set():
     return with_(nofp("orders"), f"""
-SELECT o_orderkey, f.gtid AS gtid, f.timestamp AS timestamp, f.binarylog AS binarylog, f.position AS position FROM (
+SELECT o_orderkey, f.gtid AS gtid, f.timestamp AS timestamp, f.binarylog AS binarylog, f.position AS position, f.query AS query FROM (
   SELECT {_key('data')} AS o_orderkey,
-    arg_min({{'gtid': gtid, 'timestamp': timestamp, 'binarylog': binarylog, 'position': position}}, {_ord()}) AS f
+    arg_min({{'gtid': gtid, 'timestamp': timestamp, 'binarylog': binarylog, 'position': position, 'query': query}}, {_ord()}) AS f
   FROM changes
   WHERE (event = 'EXT_WRITE_ROWS' AND json_extract_string(data, '$.o_orderstatus') = 'F')
      OR (event = 'EXT_UPDATE_ROWS' AND json_extract_string(changed, '$.o_orderstatus.new') = 'F')
@@ -480,7 +495,7 @@ GROUP BY event_type, accepted""")
 def closed_logs():
     return with_(raw_ctes("orders"), f"""
 SELECT server_id, binarylog, {padded_seq('binarylog')} AS log_seq FROM (SELECT DISTINCT server_id, binarylog FROM ord_raw) l
-WHERE binarylog <> (SELECT max(binarylog) FROM ord_raw r WHERE r.server_id = l.server_id)""")
+WHERE binarylog <> (SELECT arg_max(binarylog, CAST(split_part(binarylog, '.', -1) AS BIGINT)) FROM ord_raw r WHERE r.server_id = l.server_id)""")
 
 
 # ---- sinks and streams ---------------------------------------------------------
@@ -522,6 +537,122 @@ SELECT query_hash, min(timestamp) AS first_seen, CAST(count(*) AS BIGINT) AS row
 FROM changes WHERE query_hash IS NOT NULL GROUP BY query_hash""")
 
 
+# ---- the accounts log, straight from `customer` ---------------------------------
+def _accounts(rest: str) -> str:
+    """One row per change: key, kind, cseq, event, table, before/after parts."""
+    def img(i, amount, ship, active):
+        return f"""'{{"id":' || {i} || ',"amount":' || {amount} || ',"ship.to":{ship},"active":{active}}}'"""
+
+    v1 = img("key", "a1", "null", "true")
+    v2, v3, v4 = img("key", "a2", '"dock"', "false"), img("mid", "a2", '"dock"', "false"), img("mid", "'0.50'", '"dock"', "false")
+    return f"""
+WITH c AS (SELECT c_custkey AS key, c_custkey + 100000000 AS mid,
+    CASE WHEN c_custkey % 3 = 0 THEN '100.00' ELSE printf('%.2f', CAST(c_acctbal AS DOUBLE)) END AS a1,
+    CASE WHEN c_custkey % 3 = 0 THEN '75.00' ELSE '1.10' END AS a2,
+    CASE WHEN c_custkey % 2 = 0 THEN 'acct book' ELSE 'acct_book' END AS tbl FROM customer),
+k AS (
+  SELECT *, 0 AS kind, 'EXT_WRITE_ROWS' AS event, NULL AS old, {v1} AS data FROM c
+  UNION ALL SELECT *, 1, 'EXT_UPDATE_ROWS', {v1}, {v2} FROM c
+  UNION ALL SELECT *, 2, 'EXT_UPDATE_ROWS', {v2}, {v3} FROM c WHERE key % 5 = 0
+  UNION ALL SELECT *, 3, 'EXT_UPDATE_ROWS', {v3}, {v4} FROM c WHERE key % 5 = 0),
+b AS (SELECT *, CAST(6 AS BIGINT) AS server_id, key * 4 + kind AS cseq, 'shop.' || tbl AS "table",
+    'acct-bin.' || printf('%06d', key // 1000 + 1) AS binarylog,
+    -- an event is 100 bytes, a change six of them; its row event starts where the fourth ends
+    CAST(4 + 100 * ((key * 4 + kind - (key // 1000) * 4000) * 6 + 4) AS BIGINT) AS position FROM k)
+{rest}"""
+
+
+def transitions_decimal():
+    return _accounts(f"""
+SELECT server_id, binarylog, '{UUID_PREFIX}6:' || cseq AS gtid, "table", key AS id, a2 AS amount FROM b WHERE kind = 1 AND key % 3 = 0""")
+
+
+def transitions_null():
+    one = f"""SELECT server_id, binarylog, '{UUID_PREFIX}6:' || cseq AS gtid, "table", key AS id, a2 AS amount FROM b WHERE kind = 1"""
+    return _accounts(f"{one} UNION ALL {one}")
+
+
+def row_history_moves():
+    w = "PARTITION BY id ORDER BY cseq, sub"
+    return _accounts(f"""
+SELECT id, CAST(row_number() OVER ({w}) AS INTEGER) AS version, event, binarylog, position, data, lag(data) OVER ({w}) AS prev_data
+FROM (SELECT CASE WHEN kind < 2 THEN key ELSE mid END AS id, event, binarylog, position, data, cseq, 1 AS sub FROM b
+      UNION ALL SELECT key, event, binarylog, position, NULL, cseq, 0 FROM b WHERE kind = 2) x""")
+
+
+def redacted_query():
+    shapes = ("CASE kind WHEN 0 THEN 'INSERT INTO `' || tbl || '` VALUES (?, ?, ?, ?)' "
+              "WHEN 1 THEN 'UPDATE `' || tbl || '` SET amount = ?, `ship.to` = ? WHERE id = ?' "
+              "WHEN 2 THEN 'UPDATE `' || tbl || '` SET id = ? WHERE id = ?' ELSE 'UPDATE `' || tbl || '` SET amount = ? WHERE id = ?' END")
+    return _accounts(f'SELECT "table", {shapes} AS query, CAST(count(*) AS BIGINT) AS n FROM b GROUP BY 1, 2')
+
+
+def lake_table_exact():
+    return _accounts("""
+SELECT "table", 'shop.acct_book' AS table_key, event, CAST(count(*) AS BIGINT) AS n FROM b WHERE "table" = 'shop.acct book' GROUP BY 1, 2, 3""")
+
+
+def convert_job():
+    return _accounts("""
+SELECT server_id, binarylog, position, CAST(0 AS INTEGER) AS row_idx, "table", event, data,
+  CAST(1704067200000 + cseq * 60000 AS BIGINT) AS instant_ms, true AS audit_ok, CAST(count(*) OVER () AS BIGINT) AS audit_rows FROM b""")
+
+
+def merge_gtids_fragmented():
+    ctes = raw_ctes("orders") + [("kept", f"SELECT * FROM ord_raw WHERE event_type = 'GTID' AND {gtid_txn('gtid')} % 3 <> 0")]
+    return with_(ctes + merged_ctes("kept"), "SELECT * FROM merged")
+
+
+def fingerprint_cases():
+    shapes = ["INSERT INTO t VALUES (?, ?, ?)", "UPDATE t SET a = ?--? WHERE id = ?", "UPDATE t SET a = ?, b = ? WHERE id = ?",
+              "UPDATE `it's` SET a = ?", "UPDATE t SET a = ? WHERE b = ?", "INSERT INTO t VALUES (?, ?, ?)",
+              "UPDATE t SET a = ? WHERE id IN (...)"]
+    quoted = ["'" + x.replace("'", "''") + "'" for x in shapes]
+    return f"SELECT event_id, {_variants(quoted)} AS query_fingerprint FROM events"
+
+
+def co_changed_txn():
+    unit = "coalesce(gtid_position, '@' || position)"
+    return with_(nofp("control") + [("u", f"SELECT *, {unit} AS unit FROM changes")], f"""
+SELECT {FILE}, position, row_idx FROM u c WHERE EXISTS (SELECT 1 FROM u h WHERE h.event = 'EXT_DELETE_ROWS'
+  AND h.server_id = c.server_id AND h.binarylog = c.binarylog AND h.unit = c.unit)""")
+
+
+def _two_bases():
+    return """
+SELECT base AS log_base, CAST(4 AS BIGINT) AS server_id, 'shop.customer' AS table_key,
+  CAST(count(*) + count(*) FILTER (WHERE c_custkey % 5 = 0) AS BIGINT) AS n, CAST(count(DISTINCT c_custkey // 1000) AS BIGINT) AS logs
+FROM customer, (VALUES ('cust-bin'), ('other-bin')) v(base) GROUP BY base"""
+
+
+def lake_two_bases():
+    return _two_bases()
+
+
+def stream_two_batches():
+    return _two_bases()
+
+
+def empty_lake():
+    return """
+SELECT e AS event_type, CAST(n AS BIGINT) AS events, CAST(0 AS BIGINT) AS rows, CAST(n AS BIGINT) AS reference_count, CAST(0 AS BIGINT) AS lake_rows
+FROM (SELECT count(*) + count(*) FILTER (WHERE c_custkey % 5 = 0) AS n FROM customer) c,
+  (VALUES ('GTID'), ('QUERY'), ('ROWS_QUERY'), ('TABLE_MAP'), ('XID')) v(e)"""
+
+
+def stream_rate_append():
+    return f"""
+WITH t AS (SELECT 1704067200000 + (c_custkey * 2 + 1) * 60000 AS ts, 'write' AS op FROM customer
+  UNION ALL SELECT 1704067200000 + (c_custkey * 2 + 2) * 60000, 'update' FROM customer WHERE c_custkey % 5 = 0)
+SELECT CAST({_bucket(HOUR).replace('timestamp', 'ts')} AS BIGINT) AS bucket_start, 'shop.customer' AS "table", op, CAST(count(*) AS BIGINT) AS n
+FROM t GROUP BY 1, 2, 3 HAVING bucket_start + {HOUR} <= (SELECT max(ts) FROM t) - {HOUR}"""
+
+
+def stream_first_seen():
+    return with_(pipeline("shop"), """
+SELECT query_hash, query_fingerprint, CAST(1 AS BIGINT) AS alerts FROM changes WHERE query_hash IS NOT NULL GROUP BY query_hash, query_fingerprint""")
+
+
 SQL = {
     f.__name__: f
     for f in [
@@ -537,6 +668,9 @@ SQL = {
         filtered_tables, redacted_changes, encrypted_roundtrip, event_type_gate, closed_logs,
         per_table_roundtrip, lake_one_table, single_file_roundtrip, output_audit, written_stats,
         stream_convert, stream_write_rate, stream_query_shapes,
+        transitions_decimal, transitions_null, row_history_moves, redacted_query, lake_table_exact, convert_job,
+        merge_gtids_fragmented, fingerprint_cases, co_changed_txn, lake_two_bases, stream_two_batches, empty_lake,
+        stream_rate_append, stream_first_seen,
     ]
 }
 

@@ -1,40 +1,62 @@
 """SQL text normalization: literals become '?', so one statement shape has one
 fingerprint, and its SHA-256 is the shape's hash.
 
-Patterns are plain (no look-around, no possessive forms) and use character
-classes instead of nested repetition, so they run in Java's engine without deep
-backtracking on long statements.
+A statement is cut into tokens in one pass from left to right: comments,
+quoted strings, backtick names, numbers, words, blanks and single characters,
+whichever starts first. So a comment mark inside a string is text, a quote
+inside a comment is a comment, and `--` opens a comment only before a blank.
+No pattern repeats a group, so a long statement costs neither backtracking
+nor stack; possessive quantifiers keep every token linear.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The rewrite chain, applied in this order (pattern, replacement).
-FINGERPRINT_RULES = (
-    (r"(?s)/\*.*?\*/", " "),  # block comments
-    (r"'[^'\\]*(?:(?:\\.|'')[^'\\]*)*'", "?"),  # single-quoted strings
-    (r'"[^"\\]*(?:(?:\\.|"")[^"\\]*)*"', "?"),  # double-quoted strings
-    (r"(?:--|#)[^\r\n]*", " "),  # line comments
-    (r"\b0[xX][0-9a-fA-F]+\b", "?"),  # hex numbers
-    (r"\b0[bB][01]+\b", "?"),  # bit numbers
-    (r"\b[xXbB]\?", "?"),  # X'..' and B'..' after string rewrite
-    (r"\b[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?\b", "?"),  # numbers
-    (r"([(,=<>]\s*)-\s*\?", "$1?"),  # negative numbers
-    (r"\s+", " "),  # whitespace runs
-    (r"\s*,\s*", ", "),
-    (r"\(\s+", "("),
-    (r"\s+\)", ")"),
-    (r"(?i)\bIN\s*\(\?(?:, \?)*\)", "IN (...)"),  # IN lists
-    (r"(\((?:\?, )*\?\))(?:, \((?:\?, )*\?\))+", "$1"),  # multi-row VALUES
+# An escaped quote or backslash never ends a string, so it may go beforehand.
+_ESCAPES = r"""\\['"\\]"""
+_COMMENT = r"/\*(?s:.*?)(?:\*/|\z)|--(?=\s|\z)[^\r\n]*+|#[^\r\n]*+"
+_QUOTED = r"""[xXbBnN]?+'[^']*+'?+|"[^"]*+"?+"""
+_NAME = "`[^`]*+`?+"
+_NUMBER = (
+    r"0[xX][0-9a-fA-F]++(?![\w$])|0[bB][01]++(?![\w$])"
+    r"|[0-9]++(?:\.[0-9]*+)?+(?:[eE][+-]?+[0-9]++)?+(?![\w$])|(?<![\w$`.])\.[0-9]++(?:[eE][+-]?+[0-9]++)?+"
+)
+_TOKEN = "|".join((_COMMENT, _QUOTED, _NAME, _NUMBER, r"[\w$\x{80}-\x{10FFFF}&&[^\s]]++", r"\s++", r"(?s:.)"))
+
+
+def _shape_of(token: Column) -> Column:
+    first, two = F.substring(token, 1, 1), F.substring(token, 1, 2)
+    comment = (two == "/*") | (first == "#") | ((two == "--") & (F.length(token) > 1))
+    literal = (
+        first.isin("'", '"')
+        | token.rlike(r"\A[xXbBnN]'")
+        | token.rlike(r"\A(?:0[xX][0-9a-fA-F]+|0[bB][01]+|[0-9]+(?:\.[0-9]*)?(?:[eE][+-]?[0-9]+)?|\.[0-9]+(?:[eE][+-]?[0-9]+)?)\z")
+    )
+    return F.when(comment, F.lit(" ")).when(literal, F.lit("?")).otherwise(token)
+
+
+# What follows on the short normalized text, in this order. Each
+# pattern matches one item of a list at a time.
+_TIDY = (
+    (r"\?{2,}+", "?"),  # adjacent strings are one literal
+    (r"\s++", " "),
+    (r" ?, ?", ", "),
+    (r"\( ", "("),
+    (r" \)", ")"),
+    (r"([(,=<>] ?)- ?\?", "$1?"),  # negative numbers
+    (r"(?i)\bIN ?\([?, ]++\)", "IN (...)"),
+    (r"(?<=\?\)), \([?, ]++\)", ""),  # further rows of VALUES
 )
 
 
 def fingerprint(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    for pattern, repl in FINGERPRINT_RULES:
-        c = F.regexp_replace(c, pattern, repl)
-    return F.trim(c)
+    tokens = F.regexp_extract_all(F.regexp_replace(c, _ESCAPES, ""), F.lit(_TOKEN), F.lit(0))
+    out = F.array_join(F.transform(tokens, _shape_of), "")
+    for pattern, repl in _TIDY:
+        out = F.regexp_replace(out, pattern, repl)
+    return F.trim(out)
 
 
 def query_hash(fp) -> Column:

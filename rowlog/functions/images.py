@@ -7,6 +7,9 @@ compare with scale would.
 """
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,9 +47,7 @@ def changed_index(before, after) -> Column:
     """0-based positions whose cell text differs, null-safe, in column order."""
     before, after = _c(before), _c(after)
     idx = F.transform(after, lambda a, i: i)
-    return F.filter(
-        idx, lambda i: ~F.element_at(before, i + 1).eqNullSafe(F.element_at(after, i + 1))
-    )
+    return F.filter(idx, lambda i: ~F.get(before, i).eqNullSafe(F.get(after, i)))
 
 
 def row_diff(qnames, before, after, idx=None) -> Column:
@@ -58,9 +59,9 @@ def row_diff(qnames, before, after, idx=None) -> Column:
         lambda i: F.concat(
             F.element_at(qnames, i + 1),
             F.lit(':{"old":'),
-            _cell(F.element_at(before, i + 1)),
+            _cell(F.get(before, i)),
             F.lit(',"new":'),
-            _cell(F.element_at(after, i + 1)),
+            _cell(F.get(after, i)),
             F.lit("}"),
         ),
     )
@@ -77,13 +78,53 @@ def all_columns(names) -> Column:
     return F.to_json(_c(names))
 
 
+_NUMBER = r"-?[0-9][0-9.eE+-]*"
+
+
+def _key_pattern(name: str) -> str:
+    """A key of the outermost object, as the images write it; inside a string
+    value its quotes would be escaped."""
+    key = json.dumps(name, ensure_ascii=False)
+    return r"[{,]" + re.sub(r"([^\w\s])", r"\\\1", key) + ":"
+
+
+def _exact(value: Column, source: Column, pattern: str) -> Column:
+    """A number as it stands in the text; a JSON parser drops the scale of decimals."""
+    text = F.regexp_extract(source, pattern, 1)
+    return F.when(value.rlike(r"\A" + _NUMBER + r"\z") & (text != ""), text).otherwise(value)
+
+
 def image_col(image, name: str, type_: str = "string") -> Column:
-    """Extract one column of a JSON image as a typed value."""
-    path = "$." + name if name.isidentifier() else "$['" + name.replace("'", "\\'") + "']"
-    v = F.get_json_object(_c(image), path)
+    """One column of a JSON image: strings unquoted, other values as their
+    JSON text (`100.00` keeps its scale), JSON null as null. The name is a
+    key, not a path, so dots and quotes in it are plain."""
+    image = _c(image)
+    v = F.from_json(image, "map<string,string>").getItem(name)
+    v = _exact(v, image, _key_pattern(name) + f"({_NUMBER})")
     return v if type_ == "string" else v.try_cast(type_)
 
 
+def change_col(changed, name: str, side: str) -> Column:
+    """The `old` or `new` value of one column in a diff, read as `image_col` does."""
+    changed = _c(changed)
+    v = F.from_json(changed, "map<string,struct<old:string,new:string>>").getItem(name).getField(side)
+    # Atomic, so that only the column's own new value can follow.
+    skip = "" if side == "old" else '(?>(?s:.*?),"new":)'
+    before = r'\{"old":' + skip
+    return _exact(v, changed, _key_pattern(name) + before + f"({_NUMBER})" + (',"new":' if side == "old" else r"\}"))
+
+
+def value_text(value) -> str | None:
+    """A Python value as `image_col` reads it from an image."""
+    if value is None or isinstance(value, str):
+        return value
+    return json.dumps(value) if isinstance(value, (bool, dict, list)) else str(value)
+
+
+def has_change(changed, name: str) -> Column:
+    return F.array_contains(F.json_object_keys(_c(changed)), F.lit(name))
+
+
 def image_has(image, name: str) -> Column:
     """True when the image has the key, even if its value is null."""
     return F.array_contains(F.json_object_keys(_c(image)), F.lit(name))

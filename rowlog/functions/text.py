@@ -4,6 +4,8 @@ All are built-in Spark expressions, so they stay inside whole-stage codegen.
 """
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -79,6 +81,13 @@ def table_key(c) -> Column:
     )
 
 
+def table_key_of(name: str | None) -> str:
+    """`table_key` of a literal name."""
+    if name is None or not name.strip("".join(map(chr, range(0x21)))):
+        return UNKNOWN_TABLE
+    return re.sub(r"[^a-zA-Z0-9._-]", "_", name)
+
+
 def qualified_table(db, tbl) -> Column:
     return F.concat(_c(db), F.lit("."), _c(tbl))
 

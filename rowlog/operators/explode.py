@@ -1,10 +1,9 @@
 """Row events -> one output row per affected row (the `changes` table)."""
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowlog.functions.fingerprint import fingerprint, query_hash
 from rowlog.functions.images import (
     all_columns,
     changed_columns,
@@ -13,43 +12,37 @@ from rowlog.functions.images import (
     row_diff,
     row_image,
 )
-from rowlog.functions.text import gtid_txn, gtid_uuid, qualified_table, table_key
+from rowlog.functions.text import gtid_txn, gtid_uuid, qualified_table
 from rowlog.functions.time import typed_instant
-from rowlog.schema import CHANGE_COLUMNS, FILE
 
 W, U, D = "EXT_WRITE_ROWS", "EXT_UPDATE_ROWS", "EXT_DELETE_ROWS"
 
 
-def explode_rows(events: DataFrame, fingerprints: bool = True, strict: bool = False) -> DataFrame:
+def explode_rows(events: DataFrame, strict: bool = False) -> DataFrame:
     """One row per row image of each row event, in event order (`row_idx`).
 
     `events` are row events carrying the sequencing columns, the resolved table
-    map (db, tbl, column_names) and `rows`. Empty row arrays emit nothing.
-    Per-event work (key quoting, fingerprint, the all-columns list) happens
-    before the explode, so it runs once per event, not once per row.
+    map (db, tbl, column_names), `last_query` (with query_fingerprint and
+    query_hash, if wanted) and `rows`. Empty row arrays emit nothing.
+    Per-event work (key quoting, the all-columns list) happens before the
+    explode, so it runs once per event, not once per row.
     """
     ev = events.select(
-        *[c for c in events.columns if c not in ("query",)],
+        "*",
         quoted_names("column_names").alias("_qn"),
         all_columns("column_names").alias("_all"),
         qualified_table("db", "tbl").alias("_table"),
-        *(
-            [fingerprint("last_query").alias("_fp")]
-            if fingerprints
-            else [F.lit(None).cast("string").alias("_fp")]
-        ),
     )
     ex = ev.select("*", F.posexplode("rows").alias("row_idx", "_r")).drop("rows")
     b, a = F.col("_r.before"), F.col("_r.after")
     et = F.col("event_type")
-    idx = changed_index(b, a)
     if strict:
         check = F.when(
             (et == U) & (F.size(b) != F.size(a)),
             F.raise_error(F.lit("update row images differ in length")),
         )
         b = F.coalesce(check.cast("array<string>"), b)
-    ex = ex.withColumn("_idx", F.when(et == U, idx))
+    ex = ex.withColumn("_idx", F.when(et == U, changed_index(b, a)))
     named = F.col("column_names").isNotNull()
     data = F.when(named, F.when(et == D, row_image("_qn", b)).otherwise(row_image("_qn", a)))
     old = F.when(named & et.isin(U, D), row_image("_qn", b))
@@ -69,8 +62,7 @@ def explode_rows(events: DataFrame, fingerprints: bool = True, strict: bool = Fa
         et.alias("event"),
         F.col("_table").alias("table"),
         F.col("last_query").alias("query"),
-        F.col("_fp").alias("query_fingerprint"),
-        (query_hash("_fp") if fingerprints else F.lit(None).cast("string")).alias("query_hash"),
+        *(F.col(c) if c in events.columns else F.lit(None).cast("string").alias(c) for c in ("query_fingerprint", "query_hash")),
         data.alias("data"),
         old.alias("old"),
         changed.alias("changed"),
@@ -81,23 +73,3 @@ def explode_rows(events: DataFrame, fingerprints: bool = True, strict: bool = Fa
         (F.col("rows_before") + F.col("row_idx") + 1).alias("counter"),
     )
     return out
-
-
-def with_table_key(changes: DataFrame) -> DataFrame:
-    return changes.withColumn("table_key", table_key("table"))
-
-
-def change_columns(changes: DataFrame, internal: bool = False) -> DataFrame:
-    """Project to the fixed 18-column output (optionally with internal columns)."""
-    extra = [c for c in ("row_idx", "counter") if internal and c in changes.columns]
-    return changes.select(*CHANGE_COLUMNS, *extra)
-
-
-def with_counter(changes: DataFrame) -> DataFrame:
-    """Running 1-based row counter per file in (position, row_idx) order.
-
-    `explode_rows` already derives it from the scan carry (`rows_before`); this
-    window form recomputes it from a finished changes table.
-    """
-    w = Window.partitionBy(*FILE).orderBy("position", "row_idx")
-    return changes.withColumn("counter", F.row_number().over(w).cast("long"))

@@ -17,7 +17,9 @@ def gtid_runs(df: DataFrame, by, gtid_col: str = "gtid", bucket: int = DEFAULT_T
     Sorted numbers merge while each is the previous + 1; a repeated number
     starts a new run (5,5,6 -> 5 and 5-6). Two passes keep every sort small:
     runs inside txn-number buckets (a repeated number always lands in one
-    bucket), then runs of runs across bucket edges, which only sorts the runs.
+    bucket), then runs across bucket edges. Only a bucket's first and last
+    run can touch another bucket, so the second pass sorts two rows a bucket,
+    however fragmented a hot server's numbers are.
     """
     by = list(by)
     g = df.select(*by, gtid_uuid(gtid_col).alias("uuid"), gtid_txn(gtid_col).alias("txn")).where(
@@ -28,10 +30,14 @@ def gtid_runs(df: DataFrame, by, gtid_col: str = "gtid", bucket: int = DEFAULT_T
     brk = F.coalesce(F.col("txn") != F.lag("txn").over(w) + 1, F.lit(True)).cast("long")
     g = g.withColumn("_brk", brk).withColumn("_isl", F.sum("_brk").over(w.rowsBetween(_UNB, _CUR)))
     local = g.groupBy(*by, "uuid", "_b", "_isl").agg(F.min("txn").alias("lo"), F.max("txn").alias("hi"))
+    wb = Window.partitionBy(*by, "uuid", "_b").orderBy("lo", "hi")
+    edge = F.lag("lo").over(wb).isNull() | F.lead("lo").over(wb).isNull()
+    local = local.withColumn("_edge", edge)
     w2 = Window.partitionBy(*by, "uuid").orderBy("lo", "hi")
     brk2 = F.coalesce(F.col("lo") != F.lag("hi").over(w2) + 1, F.lit(True)).cast("long")
-    r = local.withColumn("_brk", brk2).withColumn("_isl", F.sum("_brk").over(w2.rowsBetween(_UNB, _CUR)))
-    return r.groupBy(*by, "uuid", "_isl").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_isl")
+    r = local.where("_edge").withColumn("_brk", brk2).withColumn("_isl", F.sum("_brk").over(w2.rowsBetween(_UNB, _CUR)))
+    joined = r.groupBy(*by, "uuid", "_isl").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_isl")
+    return joined.unionByName(local.where("not _edge").select(*by, "uuid", "lo", "hi"))
 
 
 def runs_to_text(runs: DataFrame, by, out: str = "merged_gtids") -> DataFrame:
@@ -79,18 +85,27 @@ def intervals_of(spark: SparkSession, gtid_set: str) -> DataFrame:
     return gtid_intervals(spark.createDataFrame([(gtid_set,)], "s string"), "s")
 
 
-def _bucketed(intervals: DataFrame, bucket: int) -> DataFrame:
-    """Intervals keyed by (uuid, txn bucket): an interval is repeated once per
-    bucket it touches, so the row count is at most #intervals + txn range / bucket."""
-    b = F.explode(F.sequence(F.expr(f"lo div {bucket}"), F.expr(f"hi div {bucket}"))).alias("_ib")
-    return intervals.where(F.col("lo").isNotNull() & (F.col("hi") >= F.col("lo"))).select(
-        F.col("uuid").alias("_u"), b, F.col("lo").alias("_lo"), F.col("hi").alias("_hi")
-    )
+# An interval is repeated in each bucket that it touches. Wide ones use
+# buckets WIDER times as large, so none is repeated more than that.
+WIDER = 1 << 14
+LEVELS = 4
+
+
+def _bucketed(intervals: DataFrame, bucket: int, level: int) -> DataFrame:
+    """The intervals of one level, keyed by (uuid, txn bucket of that level)."""
+    size = bucket * WIDER ** level
+    span = F.expr(f"hi div {bucket} - lo div {bucket}")
+    mine = span >= WIDER ** level if level else F.lit(True)
+    if level < LEVELS - 1:
+        mine = mine & (span < WIDER ** (level + 1))
+    b = F.explode(F.sequence(F.expr(f"lo div {size}"), F.expr(f"hi div {size}"))).alias("_ib")
+    kept = intervals.where(F.col("lo").isNotNull() & (F.col("hi") >= F.col("lo"))).where(mine)
+    return kept.select(F.col("uuid").alias("_u"), b, F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
 
 
-def _gtid_set_join(changes: DataFrame, intervals: DataFrame, how: str, bucket: int) -> DataFrame:
-    iv = _bucketed(intervals, bucket)
-    cb = changes.withColumn("_cb", F.expr(f"gtid_txn div {bucket}"))
+def _gtid_set_join(changes: DataFrame, intervals: DataFrame, how: str, bucket: int, level: int) -> DataFrame:
+    iv = _bucketed(intervals, bucket, level)
+    cb = changes.withColumn("_cb", F.expr(f"gtid_txn div {bucket * WIDER ** level}"))
     cond = (
         (F.col("gtid_uuid") == F.col("_u"))
         & (F.col("_cb") == F.col("_ib"))
@@ -99,6 +114,11 @@ def _gtid_set_join(changes: DataFrame, intervals: DataFrame, how: str, bucket: i
     return cb.join(iv, cond, how).drop("_cb")
 
 
+def _levels(bucket: int) -> range:
+    """Levels whose buckets a 63-bit number can outgrow."""
+    return range(next((n for n in range(LEVELS) if bucket * WIDER ** (n + 1) >= 1 << 63), LEVELS - 1) + 1)
+
+
 def after_gtid_set(changes: DataFrame, intervals: DataFrame, bucket: int = DEFAULT_TXN_BUCKET) -> DataFrame:
     """Changes whose GTID is not in the executed set (`intervals`: uuid, lo, hi).
 
@@ -107,9 +127,16 @@ def after_gtid_set(changes: DataFrame, intervals: DataFrame, bucket: int = DEFAU
     text is tiny and the planner (or AQE at run time) broadcasts it under its
     size threshold; a large set shuffles on a key spread over txn buckets, so
     one busy server uuid does not become one task."""
-    return _gtid_set_join(changes, intervals, "left_anti", bucket)
+    for level in _levels(bucket):
+        changes = _gtid_set_join(changes, intervals, "left_anti", bucket, level)
+    return changes
 
 
 def in_gtid_set(changes: DataFrame, intervals: DataFrame, bucket: int = DEFAULT_TXN_BUCKET) -> DataFrame:
     """Changes whose GTID is in the executed set (each change at most once)."""
-    return _gtid_set_join(changes, intervals, "left_semi", bucket)
+    rest, out = changes, None
+    for level in _levels(bucket):
+        hit = _gtid_set_join(rest, intervals, "left_semi", bucket, level)
+        out = hit if out is None else out.unionByName(hit)
+        rest = _gtid_set_join(rest, intervals, "left_anti", bucket, level)
+    return out

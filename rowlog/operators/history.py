@@ -51,6 +51,8 @@ def state_at(changes: DataFrame, keys: dict, ts_ms: int, use_preimage: bool = Fa
     before it; deleted keys are gone. With `use_preimage`, keys first seen in
     an update/delete after the instant take that change's pre-image (the log
     does not reach back far enough to see their insert)."""
+    if not use_preimage:  # later changes don't matter: the scan drops them
+        changes = changes.where(F.col("timestamp") <= F.lit(ts_ms))
     k = _keyed(changes, keys)
     before = F.col("timestamp") <= F.lit(ts_ms)
     last_before = F.max(F.when(before, F.struct("_ord", "op", "data")))
@@ -68,7 +70,9 @@ HISTORY_BUCKET = 1 << 26  # log bytes of one file per history bucket
 
 
 def row_history(changes: DataFrame, keys: dict, bucket: int = HISTORY_BUCKET) -> DataFrame:
-    """Every version of every key in log order, with the previous version.
+    """Every version of every key in log order, with the previous version. An
+    update that changes the key ends the old key (a version without data)
+    and begins the new one.
 
     A key's history is split into buckets of (server, file, position range).
     Version numbers and previous images are computed inside each bucket, and
@@ -78,19 +82,28 @@ def row_history(changes: DataFrame, keys: dict, bucket: int = HISTORY_BUCKET) ->
     kk = list(keys)
     # One struct key: struct equality matches null key fields, so the join
     # back is a plain equi-join and keeps the local side's partitioning.
-    k = key_columns(changes, keys).withColumn("_hb", F.expr(f"position div {bucket}")).withColumn(
-        "_kk", F.struct(*kk)
-    )
+    if "old" not in changes.columns:
+        changes = changes.withColumn("old", F.lit(None).cast("string"))
+    old_k, new_k = (F.struct(*[image_col(c, k, t).alias(k) for k, t in keys.items()]) for c in ("old", "data"))
+    moved = (F.col("event") == "EXT_UPDATE_ROWS") & F.col("old").isNotNull() & ~old_k.eqNullSafe(new_k)
+
+    def version(key, data, sub):
+        return F.struct(key.alias("k"), data.alias("data"), F.lit(sub).alias("sub"))
+
+    one, gone = version(new_k, F.col("data"), 1), version(old_k, F.lit(None).cast("string"), 0)
+    each = changes.select(
+        "server_id", "binarylog", "event", "position", "row_idx", F.expr(f"position div {bucket}").alias("_hb"),
+        F.explode(F.when(moved, F.array(gone, one)).otherwise(F.array(one))).alias("_v"))
     part = ["_kk", "server_id", "binarylog", "_hb"]
-    wl = Window.partitionBy(*part).orderBy("position", "row_idx")
-    local = k.select(
-        *part, *kk, "event", "position", "row_idx", "data",
-        F.row_number().over(wl).alias("_rn"),
-        F.lag("data").over(wl).alias("_lag"),
-    )
+    order = ["position", "row_idx", "_sub"]
+    wl = Window.partitionBy(*part).orderBy(*order)
+    local = each.select(
+        F.col("_v.k").alias("_kk"), *part[1:], "event", "position", "row_idx", F.col("_v.sub").alias("_sub"), F.col("_v.data").alias("data"),
+    ).select("*", F.row_number().over(wl).alias("_rn"), F.lag("data").over(wl).alias("_lag"))
+    # max_by skips no nulls inside a struct, so a key that ended carries null.
     summ = local.groupBy(*part).agg(
         F.count(F.lit(1)).alias("_n"),
-        F.max_by("data", F.struct("position", "row_idx")).alias("_last"),
+        F.max_by(F.struct("data"), F.struct(*order)).getField("data").alias("_last"),
     )
     wk = Window.partitionBy("_kk").orderBy("server_id", padded_seq("binarylog"), "binarylog", "_hb")
     carry = summ.select(
@@ -100,7 +113,7 @@ def row_history(changes: DataFrame, keys: dict, bucket: int = HISTORY_BUCKET) ->
     )
     j = local.join(carry, part, "inner")
     return j.select(
-        *kk,
+        *[F.col("_kk").getField(k).alias(k) for k in kk],
         (F.col("_before") + F.col("_rn")).cast("int").alias("version"),
         "event",
         "binarylog",

@@ -1,51 +1,48 @@
-"""Protection: table allow/deny lists, per-column redaction inside row
-images, and encryption of the image columns."""
+"""Protection: table allow/deny lists, redaction of row images and SQL texts,
+and encryption of the columns with row values."""
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rowlog.functions.fingerprint import fingerprint
 from rowlog.functions.images import json_string
-from rowlog.functions.text import table_key
+from rowlog.functions.text import table_key_of
 
-IMAGE_COLUMNS = ("data", "old", "changed")
+# What holds row values: the images, and the SQL text.
+CLEAR_COLUMNS = ("data", "old", "changed", "query")
 
 
 def filter_tables(df: DataFrame, allow=None, deny=None, regex: bool = False) -> DataFrame:
     """Keep tables on the allow list and off the deny list (`db.table` names,
-    or patterns with regex=True). On a lake read with a `table_key` partition
-    column, exact names prune directories."""
-    col = F.col("table")
-    on_key = "table_key" in df.columns and not regex
+    or patterns with regex=True). Names match exactly; on a lake with a
+    `table_key` partition column an allow list prunes directories as well.
+    Rows without a table are on no list."""
+    table = F.col("table")
 
     def hit(names) -> Column:
         if regex:
-            return F.col("table").rlike("^(?:" + "|".join(f"(?:{p})" for p in names) + ")$")
-        if on_key:
-            keys = sorted({_key(n) for n in names})
-            return F.col("table_key").isin(*keys)
-        return col.isin(*names)
+            return table.rlike("^(?:" + "|".join(f"(?:{p})" for p in names) + ")$")
+        return table.isin(*names)
 
     if allow:
+        if "table_key" in df.columns and not regex:
+            df = df.where(F.col("table_key").isin(*sorted({table_key_of(n) for n in allow})))
         df = df.where(hit(allow))
     if deny:
-        df = df.where(~hit(deny) | (F.col("table").isNull() if not on_key else F.lit(False)))
+        df = df.where(~F.coalesce(hit(deny), F.lit(False)))
     return df
 
 
-def _key(name: str) -> str:
-    import re
-
-    return "unknown_table" if not name or not name.strip() else re.sub(r"[^a-zA-Z0-9._-]", "_", name)
-
-
 def redact_rows(events: DataFrame, policy: dict) -> DataFrame:
     """Apply a redaction policy to row events before images are built.
 
     policy: {"db.table": {"column": "hash" | "null" | "drop"}}. "hash"
     replaces the cell by the JSON string of its SHA-256, "null" by JSON null,
-    "drop" removes the column from the names and every image. The policy is a
-    small driver-side dict, compiled into expressions (no join)."""
+    "drop" removes the column from the names and every image. A statement can
+    name any value and its text is carried to later rows, so under a policy
+    every SQL text is replaced by its shape. The policy is a small driver-side
+    dict, compiled into expressions (no join)."""
     if not policy:
         return events
     table = F.concat(F.col("db"), F.lit("."), F.col("tbl"))
@@ -73,7 +70,11 @@ def redact_rows(events: DataFrame, policy: dict) -> DataFrame:
         return out
 
     new_rows = F.transform(rows, lambda r: F.struct(fix(r["before"]).alias("before"), fix(r["after"]).alias("after")))
-    return events.withColumn("rows", new_rows).withColumn("column_names", new_names)
+    events = events.withColumn("rows", new_rows).withColumn("column_names", new_names)
+    if "last_query" in events.columns:
+        shape = F.col("query_fingerprint") if "query_fingerprint" in events.columns else fingerprint("last_query")
+        events = events.withColumn("last_query", shape)
+    return events
 
 
 def _cell_rule(names: Column, cols: dict):
@@ -90,20 +91,22 @@ def _cell_rule(names: Column, cols: dict):
     return cell
 
 
-def encrypt_images(df: DataFrame, key: str, cols=IMAGE_COLUMNS) -> DataFrame:
-    """AES-GCM encrypt the image columns (base64 text); keys and metadata stay clear."""
-    k = F.lit(key)
-    for c in cols:
-        df = df.withColumn(c, F.base64(F.aes_encrypt(F.col(c), k, F.lit("GCM"))))
-    return df
+def _key(key: Column) -> Column:
+    if not isinstance(key, Column):
+        raise TypeError("the key must be a column, such as key_table.scalar(): a literal would show in plans and event logs")
+    return key
 
 
-def decrypt_images(df: DataFrame, key: str, cols=IMAGE_COLUMNS) -> DataFrame:
-    k = F.lit(key)
-    for c in cols:
-        df = df.withColumn(c, F.try_aes_decrypt(F.unbase64(F.col(c)), k, F.lit("GCM")).cast("string"))
+def encrypt_images(df: DataFrame, key: Column, cols=CLEAR_COLUMNS) -> DataFrame:
+    """AES-GCM encrypt the columns with row values (base64 text); keys and
+    metadata stay clear. `key` is an expression, e.g. the scalar subquery of
+    a one-row table in protected storage, so it is in no plan."""
+    for c in (c for c in cols if c in df.columns):
+        df = df.withColumn(c, F.base64(F.aes_encrypt(F.col(c), _key(key), F.lit("GCM"))))
     return df
 
 
-def with_table_key(df: DataFrame) -> DataFrame:
-    return df.withColumn("table_key", table_key("table"))
+def decrypt_images(df: DataFrame, key: Column, cols=CLEAR_COLUMNS) -> DataFrame:
+    for c in (c for c in cols if c in df.columns):
+        df = df.withColumn(c, F.try_aes_decrypt(F.unbase64(F.col(c)), _key(key), F.lit("GCM")).cast("string"))
+    return df

@@ -10,30 +10,34 @@ is a set of window results over (file, seq):
     txn_gtid      = GTID of the open transaction, as seen *before* this event
     txn_position  = start offset of that GTID event (text)
     segment       = number of GTID events up to and including this one
-    last_query    = last ROWS_QUERY text up to this event (never reset, or
-                    per transaction with query_scope="txn")
+    query_seq     = seq of the last SQL-text event up to this one (never
+                    reset, or per transaction with query_scope="txn")
     rows_before   = row images of earlier row events in the file
 
+Only narrow columns take part: SQL texts, table maps and row images stay
+where they are, and are joined by (file, seq) pointers afterwards.
+
 Two physical forms compute the same columns:
 
 * ``method="window"``: one ordered window per file. Simple, but a file is one
   task, so one huge file is one huge sort.
 * ``method="carry"`` (default): a scan split into seq buckets. Each
-  (file, bucket) runs the window locally; a per-bucket summary (last end
-  offset, last GTID/XID marker, GTID count, last SQL text, row count) is
-  rolled forward over the buckets of a file, and the carry-in is joined back
-  on (file, bucket). The big side keeps its (file, bucket) partitioning, so
-  the join only moves the summaries, and no task ever holds more than one
-  bucket of a file.
+  (file, bucket) runs the window locally; the local state is written once to
+  the shared folder (``store=False`` leaves it lazy), a per-bucket summary of
+  it is rolled forward over the buckets of a file, and the carry-in is joined
+  back on (file, bucket). No task ever holds more than one bucket of a file.
 """
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rowlog.functions.fingerprint import fingerprint, query_hash
 from rowlog.schema import FILE, FIRST_POSITION, ROW_EVENT_TYPES
+from rowlog.session import written
 
-SEQ_COLUMNS = ("position", "txn_gtid", "txn_position", "segment", "last_query", "rows_before")
+SEQ_COLUMNS = ("position", "txn_gtid", "txn_position", "segment", "query_seq", "rows_before")
+NARROW = ("seq", "next_position", "event_type", "timestamp", "gtid", "table_id")
 DEFAULT_BUCKET = 1 << 20
 
 _UNB = Window.unboundedPreceding
@@ -66,10 +70,13 @@ def _marker(pos: Column) -> Column:
 
 
 def narrow(events: DataFrame) -> DataFrame:
-    """Events without row images (plus their count): the sequencing input."""
-    cols = [c for c in events.columns if c != "rows"]
-    extra = [_n_rows().alias("n_rows")] if "rows" in events.columns else [F.lit(0).cast("long").alias("n_rows")]
-    return events.select(*cols, *extra)
+    """The sequencing input: fixed narrow columns, the number of row images,
+    and the seq of events with SQL text."""
+    return events.select(
+        *FILE, *NARROW,
+        _n_rows().alias("n_rows"),
+        F.when(_is("ROWS_QUERY"), F.col("seq")).alias("_q"),
+    )
 
 
 def sequence_events(
@@ -77,20 +84,29 @@ def sequence_events(
     method: str = "carry",
     bucket_size: int = DEFAULT_BUCKET,
     query_scope: str = "file",
+    store: bool = True,
 ) -> DataFrame:
-    """Attach SEQ_COLUMNS to every event. `events` has the raw-event columns;
-    pass `narrow(raw)` to keep row images out of the sort."""
+    """The narrow columns of every raw event, with SEQ_COLUMNS attached."""
     if query_scope not in ("file", "txn"):
         raise ValueError("query_scope must be 'file' or 'txn'")
-    if "n_rows" not in events.columns:
-        events = narrow(events)
+    ev = narrow(events)
     if method == "window":
-        return _by_window(events, query_scope)
+        return _by_window(ev, query_scope)
     if method == "carry":
-        return _by_carry(events, int(bucket_size), query_scope)
+        return _by_carry(ev, int(bucket_size), query_scope, store)
     raise ValueError(f"unknown method {method!r}")
 
 
+def _query_mark(segment: str) -> Column:
+    return F.when(F.col("_q").isNotNull(), F.struct(F.col(segment).alias("s"), F.col("_q").alias("q")))
+
+
+def _query_seq(mark: Column, query_scope: str) -> Column:
+    if query_scope == "file":
+        return mark.getField("q")
+    return F.when(mark.getField("s") == F.col("segment"), mark.getField("q"))
+
+
 def _by_window(ev: DataFrame, query_scope: str) -> DataFrame:
     w = Window.partitionBy(*FILE).orderBy("seq")
     before = w.rowsBetween(_UNB, -1)
@@ -102,173 +118,123 @@ def _by_window(ev: DataFrame, query_scope: str) -> DataFrame:
         F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("rows_before"),
     )
     m = F.last(_marker(F.col("position")), ignorenulls=True).over(before)
-    if query_scope == "file":
-        q = F.last("query", ignorenulls=True).over(upto)
-    else:
-        lq = F.last(
-            F.when(F.col("query").isNotNull(), F.struct(F.col("segment").alias("s"), F.col("query").alias("q"))),
-            ignorenulls=True,
-        ).over(upto)
-        q = F.when(lq.getField("s") == F.col("segment"), lq.getField("q"))
-    s2 = s1.select("*", m.alias("_m"), q.alias("last_query"))
-    return _finish(s2)
-
-
-def _finish(df: DataFrame) -> DataFrame:
+    q = F.last(_query_mark("segment"), ignorenulls=True).over(upto)
+    return _finish(s1.select("*", m.alias("_m"), q.alias("_qm")), query_scope)
+
+
+def _finish(df: DataFrame, query_scope: str) -> DataFrame:
     m = F.col("_m")
     return df.select(
-        *[c for c in df.columns if c not in ("_m", "last_query", "n_rows")],
+        *FILE, *NARROW, "n_rows", "position", "segment", "rows_before",
         F.when(m.getField("k") == 1, m.getField("g")).alias("txn_gtid"),
         F.when(m.getField("k") == 1, m.getField("p").cast("string")).alias("txn_position"),
-        "last_query",
-        "n_rows",
+        _query_seq(F.col("_qm"), query_scope).alias("query_seq"),
     )
 
 
-def _by_carry(ev: DataFrame, bucket: int, query_scope: str) -> DataFrame:
+def _by_carry(ev: DataFrame, bucket: int, query_scope: str, store: bool) -> DataFrame:
     ev = ev.withColumn("_b", F.expr(f"seq div {bucket}"))
     wl = Window.partitionBy(*FILE, "_b").orderBy("seq")
-    wl_before = wl.rowsBetween(_UNB, -1)
-    wl_upto = wl.rowsBetween(_UNB, _CUR)
+    before, upto = wl.rowsBetween(_UNB, -1), wl.rowsBetween(_UNB, _CUR)
 
-    # 1. bucket-local state
+    # 1. bucket-local state, up to and with each event, written once
     l1 = ev.select(
         "*",
         F.lag("next_position").over(wl).alias("_lag_np"),
-        F.sum(_is_gtid()).over(wl_upto).alias("_seg_l"),
-        F.coalesce(F.sum("n_rows").over(wl_before), F.lit(0)).alias("_rows_l"),
+        F.sum(_is_gtid()).over(upto).alias("_seg_l"),
+        F.coalesce(F.sum("n_rows").over(before), F.lit(0)).alias("_rows_l"),
     )
     marker = _marker(F.col("_lag_np"))
-    qmark = F.when(
-        F.col("query").isNotNull(), F.struct(F.col("_seg_l").alias("s"), F.col("query").alias("q"))
-    )
-    l2 = l1.select(
+    local = l1.select(
         "*",
-        F.last(marker, ignorenulls=True).over(wl_before).alias("_m_l"),
-        F.last(qmark, ignorenulls=True).over(wl_upto).alias("_q_l"),
+        F.last(marker, ignorenulls=True).over(before).alias("_m_l"),
+        F.last(_query_mark("_seg_l"), ignorenulls=True).over(upto).alias("_q_l"),
+        F.last(marker, ignorenulls=True).over(upto).alias("_m_u"),
     )
+    if store:
+        local = written(local, "sequence")
 
-    # 2. one summary row per (file, bucket), rolled forward over the file
-    summary = l1.groupBy(*FILE, "_b").agg(
-        F.max_by("next_position", "seq").alias("_last_np"),
-        F.max(F.when(marker.isNotNull(), F.struct(F.col("seq"), marker.alias("m")))).getField("m").alias("_lm"),
-        F.sum(_is_gtid()).alias("_n_gtid"),
-        F.sum("n_rows").alias("_n_rows"),
-        F.max(F.when(qmark.isNotNull(), F.struct(F.col("seq"), qmark.alias("q")))).getField("q").alias("_lq"),
-    )
+    # 2. one summary row per (file, bucket), the state after its last event,
+    # rolled forward over the file
+    last = F.max_by(F.struct("next_position", "_m_u", "_seg_l", (F.col("_rows_l") + F.col("n_rows")).alias("rows"), "_q_l"), "seq")
+    summary = local.groupBy(*FILE, "_b").agg(last.alias("z")).select(*FILE, "_b", "z.*")
     ws = Window.partitionBy(*FILE).orderBy("_b")
     ws_before = ws.rowsBetween(_UNB, -1)
     s1 = summary.select(
         "*",
-        F.lag("_last_np").over(ws).alias("_carry_np"),
-        F.coalesce(F.sum("_n_gtid").over(ws_before), F.lit(0)).alias("_carry_seg"),
-        F.coalesce(F.sum("_n_rows").over(ws_before), F.lit(0)).alias("_carry_rows"),
-    )
-    lm, lq = F.col("_lm"), F.col("_lq")
-    s2 = s1.select(
-        *FILE,
-        "_b",
-        "_carry_np",
-        "_carry_seg",
-        "_carry_rows",
-        F.when(
-            lm.isNotNull(),
-            F.struct(
-                lm.getField("k").alias("k"),
-                lm.getField("g").alias("g"),
-                F.coalesce(lm.getField("p"), F.col("_carry_np"), F.lit(FIRST_POSITION).cast("long")).alias("p"),
-            ),
-        ).alias("_rm"),
-        F.when(
-            lq.isNotNull(),
-            F.struct((F.col("_carry_seg") + lq.getField("s")).alias("s"), lq.getField("q").alias("q")),
-        ).alias("_rq"),
+        F.lag("next_position").over(ws).alias("_carry_np"),
+        F.coalesce(F.sum("_seg_l").over(ws_before), F.lit(0)).alias("_carry_seg"),
+        F.coalesce(F.sum("rows").over(ws_before), F.lit(0)).alias("_carry_rows"),
     )
+    s2 = s1.withColumn("_rm", _settled(F.col("_m_u"))).withColumn("_rq", _moved(F.col("_q_l")))
     carry = s2.select(
-        *FILE,
-        "_b",
-        "_carry_np",
-        "_carry_seg",
-        "_carry_rows",
+        *FILE, "_b", "_carry_np", "_carry_seg", "_carry_rows",
         F.last("_rm", ignorenulls=True).over(ws_before).alias("_carry_m"),
         F.last("_rq", ignorenulls=True).over(ws_before).alias("_carry_q"),
     )
 
-    # 3. carry-in joined back on (file, bucket); the event side keeps its partitioning
-    j = l2.join(carry, [*FILE, "_b"], "inner")
-    carry_np = F.col("_carry_np")
-    ml = F.col("_m_l")
-    m = F.when(
-        ml.isNotNull(),
-        F.struct(
-            ml.getField("k").alias("k"),
-            ml.getField("g").alias("g"),
-            F.coalesce(ml.getField("p"), carry_np, F.lit(FIRST_POSITION).cast("long")).alias("p"),
-        ),
-    ).otherwise(F.col("_carry_m"))
-    segment = F.col("_carry_seg") + F.col("_seg_l")
-    ql = F.col("_q_l")
-    q_local = F.when(ql.isNotNull(), F.struct((F.col("_carry_seg") + ql.getField("s")).alias("s"), ql.getField("q").alias("q")))
-    qq = F.coalesce(q_local, F.col("_carry_q"))
-    if query_scope == "file":
-        last_query = qq.getField("q")
-    else:
-        last_query = F.when(qq.getField("s") == segment, qq.getField("q"))
-    base = [c for c in ev.columns if c != "_b"]
-    out = j.select(
-        *base,
-        F.coalesce(F.col("_lag_np"), carry_np, F.lit(FIRST_POSITION).cast("long")).alias("position"),
-        segment.alias("segment"),
-        (F.col("_carry_rows") + F.col("_rows_l")).alias("rows_before"),
-        m.alias("_m"),
-        last_query.alias("last_query"),
-    )
-    return _finish(out)
+    if store:
+        carry = written(carry, "carry")
+
+    # 3. carry-in joined back on (file, bucket)
+    j = local.join(carry, [*FILE, "_b"], "inner")
+    first = F.lit(FIRST_POSITION).cast("long")
+    out = j.withColumns({
+        "position": F.coalesce(F.col("_lag_np"), F.col("_carry_np"), first),
+        "segment": F.col("_carry_seg") + F.col("_seg_l"),
+        "rows_before": F.col("_carry_rows") + F.col("_rows_l"),
+        "_m": F.coalesce(_settled(F.col("_m_l")), F.col("_carry_m")),
+        "_qm": F.coalesce(_moved(F.col("_q_l")), F.col("_carry_q")),
+    })
+    return _finish(out, query_scope)
+
+
+def _settled(m: Column) -> Column:
+    """A local marker with its offset: that of a bucket's first event is the
+    end of the bucket before."""
+    p = F.coalesce(m.getField("p"), F.col("_carry_np"), F.lit(FIRST_POSITION).cast("long"))
+    return F.when(m.isNotNull(), F.struct(m.getField("k").alias("k"), m.getField("g").alias("g"), p.alias("p")))
+
+
+def _moved(q: Column) -> Column:
+    """A local SQL-text mark with its segment counted from the file's start."""
+    return F.when(q.isNotNull(), F.struct((F.col("_carry_seg") + q.getField("s")).alias("s"), q.getField("q").alias("q")))
+
 
+def with_query_text(seq: DataFrame, raw: DataFrame, fingerprints: bool = False) -> DataFrame:
+    """Attach the SQL text that `query_seq` points to (`last_query`), and with
+    fingerprints its shape and hash, computed once for each SQL-text event."""
+    texts = raw.where(_is("ROWS_QUERY")).select(*FILE, F.col("seq").alias("query_seq"), F.col("query").alias("last_query"))
+    if fingerprints:
+        texts = texts.withColumn("query_fingerprint", fingerprint("last_query")).withColumn("query_hash", query_hash("query_fingerprint"))
+    return seq.join(texts, [*FILE, "query_seq"], "left")
 
-def resolve_table_maps(seq: DataFrame, missing: str = "fail") -> DataFrame:
+
+def resolve_table_maps(seq: DataFrame, raw: DataFrame, missing: str = "fail") -> DataFrame:
     """Attach the table map to each row event: the *last* TABLE_MAP with the
     same table id in the event's GTID segment, even one after the row event
     (the dictionary is replaced only at GTID and read after the whole pass).
 
-    An equi-join on (file, segment, table_id) against one aggregated map per
-    key; a hot key is split by AQE's skew join instead of pinning one task.
-    missing: "fail" raises on a row event without a map, "null" keeps it with
-    null table and images.
+    The sequence gives each (file, segment, table_id) the seq of its last map;
+    names and columns are joined from the raw events by that pointer. A hot
+    key is split by AQE's skew join instead of pinning one task. missing:
+    "fail" raises on a row event without a map, "null" keeps it with null
+    table and images.
     """
-    maps = (
-        seq.where(_is("TABLE_MAP"))
-        .groupBy(*FILE, "segment", "table_id")
-        .agg(F.max_by(F.struct("db", "tbl", "column_names"), "seq").alias("map"))
-    )
-    rows = seq.where(F.col("event_type").isin(*ROW_EVENT_TYPES)).drop("db", "tbl", "column_names")
-    j = rows.join(maps, [*FILE, "segment", "table_id"], "left")
+    if missing not in ("fail", "null"):
+        raise ValueError("missing must be 'fail' or 'null'")
+    key = [*FILE, "segment", "table_id"]
+    last = seq.where(_is("TABLE_MAP")).groupBy(*key).agg(F.max("seq").alias("map_seq"))
+    maps = raw.where(_is("TABLE_MAP")).select(*FILE, F.col("seq").alias("map_seq"), F.struct("db", "tbl", "column_names").alias("map"))
+    rows = seq.where(F.col("event_type").isin(*ROW_EVENT_TYPES))
+    j = rows.join(last, key, "left").join(maps, [*FILE, "map_seq"], "left")
     mp = F.col("map")
     if missing == "fail":
-        mp = F.when(
-            mp.isNull(),
-            F.raise_error(
-                F.concat(
-                    F.lit("no table map for table id "),
-                    F.col("table_id").cast("string"),
-                    F.lit(" at "),
-                    F.col("binarylog"),
-                    F.lit(":"),
-                    F.col("position").cast("string"),
-                )
-            ),
-        ).otherwise(mp)
-    elif missing != "null":
-        raise ValueError("missing must be 'fail' or 'null'")
+        at = F.concat_ws(":", "binarylog", F.col("position").cast("string"))
+        mp = F.when(mp.isNull(), F.raise_error(F.concat(F.lit("no table map for table id "), F.col("table_id").cast("string"), F.lit(" at "), at))).otherwise(mp)
     return j.select(
-        *[c for c in j.columns if c != "map"],
+        *[c for c in j.columns if c not in ("map", "map_seq")],
         mp.getField("db").alias("db"),
         mp.getField("tbl").alias("tbl"),
         mp.getField("column_names").alias("column_names"),
     )
-
-
-def split_missing_maps(seq: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Quarantine form: (row events with a map, row events without one)."""
-    r = resolve_table_maps(seq, missing="null")
-    return r.where(F.col("column_names").isNotNull()), r.where(F.col("column_names").isNull())

@@ -3,10 +3,11 @@ delete storms, silent tables, co-changed rows, audit candidates, value
 transitions."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowlog.functions.fingerprint import fingerprint, query_hash
+from rowlog.functions.images import change_col, has_change, image_col, image_has, value_text
 from rowlog.functions.text import op_class, padded_seq, table_key
 from rowlog.schema import FILE
 
@@ -46,14 +47,18 @@ def new_query_shapes(changes: DataFrame, since_ms: int | None = None, k: int = 2
 
 
 def shape_volume(changes: DataFrame) -> DataFrame:
-    """Rows per query shape and table, split by operation."""
+    """Rows per query shape and table, split by operation, and the shape's
+    share of all rows that its table had changed by known statements."""
     op = op_class("event")
-    return changes.where(F.col("query_hash").isNotNull()).groupBy("query_hash", "query_fingerprint", "table").agg(
+    shapes = changes.where(F.col("query_hash").isNotNull()).groupBy("query_hash", "query_fingerprint", "table").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count_if(op == "write").alias("writes"),
         F.count_if(op == "update").alias("updates"),
         F.count_if(op == "delete").alias("deletes"),
     )
+    # Shapes are few against rows, so the sum over a table is a small window.
+    share = F.col("n_rows") / F.sum("n_rows").over(Window.partitionBy("table"))
+    return shapes.withColumn("write_share", F.round(share, 6))
 
 
 def with_fingerprint(changes: DataFrame, method: str = "expr", text_col: str = "query") -> DataFrame:
@@ -133,10 +138,16 @@ def table_catalog(seq_or_raw: DataFrame) -> DataFrame:
 
 def co_changed(changes: DataFrame, predicate, scope: str = "statement") -> DataFrame:
     """Rows changed by the same statement (row event) or transaction as any
-    row matching `predicate`."""
-    key = [*FILE, "position"] if scope == "statement" else [*FILE, "gtid_position"]
-    hits = changes.where(predicate).select(*key).distinct()
-    return changes.join(hits, key, "left_semi")
+    row matching `predicate`. A row outside any transaction is tied to its
+    statement alone."""
+    if scope not in ("statement", "transaction"):
+        raise ValueError("scope must be 'statement' or 'transaction'")
+    alone = F.concat(F.lit("@"), F.col("position").cast("string"))
+    unit = alone if scope == "statement" else F.coalesce("gtid_position", alone)
+    tied = changes.withColumn("_unit", unit)
+    key = [*FILE, "_unit"]
+    hits = tied.where(predicate).select(*key).distinct()
+    return tied.join(hits, key, "left_semi").select(*changes.columns)
 
 
 def audit_candidates(changes: DataFrame, audited: DataFrame, min_rows: int) -> DataFrame:
@@ -149,23 +160,29 @@ def audit_candidates(changes: DataFrame, audited: DataFrame, min_rows: int) -> D
 
 
 def transitions(changes: DataFrame, column: str, old, new) -> DataFrame:
-    """UPDATE rows where `column` went from `old` to `new` (text of the JSON value)."""
-    o = F.get_json_object("changed", f"$.{column}.old")
-    n = F.get_json_object("changed", f"$.{column}.new")
-    return changes.where((F.col("event") == "EXT_UPDATE_ROWS") & (o == F.lit(str(old))) & (n == F.lit(str(new))))
+    """UPDATE rows where `column` went from `old` to `new`. Values compare by
+    their exact text (`100.00` is not `100.0`); None is JSON null."""
+    diff = F.col("changed")
+
+    def is_value(side: str, value) -> Column:
+        return change_col(diff, column, side).eqNullSafe(F.lit(value_text(value)))
+
+    hit = (F.col("event") == "EXT_UPDATE_ROWS") & has_change(diff, column)
+    return changes.where(hit & is_value("old", old) & is_value("new", new))
 
 
 def first_set(changes: DataFrame, keys: dict, column: str, value) -> DataFrame:
-    """Per key, the first change (log order) that set `column` to `value`:
-    an insert with that value or an update whose diff has it as new value."""
+    """Per key, the first change (log order) that set `column` to `value`, and
+    its statement: an insert with that value or an update whose diff has it
+    as new value."""
     from rowlog.operators.history import key_columns
 
-    v = F.lit(str(value))
-    ins = (F.col("event") == "EXT_WRITE_ROWS") & (F.get_json_object("data", f"$.{column}") == v)
-    upd = (F.col("event") == "EXT_UPDATE_ROWS") & (F.get_json_object("changed", f"$.{column}.new") == v)
+    v = F.lit(value_text(value))
+    ins = (F.col("event") == "EXT_WRITE_ROWS") & image_has("data", column) & image_col("data", column).eqNullSafe(v)
+    upd = (F.col("event") == "EXT_UPDATE_ROWS") & has_change("changed", column) & change_col("changed", column, "new").eqNullSafe(v)
     c = key_columns(changes.where(ins | upd), keys)
     rec = F.struct(
-        log_order_struct().alias("o"), F.col("gtid"), F.col("timestamp"), F.col("binarylog"), F.col("position")
+        log_order_struct().alias("o"), F.col("gtid"), F.col("timestamp"), F.col("binarylog"), F.col("position"), F.col("query")
     )
     g = c.groupBy(*keys).agg(F.min(rec).alias("_f"))
-    return g.select(*keys, "_f.gtid", "_f.timestamp", "_f.binarylog", "_f.position")
+    return g.select(*keys, "_f.gtid", "_f.timestamp", "_f.binarylog", "_f.position", "_f.query")

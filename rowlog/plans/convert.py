@@ -1,28 +1,35 @@
-"""The conversion job: decoded events -> `changes`.
+"""The conversion job: decoded events -> `changes`, and the whole job from an
+event table to a lake with audit and statistics.
 
-Plan shape (one read of the events):
+Plan shape:
 
-    raw -> [type gate] -> narrow projection (no row images)
-        -> sequencing (bucketed scan carry, see operators.sequence)
-        -> table-map join on (file, segment, table_id)
-        -> join the row images of row events back on (file, seq)
+    raw -> [type gate] -> narrow projection -> sequencing (see
+        operators.sequence; its narrow state is written once)
+    row events of the sequence
+        + row images on (file, seq)
+        + table map on (file, map_seq)
+        + SQL text and fingerprint on (file, query_seq)
         -> posexplode + JSON image/diff expressions -> changes
 
-Row images are shuffled once (for the join back); the ordered scan only moves
-narrow columns. The narrow sequenced events feed both the table-map aggregate
-and the row-event side of its join; `materialize=True` checkpoints them into
-the shared folder so the scan is not recomputed and lineage is cut.
+Only narrow rows are sorted. The raw events are read once for the narrow
+columns; images, table maps and SQL texts are disjoint columns of disjoint
+event types, each read once, and a text is fingerprinted once, not per row.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rowlog.functions.text import qualified_table, table_key
 from rowlog.operators.explode import explode_rows
 from rowlog.operators.protect import redact_rows
-from rowlog.operators.sequence import DEFAULT_BUCKET, narrow, resolve_table_maps, sequence_events
+from rowlog.operators.sequence import DEFAULT_BUCKET, resolve_table_maps, sequence_events, with_query_text
+from rowlog.operators.stats import event_type_counts, file_summary, table_op_counts
 from rowlog.schema import FILE, ROW_EVENT_TYPES
-from rowlog.sources.raw import assert_event_types
+from rowlog.sinks.parquet import read_lake, write_by_table, write_stats
+from rowlog.sources.raw import assert_event_types, raw_events
 
 
 def sequenced(
@@ -31,17 +38,10 @@ def sequenced(
     bucket_size: int = DEFAULT_BUCKET,
     query_scope: str = "file",
     gate: bool = True,
-    materialize: bool = False,
+    store: bool = True,
 ) -> DataFrame:
     ev = assert_event_types(raw) if gate else raw
-    seq = sequence_events(narrow(ev), method=method, bucket_size=bucket_size, query_scope=query_scope)
-    if materialize:
-        seq = seq.checkpoint(eager=True)
-    return seq
-
-
-def tagged_row_events(seq: DataFrame, missing: str = "fail") -> DataFrame:
-    return resolve_table_maps(seq, missing=missing)
+    return sequence_events(ev, method=method, bucket_size=bucket_size, query_scope=query_scope, store=store)
 
 
 def build_changes(
@@ -53,13 +53,55 @@ def build_changes(
     fingerprints: bool = True,
     strict: bool = False,
     gate: bool = True,
-    materialize: bool = False,
+    store: bool = True,
     redact: dict | None = None,
 ) -> DataFrame:
-    seq = sequenced(raw, method, bucket_size, query_scope, gate, materialize)
-    tagged = tagged_row_events(seq, missing)
+    seq = sequenced(raw, method, bucket_size, query_scope, gate, store)
     images = raw.where(F.col("event_type").isin(*ROW_EVENT_TYPES)).select(*FILE, "seq", "rows")
-    joined = tagged.join(images, [*FILE, "seq"], "inner")
+    joined = resolve_table_maps(seq, raw, missing).join(images, [*FILE, "seq"], "inner")
+    joined = with_query_text(joined, raw, fingerprints)
     if redact:
         joined = redact_rows(joined, redact)
-    return explode_rows(joined, fingerprints=fingerprints, strict=strict)
+    return explode_rows(joined, strict=strict)
+
+
+@dataclass
+class Conversion:
+    """What a conversion wrote: the lake and its reports."""
+
+    root: str
+    audit: DataFrame
+    event_type_counts: DataFrame
+    table_op_counts: DataFrame
+    file_summary: DataFrame
+
+
+def convert(spark: SparkSession, src: str, dst: str, by_file: bool = True, replace: str | None = None, fmt: str = "parquet", **opts) -> Conversion:
+    """Event table `src` -> change lake `dst`, audit and statistics (under
+    `dst/_stats`). Events without row changes leave an empty lake that can be
+    read. The lake is written in one pass; the reports count what was written
+    against what the events hold, without converting again."""
+    raw = raw_events(spark, src, fmt, with_file_size=True)
+    events = raw.drop("file_size")
+    write_by_table(build_changes(events, **opts), dst, by_file=by_file, replace=replace)
+    lake = read_lake(spark, dst, by_file)
+    if by_file:  # of the logs converted now; the root may hold others
+        lake = lake.join(events.select(*FILE).distinct(), list(FILE), "left_semi")
+    seq = sequenced(events, **{k: v for k, v in opts.items() if k in ("method", "bucket_size", "query_scope", "gate", "store")})
+    mapped = resolve_table_maps(seq.where(F.col("event_type").isin("TABLE_MAP", *ROW_EVENT_TYPES)), events, opts.get("missing", "fail"))
+    expected = mapped.groupBy(table_key(qualified_table("db", "tbl")).alias("table_key")).agg(F.sum("n_rows").alias("expected_rows"))
+    written_rows = lake.groupBy("table_key").agg(F.count(F.lit(1)).alias("written_rows"))
+    audit = expected.where("expected_rows > 0").join(written_rows, "table_key", "full").select(
+        "table_key",
+        F.coalesce("expected_rows", F.lit(0)).cast("long").alias("expected_rows"),
+        F.coalesce("written_rows", F.lit(0)).cast("long").alias("written_rows"),
+        F.col("expected_rows").eqNullSafe(F.col("written_rows")).alias("ok"),
+    )
+    reports = {
+        "audit": audit,
+        "event_type_counts": event_type_counts(events, lake),
+        "table_op_counts": table_op_counts(lake),
+        "file_summary": file_summary(raw),
+    }
+    write_stats(dst, **reports)
+    return Conversion(dst, **{k: spark.read.schema(df.schema).parquet(f"{dst.rstrip('/')}/_stats/{k}") for k, df in reports.items()})

@@ -1,11 +1,11 @@
-"""Session helpers: a tuned local session for tests/bench and shared-folder paths."""
+"""Session helpers: a tuned local session for tests/bench, shared-folder paths, written intermediates."""
 from __future__ import annotations
 
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every rowlog job relies on. UTC keeps formatted times stable; the
 # timestamp type makes `timestamp_string` a millisecond, UTC-adjusted column.
@@ -48,13 +48,15 @@ def apply_job_conf(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (spark.checkpoint.dir).
 
-    Read from the session; only when it is unset (local tests) a scratch
-    folder is created and registered, so checkpoints and written tables land
-    in one place executors can all reach.
+    Read from the session. Only a local master may go without it (tests): a
+    scratch folder is made and registered. On a cluster a machine-local folder
+    would be out of the executors' reach, so an unset folder is an error.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError(f"spark.checkpoint.dir is not set on master {sc.master}")
         d = tempfile.mkdtemp(prefix="rowlog-ckpt-", dir=os.environ.get("ROWLOG_SCRATCH", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not sc.getCheckpointDir():
@@ -66,3 +68,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location under the shared folder."""
     base = shared_dir(spark).rstrip("/")
     return f"{base}/rowlog-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write `df` to the shared folder and read it back with its schema: one
+    computation for many readers, and lineage is cut."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowlog.functions.text import padded_seq, table_key
+from rowlog.functions.text import file_base, padded_seq, table_key
 from rowlog.schema import CHANGE_COLUMNS, CHANGE_SCHEMA
+from rowlog.session import written
 
 # The reference writer's Parquet settings.
 REFERENCE_PROFILE = {
@@ -17,12 +18,16 @@ REFERENCE_PROFILE = {
 }
 
 
+# The identity of a log: base name, server, number.
+LOG = ("log_base", "server_id", "log_seq")
+
+
 def lake_frame(changes: DataFrame, by_file: bool = False) -> DataFrame:
     """The 18 output columns plus partition columns (`table_key`, and with
-    by_file `log_seq`; `server_id` is an output column already)."""
+    by_file `log_base` and `log_seq`; `server_id` is an output column already)."""
     extra = [table_key("table").alias("table_key")]
     if by_file:
-        extra.append(padded_seq("binarylog").alias("log_seq"))
+        extra += [file_base("binarylog").alias("log_base"), padded_seq("binarylog").alias("log_seq")]
     keep = [c for c in ("row_idx",) if c in changes.columns]
     return changes.select(*CHANGE_COLUMNS, *keep, *extra)
 
@@ -31,35 +36,73 @@ def write_by_table(
     changes: DataFrame,
     root: str,
     by_file: bool = False,
-    replace: str = "all",
+    replace: str | None = None,
     profile: dict | None = None,
 ) -> str:
     """One Parquet dataset per sanitized table name under `root`.
 
-    Rows are rebalanced on `table_key` (AQE splits a hot table over several
-    tasks and merges small ones) and sorted within each task by table and log
-    order, so each file holds one table in log order and compresses well.
-    by_file partitions by (server_id, log_seq, table_key) so many servers and
-    files share one root. replace="all" empties the root first;
-    replace="touched" replaces only the partitions being written (idempotent
-    re-runs of a file)."""
+    Rows are rebalanced on the partition columns (AQE splits a hot table over
+    several tasks and merges small ones) and sorted within each task in
+    partition and log order, so each file holds one partition in log order.
+    by_file partitions by (log_base, server_id, log_seq, table_key), the whole
+    identity of a log, so many servers and logs share one root.
+
+    replace="all" empties the root first; "touched" replaces only the logs
+    being written, all their tables included (a re-run of a log is idempotent
+    even if it yields fewer tables). The default is "touched" for a shared
+    root (by_file), else "all". `root/_schema` is an empty dataset with the
+    schema, so an empty output can be read, too."""
+    replace = replace or ("touched" if by_file else "all")
+    if replace not in ("all", "touched"):
+        raise ValueError("replace must be 'all' or 'touched'")
+    spark = changes.sparkSession
     df = lake_frame(changes, by_file)
-    parts = ["server_id", "log_seq", "table_key"] if by_file else ["table_key"]
-    df = df.hint("rebalance", "table_key")
-    if by_file:
-        df = df.sortWithinPartitions("table_key", "server_id", "log_seq", "binarylog", "position", *(["row_idx"] if "row_idx" in df.columns else []))
-    else:
-        df = df.withColumn("_ls", padded_seq("binarylog")).sortWithinPartitions(
-            "table_key", "server_id", "_ls", "binarylog", "position", *(["row_idx"] if "row_idx" in df.columns else [])
-        ).drop("_ls")
+    parts = [*LOG, "table_key"] if by_file else ["table_key"]
+    idx = ["row_idx"] if "row_idx" in df.columns else []
+    df = df.hint("rebalance", *parts).withColumn("_ls", padded_seq("binarylog"))
+    df = df.sortWithinPartitions(*parts, "server_id", "_ls", "binarylog", "position", *idx).drop("_ls")
+    touched = by_file and replace == "touched"
+    before = written(_files(spark, root), "lake-files") if touched and _exists(spark, root) else None
     w = df.write.mode("overwrite").partitionBy(*parts)
     w = w.option("partitionOverwriteMode", "dynamic" if replace == "touched" else "static")
     for k, v in (profile or REFERENCE_PROFILE).items():
         w = w.option(k, v)
     w.parquet(root)
+    df.limit(0).write.mode("overwrite").parquet(f"{root.rstrip('/')}/_schema")
+    if before is not None:
+        _drop_stale(spark, root, before)
     return root
 
 
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _path(spark, path)
+    return fs.exists(p)
+
+
+def _files(spark: SparkSession, root: str) -> DataFrame:
+    """path, folder (of a log's table), log (folder of the log): a listing, no reads."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(root)
+    folder = F.regexp_extract("path", r"\A(.*/table_key=[^/]*)/[^/]*\z", 1)
+    return found.select("path", folder.alias("folder")).where("folder <> ''").withColumn(
+        "log", F.regexp_extract("folder", r"\A(.*)/table_key=[^/]*\z", 1))
+
+
+def _drop_stale(spark: SparkSession, root: str, before: DataFrame) -> None:
+    """Delete the table folders that a rewritten log no longer has."""
+    now = _files(spark, root)
+    fresh = now.join(before, "path", "left_anti").select("log", "folder")
+    kept = now.join(before.select("path"), "path", "left_semi").select("log", "folder").distinct()
+    stale = kept.join(fresh.select("log").distinct(), "log", "left_semi").join(fresh.select("folder").distinct(), "folder", "left_anti")
+    for row in stale.select("folder").distinct().toLocalIterator():
+        p, fs = _path(spark, row["folder"])
+        fs.delete(p, True)
+
+
 def write_single(changes: DataFrame, path: str, files: int | None = None) -> str:
     """All tables in one dataset, globally ordered by log order.
 
@@ -86,12 +129,13 @@ def lake_schema(by_file: bool = False):
     schema = T.StructType(list(CHANGE_SCHEMA.fields))
     schema = schema.add("row_idx", T.IntegerType())
     if by_file:
-        schema = schema.add("log_seq", T.StringType())
+        schema = schema.add("log_base", T.StringType()).add("log_seq", T.StringType())
     return schema.add("table_key", T.StringType())
 
 
 def read_lake(spark: SparkSession, root: str, by_file: bool = False, tables=None) -> DataFrame:
-    """Read a change lake; `tables` (db.table names) prune partition directories."""
+    """Read a change lake, an empty one too; `tables` (db.table names) prune
+    partition directories and match exactly."""
     df = spark.read.schema(lake_schema(by_file)).parquet(root)
     if tables:
         from rowlog.operators.protect import filter_tables
@@ -100,25 +144,26 @@ def read_lake(spark: SparkSession, root: str, by_file: bool = False, tables=None
     return df
 
 
-def audit_output(spark: SparkSession, root: str, expected: DataFrame) -> DataFrame:
+def audit_output(spark: SparkSession, root: str, expected: DataFrame, by_file: bool = False) -> DataFrame:
     """Compare a written lake with expected row counts per table_key.
 
     Reports rows read back, number of files, smallest file size, and flags:
     `ok` (counts match, every file non-empty) and `small_file` (< 100 bytes)."""
-    lake = spark.read.parquet(root).select("table_key", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("sz"))
+    lake = spark.read.schema(lake_schema(by_file)).parquet(root).select("table_key", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("sz"))
     got = lake.groupBy("table_key").agg(
         F.count(F.lit(1)).alias("written_rows"),
         F.countDistinct("f").alias("files"),
         F.min("sz").alias("min_file_size"),
     )
     j = expected.join(got, "table_key", "full")
-    ok = (F.coalesce("written_rows", F.lit(0)) == F.coalesce("expected_rows", F.lit(0))) & (F.col("min_file_size") > 0)
+    same = F.coalesce("written_rows", F.lit(0)) == F.coalesce("expected_rows", F.lit(0))
+    ok = same & (F.coalesce("min_file_size", F.lit(1)) > 0)
     return j.select(
         "table_key",
         F.coalesce("expected_rows", F.lit(0)).cast("long").alias("expected_rows"),
         F.coalesce("written_rows", F.lit(0)).cast("long").alias("written_rows"),
         ok.alias("ok"),
-        (F.col("min_file_size") < 100).alias("small_file"),
+        F.coalesce(F.col("min_file_size") < 100, F.lit(False)).alias("small_file"),
     )
 
 

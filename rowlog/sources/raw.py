@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowlog.functions.text import padded_seq, table_key
+from rowlog.functions.text import padded_seq
 from rowlog.schema import ALLOWED_EVENT_TYPES, RAW_COLUMNS, RAW_SCHEMA
 
 
@@ -38,25 +38,12 @@ def assert_event_types(raw: DataFrame, allowed=ALLOWED_EVENT_TYPES, on_error: st
     return raw.withColumn("event_type", gated)
 
 
-def read_changes(spark: SparkSession, root: str, table: str | None = None, tables=None) -> DataFrame:
-    """Scan the per-table change lake. `table` (a `db.t` name) or `tables`
-    select partitions by their sanitized key, so only those directories are
-    listed and read."""
-    df = spark.read.parquet(root)
-    if table is not None:
-        tables = [table]
-    if tables:
-        keys = sorted({_key_literal(t) for t in tables})
-        df = df.where(F.col("table_key").isin(*keys))
-    return df
-
-
-def _key_literal(name: str) -> str:
-    import re
+def read_changes(spark: SparkSession, root: str, table: str | None = None, tables=None, by_file: bool = False) -> DataFrame:
+    """Scan the change lake. `table` (a `db.t` name) or `tables` select exactly
+    these, and only their directories are listed and read."""
+    from rowlog.sinks.parquet import read_lake
 
-    if name is None or re.fullmatch(r"[\x00-\x20]*", name):
-        return "unknown_table"
-    return re.sub(r"[^a-zA-Z0-9._-]", "_", name)
+    return read_lake(spark, root, by_file, [table] if table is not None else tables)
 
 
 def closed_files(listing: DataFrame, current: DataFrame, name_col: str = "binarylog", keys=()) -> DataFrame:
@@ -68,7 +55,3 @@ def closed_files(listing: DataFrame, current: DataFrame, name_col: str = "binary
     on = [*keys, name_col]
     closed = listing.join(current.select(*on), on, "left_anti")
     return closed.withColumn("log_seq", padded_seq(name_col)).orderBy(*keys, "log_seq", name_col)
-
-
-def with_table_key(df: DataFrame, col: str = "table") -> DataFrame:
-    return df.withColumn("table_key", table_key(col))

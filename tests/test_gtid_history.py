@@ -76,7 +76,7 @@ def test_row_history_buckets_equal_one_window(spark):
     from conftest import SF
     from pyspark.sql import Window
 
-    from rowlog.plans.catalog import ORDERS_KEYS, changes_of
+    from checks.catalog import ORDERS_KEYS, changes_of
     from rowlog.operators.workload import log_order
 
     ch = changes_of(spark, SF, "orders", fingerprints=False).cache()
@@ -106,3 +106,52 @@ def test_row_history_null_key_is_one_key(spark):
         assert got == [
             (None, 1, 10, None), (None, 2, 20, '{"id":null,"v":1}'), (None, 3, 5, '{"id":null,"v":2}'), (7, 1, 6, None),
         ]
+
+
+def test_row_history_ends_a_moved_key(spark):
+    got = {}
+    for b in (1, oh.HISTORY_BUCKET):
+        rows = oh.row_history(history_changes(spark), {"id": "bigint"}, bucket=b).orderBy("id", "version").collect()
+        got[b] = [(r.id, r.version, r.data, r.prev_data) for r in rows]
+    assert got[1] == got[oh.HISTORY_BUCKET] == [
+        (1, 1, '{"id":1,"v":"a"}', None), (1, 2, '{"id":1,"v":"a2"}', '{"id":1,"v":"a"}'),
+        (1, 3, '{"id":1,"v":"a2"}', '{"id":1,"v":"a2"}'),
+        (2, 1, '{"id":2,"v":"b"}', None), (2, 2, None, '{"id":2,"v":"b"}'),
+        (3, 1, '{"id":3,"v":"b"}', None),
+    ]
+
+
+def test_very_wide_gtid_intervals(spark):
+    ch = spark.createDataFrame([(1, "u", 5), (2, "u", 2**62), (3, "u", 2**40), (4, "v", 5), (5, None, None)], "i int, gtid_uuid string, gtid_txn long")
+    iv = spark.createDataFrame([("u", 1, 2**63 - 1), ("u", 4, 6), ("v", 7, 9)], "uuid string, lo long, hi long")
+    assert sorted(r.i for r in og.in_gtid_set(ch, iv).collect()) == [1, 2, 3]
+    assert sorted(r.i for r in og.after_gtid_set(ch, iv).collect()) == [4, 5]
+
+
+def test_transaction_scope_keeps_rows_outside_transactions(spark):
+    from rowlog.operators.workload import co_changed
+
+    df = spark.createDataFrame([(1, "b", 10, "4", "x"), (1, "b", 20, "4", "y"), (1, "b", 30, None, "x"), (1, "b", 40, None, "y")],
+                               "server_id long, binarylog string, position long, gtid_position string, v string")
+    got = co_changed(df, F.col("v") == "x", "transaction")
+    assert sorted(r.position for r in got.collect()) == [10, 20, 30]
+
+
+def test_protection_leaves_no_clear_text(spark):
+    import pytest
+    from checks import fixtures as fx
+    from conftest import SF
+
+    from rowlog.operators.protect import decrypt_images, encrypt_images
+
+    raw = fx.customer_log(spark, SF)
+    ch = build_changes(raw, redact={"shop.customer": {"c_name": "hash"}})
+    assert not any("Customer#" in str(r) for r in ch.collect())
+    clear = build_changes(raw, fingerprints=False).select("data", "old", "changed", "query")
+    with pytest.raises(TypeError, match="literal"):
+        encrypt_images(clear, "0123456789abcdef0123456789abcdef")
+    key = spark.range(1).select(F.substring(F.sha2(F.lit("k").cast("binary"), 256), 1, 32).alias("k"))
+    enc = encrypt_images(clear, key.scalar())
+    assert not any("Customer#" in str(r) for r in enc.collect())
+    back = decrypt_images(enc, key.scalar())
+    assert back.exceptAll(clear).count() == 0 and back.count() == clear.count()

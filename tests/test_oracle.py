@@ -8,7 +8,9 @@ import __spark_entry__ as entry
 TABLES = ["orders", "lineitem", "customer", "events"]
 NAMES = ["row_changes", "txn_tagging", "table_map_resolution", "captured_transactions", "file_summary",
          "merge_gtids", "multi_row_explode", "state_at", "bootstrap", "delete_storms", "redacted_changes",
-         "padded_names", "gtid_parse"]
+         "padded_names", "gtid_parse", "transitions_decimal", "transitions_null", "row_history_moves", "redacted_query",
+         "lake_table_exact", "convert_job", "merge_gtids_fragmented", "fingerprint_cases", "co_changed_txn",
+         "lake_two_bases", "empty_lake", "stream_rate_append"]
 
 
 @pytest.fixture(scope="module")

@@ -5,7 +5,7 @@ from conftest import SF, UUID, raw_df
 from rowlog.operators import stats
 from rowlog.operators.sequence import sequence_events
 from rowlog.plans.convert import build_changes, sequenced
-from rowlog.sources import fixtures as fx
+from checks import fixtures as fx
 from rowlog.sources.raw import assert_event_types
 
 COLS = ["id", "v"]
@@ -92,3 +92,32 @@ def test_carry_equals_window_changes(spark):
     a = build_changes(raw, method="window")
     b = build_changes(raw, method="carry", bucket_size=50)
     assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_fixture_logs_have_one_event_a_place(spark):
+    from checks.catalog import LOGS
+
+    for name, log in LOGS.items():
+        raw = log(spark, "/root/testdata/sf0.01")
+        assert raw.groupBy("server_id", "binarylog", "seq").count().where("count > 1").count() == 0, name
+
+
+def test_strict_updates(spark):
+    ev = [{"t": "GTID", "gtid": f"{UUID}:1"}, tm(), {"t": "EXT_UPDATE_ROWS", "table_id": 5, "rows": [(["1"], ["1", "2"])]}]
+    with pytest.raises(Exception, match="differ in length"):
+        build_changes(raw_df(spark, ev), strict=True).collect()
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from rowlog.session import shared_dir
+
+    class Context:
+        master = "yarn"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        shared_dir(Session())
