@@ -147,7 +147,8 @@ def clean_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """The documents, all their columns, with text_col cleaned; adds
     _n_lines (before) and _n_dropped. A null text that loses nothing stays null."""
     lost = landed(dropped(docs, id_col, text_col, **how), "lost").select(F.col("doc_id").alias("__id"), F.col("lost").alias("__lost"))
-    rows = docs.join(lost, F.col(id_col).cast("long") == F.col("__id"), "left")
+    # A merge at every size, so that the cost on little data tells that on much.
+    rows = docs.join(lost.hint("merge"), F.col(id_col).cast("long") == F.col("__id"), "left")
     lines = lines_of(F.col(text_col))
     # A short line shares no key with a long one, so its hash is never among the lost.
     kept = F.filter(lines, lambda x: ~F.array_contains(F.col("__lost"), key_hash(line_key(x))))
