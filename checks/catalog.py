@@ -61,6 +61,16 @@ def raw_of(spark: SparkSession, sf: str, log: str) -> DataFrame:
     return raw_events(spark, _LANDED[key])
 
 
+def lake_of(spark: SparkSession, sf: str, log: str) -> DataFrame:
+    """The changes of a fixture log, converted once for a session: what the
+    analyses read, as they would read a lake."""
+    key = (spark.sparkContext.applicationId, sf, f"{log} changes")
+    if key not in _LANDED:
+        _LANDED[key] = scratch_path(spark, f"changes-{log}")
+        changes_of(spark, sf, log).write.parquet(_LANDED[key])
+    return spark.read.parquet(_LANDED[key])
+
+
 def changes_of(spark: SparkSession, sf: str, log: str, **kw) -> DataFrame:
     if log == "control":
         kw.setdefault("missing", "null")
@@ -181,34 +191,34 @@ def total_events(spark, sf):
 
 
 def table_op_counts(spark, sf):
-    return ost.table_op_counts(changes_of(spark, sf, "shop", fingerprints=False))
+    return ost.table_op_counts(lake_of(spark, sf, "shop"))
 
 
 def table_event_counts(spark, sf):
-    return ow.table_event_counts(changes_of(spark, sf, "shop", fingerprints=False))
+    return ow.table_event_counts(lake_of(spark, sf, "shop"))
 
 
 def txn_rollup(spark, sf):
-    return ost.txn_rollup(changes_of(spark, sf, "shop", fingerprints=False))
+    return ost.txn_rollup(lake_of(spark, sf, "shop"))
 
 
 # ---- fingerprints and shapes (F21, F22, J2, A9, A10, L3) --------------------
 def query_fingerprint(spark, sf):
-    ch = changes_of(spark, sf, "shop")
+    ch = lake_of(spark, sf, "shop")
     return ch.groupBy("query_fingerprint", "query_hash").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def new_query_shapes(spark, sf):
-    return ow.new_query_shapes(changes_of(spark, sf, "shop"))
+    return ow.new_query_shapes(lake_of(spark, sf, "shop"))
 
 
 def shape_volume(spark, sf):
-    return ow.shape_volume(changes_of(spark, sf, "shop"))
+    return ow.shape_volume(lake_of(spark, sf, "shop"))
 
 
 def statement_stats_join(spark, sf):
     """J2 (distinct-text form) and J3: per-shape rows joined to statement stats."""
-    ch = ow.with_fingerprint(changes_of(spark, sf, "shop", fingerprints=False), method="distinct")
+    ch = ow.with_fingerprint(lake_of(spark, sf, "shop"), method="distinct")
     by_hash = ch.where(F.col("query_hash").isNotNull()).groupBy("query_hash", "query_fingerprint").agg(
         F.count(F.lit(1)).alias("n_rows")
     )
@@ -217,7 +227,7 @@ def statement_stats_join(spark, sf):
 
 # ---- time travel (H1-H4, W7, W8, L4, J4) ------------------------------------
 def _orders(spark, sf):
-    return changes_of(spark, sf, "orders", fingerprints=False)
+    return lake_of(spark, sf, "orders")
 
 
 def state_at(spark, sf):
@@ -238,7 +248,7 @@ def first_set(spark, sf):
 
 
 def _accounts(spark, sf, **kw):
-    return changes_of(spark, sf, "accounts", fingerprints=False, **kw)
+    return changes_of(spark, sf, "accounts", fingerprints=False, **kw) if kw else lake_of(spark, sf, "accounts")
 
 
 def _moved(spark, sf, column, old, new):
@@ -264,13 +274,13 @@ def transitions(spark, sf):
 
 
 def after_gtid_set(spark, sf):
-    ch = changes_of(spark, sf, "customer", fingerprints=False)
+    ch = lake_of(spark, sf, "customer")
     later = og.after_gtid_set(ch, og.intervals_of(spark, CUSTOMER_SNAPSHOT_SET))
     return later.select(*FILE, "position", "gtid", "event")
 
 
 def bootstrap(spark, sf):
-    ch = changes_of(spark, sf, "customer", fingerprints=False)
+    ch = lake_of(spark, sf, "customer")
     iv = og.intervals_of(spark, CUSTOMER_SNAPSHOT_SET)
     inside = og.in_gtid_set(ch, iv)
     snapshot = oh.state_at(inside, CUSTOMER_KEYS, 1 << 62)
@@ -279,7 +289,7 @@ def bootstrap(spark, sf):
 
 # ---- workload (A11-A14, J5, J6) --------------------------------------------
 def _shop(spark, sf):
-    return changes_of(spark, sf, "shop", fingerprints=False)
+    return lake_of(spark, sf, "shop")
 
 
 def write_rate(spark, sf):
@@ -616,7 +626,7 @@ def stream_rate_append(spark, sf):
     from rowlog.streaming.stream import stream_write_rate as start
 
     lake, out, ckpt = (scratch_path(spark, f"rate-{x}") for x in ("lake", "out", "ckpt"))
-    ch = written(changes_of(spark, sf, "customer", fingerprints=False), "rate-changes")
+    ch = lake_of(spark, sf, "customer")
     half = ch.where(F.col("timestamp") <= ch.select(F.expr("(min(timestamp) + max(timestamp)) div 2").alias("t")).scalar())
     for part in (half, ch):
         write_by_table(part, lake, by_file=True)
