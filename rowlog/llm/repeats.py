@@ -46,8 +46,10 @@ from rowlog.llm.suffixes import BASES, anchored_runs, prefix_sums, range_hash, r
 
 LENGTH = 100
 K = 32
-SHARD_BYTES = 4 << 20
-HOT_RUNS = 8192
+SHARD_BYTES = 1 << 20
+HOT_RUNS = 4096
+SLICE_BYTES = 1 << 18
+SLICE_ROWS = 128
 _PLACE = 1 << 41  # pos = mark * _PLACE + byte offset
 _NULL_ID = -(1 << 63)
 _U = np.uint64
@@ -67,7 +69,7 @@ def _runs(docs: DataFrame, length: int, k: int) -> DataFrame:
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, marks = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for first, raw, offsets in slices(b.column(2)):
+            for first, raw, offsets in slices(b.column(2), SLICE_BYTES):
                 for text, lo, n, anchor, context in anchored_runs(raw, offsets, length, k):
                     yield pa.RecordBatch.from_arrays(
                         [
@@ -85,7 +87,7 @@ def _bytes_of(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
         F.collect_list(F.struct("h", "salt", "salts", "pos", "n")).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
             parts = b.column(2).flatten()
             of = np.repeat(np.arange(b.num_rows), [len(r) for r in b.column(2)])
             h, salt, salts, pos, n = (parts.field(i) for i in range(5))
@@ -185,7 +187,7 @@ def _merged(windows: DataFrame) -> DataFrame:
         size = 0
         for b in batches:
             cols = [c.to_numpy() for c in b.columns]
-            if size >= 1 << 20:  # cut where the key changes, so equal windows stay together
+            if size >= 1 << 18:  # cut where the key changes, so equal windows stay together
                 new = np.flatnonzero(cols[0] != held[-1][0][-1])
                 if len(new):
                     held.append([c[:new[0]] for c in cols])
@@ -228,7 +230,7 @@ def remove_repeats(
         F.collect_list(F.struct(F.expr(f"pos % {_PLACE}").alias("at"), "n")).alias("gone"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
             out = [_without(t.encode("utf-8"), g, length) for t, g in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *(pa.array([o[i] for o in out], pa.int64()) for i in range(3)), pa.array([o[3] for o in out], pa.binary())],

@@ -47,15 +47,16 @@ def constants(n: int, seed: int) -> np.ndarray:
     return mix(np.arange(1, n + 1, dtype=_U) + _U(seed << 32)) | _U(1)
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets) of runs of whole texts of about SLICE_BYTES."""
+def slices(column: pa.Array, size: int | None = None) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets) of runs of whole texts of about `size` bytes."""
+    size = size or SLICE_BYTES
     width = np.int64 if pa.types.is_large_string(column.type) else np.int32
     _, at, data = column.buffers()
     offsets = np.frombuffer(at, width)[column.offset:column.offset + len(column) + 1].astype(np.int64) if len(column) else np.zeros(1, np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
     i = 0
     while i < len(column):
-        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + SLICE_BYTES, "right")) - 1)
+        j = max(i + 1, int(np.searchsorted(offsets, offsets[i] + size, "right")) - 1)
         yield i, raw[offsets[i]:offsets[j]], offsets[i:j + 1] - offsets[i]
         i = j
 

@@ -57,7 +57,7 @@ def _anchors(raw: np.ndarray, offsets: np.ndarray, length: int, k: int) -> tuple
     return text, lo - offsets[text], windows, grams[anchor], context
 
 
-def anchored_runs(raw: np.ndarray, offsets: np.ndarray, length: int, k: int, piece: int = 1 << 20) -> Iterator[tuple[np.ndarray, ...]]:
+def anchored_runs(raw: np.ndarray, offsets: np.ndarray, length: int, k: int, piece: int = 1 << 18) -> Iterator[tuple[np.ndarray, ...]]:
     """Runs of windows (`length` bytes) that share their anchor, the smallest
     k-gram in them: text, first start, number of windows, hash of the anchor,
     hash of the run's bytes. Equal windows have equal anchors at equal places."""
