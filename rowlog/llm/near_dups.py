@@ -15,12 +15,15 @@ representative first. No pairs of a whole group are ever written:
 1. each member of a key's group is compared with the group's smallest id;
    confirmed links give provisional components;
 2. only groups whose members still lie in several components are looked at
-   again, and only pairs across components within the radius are confirmed.
-   Groups are cut into blocks of `BLOCK` members, a task sees two of them.
+   again, and only at pairs across components within the radius. A pair is
+   taken up in the first key that it shares, and must pass a finer signature
+   of `FINE` 4-bit symbols (5 standard deviations below the threshold) before
+   its full sets are confirmed. Groups are cut into blocks of `BLOCK`
+   members, a task sees two of them.
 
-So a large group of near copies costs one comparison a member, and the
-result holds every link that the radius guarantees. Components are found by
-alternating star contractions.
+So a large group of near copies costs one comparison a member, and copies of
+one text that are no copies of each other are told apart inside the task,
+not as rows. Components are found by alternating star contractions.
 
 Edge cases: null and empty texts, and texts without words, have an empty set
 and are linked with nothing; a text with fewer words than a shingle is one
@@ -45,6 +48,8 @@ PERCENT = 80
 CHUNKS, WIDTH = 10, 5
 RADIUS = 2 * CHUNKS - 1
 BLOCK = 2048
+FINE = 1024
+_EQUAL = np.array([((x & 15) == 0) + ((x >> 4) == 0) for x in range(256)], np.uint8)  # equal symbols, from the XOR of two pairs
 _U = np.uint64
 
 
@@ -133,40 +138,79 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
         sets, "id long, shingles array<long>")
 
 
+def _fine(sets: DataFrame, ids: DataFrame) -> DataFrame:
+    """id, fine: the finer signature of the documents in `ids`, two symbols a byte."""
+
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 128):
+                b = whole.slice(at, 128)
+                sig = signatures([np.asarray(x, np.int64).view(_U) for x in b.column(1).to_numpy(zero_copy_only=False)], FINE)
+                packed = ((sig[:, 0::2] & 15) | (sig[:, 1::2] & 15) << 4).astype(np.uint8)
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([r.tobytes() for r in packed], pa.binary())], names=["id", "fine"])
+
+    return sets.join(ids, "id", "left_semi").select("id", "shingles").mapInArrow(sign, "id long, fine binary").dropDuplicates(["id"])
+
+
+def fine_matches(percent: int) -> float:
+    """Equal symbols that a pair at the threshold has with near certainty."""
+    p = percent / 100 + (1 - percent / 100) / 16
+    return FINE * p - 5 * (FINE * p * (1 - p)) ** 0.5
+
+
+def first_slots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For pairs of signatures within the radius, the first key they share."""
+    differ = (a != b).reshape(len(a), CHUNKS, WIDTH)
+    errors = differ.sum(axis=2)
+    chunk = (errors <= 1).argmax(axis=1)
+    return chunk * WIDTH + differ[np.arange(len(a)), chunk].argmax(axis=1)
+
+
 def _across(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) of a (key, i, j) group that are in different components
-    and within the radius; rows come sorted by group."""
+    """Pairs (a < b) of a (key, i, j) group that are in different components,
+    within the radius and close by the finer signature; rows come sorted by
+    group."""
+    least = fine_matches(percent)
 
-    def close(ids: np.ndarray, comp: np.ndarray, n: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def close(key: int, ids: np.ndarray, comp: np.ndarray, n: np.ndarray, sig: np.ndarray, fine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        slot = int((index_keys(sig[:1]).view(np.int64)[0] == key).argmax())
         a_out, b_out = [], []
-        for lo in range(0, len(ids), 256):  # bounded distance matrices
-            part = slice(lo, lo + 256)
-            far = (sig[part, None, :] != sig[None, :, :]).sum(axis=2) > RADIUS
-            size = 100 * np.minimum(n[part, None], n) < percent * np.maximum(n[part, None], n)
-            a, b = np.nonzero(~far & ~size & (comp[part, None] != comp) & (ids[part, None] < ids))
-            a_out.append(ids[a + lo])
-            b_out.append(ids[b])
-        return np.concatenate(a_out), np.concatenate(b_out)
+        for lo in range(0, len(ids), 128):  # bounded distance matrices
+            part = slice(lo, lo + 128)
+            near = (sig[part, None, :] != sig[None, :, :]).sum(axis=2) <= RADIUS
+            size = 100 * np.minimum(n[part, None], n) >= percent * np.maximum(n[part, None], n)
+            a, b = np.nonzero(near & size & (comp[part, None] != comp) & (ids[part, None] < ids))
+            a += lo
+            for at in range(0, len(a), 8192):
+                x, y = a[at:at + 8192], b[at:at + 8192]
+                own = first_slots(sig[x], sig[y]) == slot
+                x, y = x[own], y[own]
+                ok = _EQUAL[fine[x] ^ fine[y]].sum(axis=1, dtype=np.int64) >= least
+                a_out.append(ids[x[ok]])
+                b_out.append(ids[y[ok]])
+        none = np.empty(0, np.int64)
+        return np.concatenate([none, *a_out]), np.concatenate([none, *b_out])
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         held_mark = None
 
         def flush() -> Iterator[pa.RecordBatch]:
-            ids, comp, n, sig = (np.concatenate([h[k] for h in held]) for k in range(4))
+            ids, comp, n, sig, fine = (np.concatenate([h[k] for h in held]) for k in range(5))
             if len(ids) > 1:
-                a, b = close(ids, comp, n, sig)
+                a, b = close(held_mark[0], ids, comp, n, sig, fine)
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
         for batch in batches:
             mark = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
-            cols = (*(batch.column(k).to_numpy() for k in (3, 4, 5)), _as_matrix(batch.column(6)))
+            fine = np.frombuffer(b"".join(batch.column(7).to_pylist()), np.uint8).reshape(len(mark), -1)
+            cols = (*(batch.column(k).to_numpy() for k in (3, 4, 5)), _as_matrix(batch.column(6)), fine)
             cuts = [0, *(np.flatnonzero((mark[1:] != mark[:-1]).any(axis=1)) + 1).tolist(), len(mark)]
             for x, y in zip(cuts, cuts[1:], strict=False):
-                this = tuple(mark[x].tolist()) if y > x else None
-                if this is None:
+                if y == x:
                     continue
+                this = tuple(mark[x].tolist())
                 if held and this != held_mark:
                     yield from flush()
                     held = []
@@ -176,7 +220,7 @@ def _across(rows: DataFrame, percent: int) -> DataFrame:
             yield from flush()
 
     return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j").select(
-        "key", "i", "j", "id", "component", "n", "sig").mapInArrow(pairs, "a long, b long").distinct()
+        "key", "i", "j", "id", "component", "n", "sig", "fine").mapInArrow(pairs, "a long, b long").distinct()
 
 
 def links(docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFrame:
@@ -199,8 +243,8 @@ def links(docs: DataFrame, reps: DataFrame, words: int, percent: int) -> DataFra
     mine = F.pmod(F.xxhash64("id"), blocks).cast("int")
     spread = rows.join(apart, "key").withColumn("s", mine).withColumn("t", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
         "key", "id", "n", "component", F.least("s", "t").alias("i"), F.greatest("s", "t").alias("j"))
-    with_sig = spread.join(reps.select("id", "sig"), "id")
-    rest = _confirm(_across(with_sig, percent), sets, percent)
+    marks = landed(reps.select("id", "sig").join(_fine(sets, rows.join(apart, "key", "left_semi").select("id").distinct()), "id"), "marks")
+    rest = _confirm(_across(spread.join(marks, "id"), percent), sets, percent)
     return landed(star.unionByName(rest), "links")
 
 

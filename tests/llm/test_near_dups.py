@@ -74,3 +74,24 @@ def test_components_of_chains_and_stars(spark):
     got = components(spark.createDataFrame(links, "a long, b long"))
     want = [(i, 0) for i in range(1, 41)] + [(100 + i, 100) for i in range(1, 9)] + [(203, 201), (205, 201)]
     assert rows_of(got) == sorted(want, key=str)
+
+
+def test_pairs_are_taken_up_in_a_key_they_share():
+    r = np.random.default_rng(2)
+    a = r.integers(0, 1 << 16, (200, 50)).astype(np.uint16)
+    b = a.copy()
+    for i in range(200):
+        b[i, r.choice(50, i % (near_dups.RADIUS + 1), replace=False)] ^= 1
+    rows, slots = np.arange(200), near_dups.first_slots(a, b)
+    assert (near_dups.index_keys(a)[rows, slots] == near_dups.index_keys(b)[rows, slots]).all()
+
+
+def test_the_finer_signature_keeps_pairs_at_the_threshold():
+    r = np.random.default_rng(3)
+    for percent in (80, 85):
+        for _ in range(40):
+            shared = r.integers(0, 1 << 62, percent * 4).astype(np.uint64)
+            rest = r.integers(0, 1 << 62, (2, 400 - percent * 4)).astype(np.uint64)
+            x, y = (np.concatenate([shared, part[: len(part) // 2]]) for part in rest)
+            sig = shingles.signatures([x, y], near_dups.FINE) & 15
+            assert (sig[0] == sig[1]).sum() >= near_dups.fine_matches(percent)
