@@ -95,3 +95,19 @@ def test_the_finer_signature_keeps_pairs_at_the_threshold():
             x, y = (np.concatenate([shared, part[: len(part) // 2]]) for part in rest)
             sig = shingles.signatures([x, y], near_dups.FINE) & 15
             assert (sig[0] == sig[1]).sum() >= near_dups.fine_matches(percent)
+
+
+def test_pairs_that_share_a_key_are_taken_up_at_any_distance(spark):
+    r = np.random.default_rng(4)
+    sig = np.repeat(r.integers(0, 1 << 16, (1, 50)).astype(np.uint16), 3, axis=0)
+    sig[1, 5:5 + near_dups.RADIUS + 6] ^= 1  # chunk 0 stays whole
+    sig[2, 5:] ^= 2
+    key = int(near_dups.index_keys(sig).view(np.int64)[0, 0])
+    fine = bytes(near_dups.FINE // 2)
+    rows = [(key, 0, 0, i, i, 100, s.tobytes(), fine, i) for i, s in enumerate(sig, 1)]
+    df = spark.createDataFrame(rows, "key long, i int, j int, id long, component long, n int, sig binary, fine binary, f long")
+    assert rows_of(near_dups._across(df, 85), "a", "b") == [(1, 2), (1, 3), (2, 3)]
+
+
+def test_the_stated_chance_of_a_miss():
+    assert near_dups.miss(85) < 9.5e-7 and near_dups.miss(80) < 2.3e-6
