@@ -111,3 +111,44 @@ def test_pairs_that_share_a_key_are_taken_up_at_any_distance(spark):
 
 def test_the_stated_chance_of_a_miss():
     assert near_dups.miss(85) < 9.5e-7 and near_dups.miss(80) < 2.3e-6
+
+
+def test_repeated_ids_inside_families(spark):
+    """An id with texts of two families has the links of both, and the others lose none."""
+    made = variants(7, 6, 20)
+    r = random.Random(8)
+    rows = made + [(r.choice(made)[0], r.choice(made)[1]) for _ in range(2)] + [(i, made[-1 - i % 40][1] + f" x{i}") for i in (1, 1, 2, 3, 3)]
+    rows += [(made[0][0], made[25][1]), (made[45][0], made[5][1] + " y")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    # Each row as a document of its own, then those of an id together.
+    parts = {k: root for k, _, root, _ in brute.near_components([(k, t) for k, (_, t) in enumerate(rows)], 3, 85)}
+    comp = {i: i for i, _ in rows}
+    while True:
+        least = {}
+        for k, (i, _) in enumerate(rows):
+            least[parts[k]] = min(least.get(parts[k], comp[i]), comp[i])
+        new = dict(comp)
+        for k, (i, _) in enumerate(rows):
+            new[i] = min(new[i], least[parts[k]])
+        if new == comp:
+            break
+        comp = new
+    got = near_dups.near_duplicates(df, words=3, percent=85).select("doc_id", "component_id").distinct()
+    assert rows_of(got) == sorted(comp.items(), key=str)
+
+
+def test_a_key_tells_its_slot():
+    keys = near_dups.index_keys(np.random.default_rng(5).integers(0, 1 << 16, (4, 50)).astype(np.uint16))
+    assert ((keys & near_dups.SLOT) == np.arange(50, dtype=np.uint64)).all()
+
+
+def test_the_foreign_text_of_an_id_takes_no_pair_away(spark):
+    """A row whose signature lacks the key comes first in the key's group."""
+    r = np.random.default_rng(6)
+    sig = np.repeat(r.integers(0, 1 << 16, (1, 50)).astype(np.uint16), 3, axis=0)
+    sig[0] = r.integers(0, 1 << 16, 50)
+    sig[2, :25] ^= 1
+    key = int(near_dups.index_keys(sig).view(np.int64)[1, 25])
+    rows = [(key, 0, 0, i, i, 100, s.tobytes(), bytes(near_dups.FINE // 2), i) for i, s in enumerate(sig, 1)]
+    df = spark.createDataFrame(rows, "key long, i int, j int, id long, component long, n int, sig binary, fine binary, f long").coalesce(1)
+    assert (2, 3) in rows_of(near_dups._across(df, 85), "a", "b")
