@@ -11,16 +11,16 @@ separators, because every byte of a non-ASCII character is a word byte. The
 bytes are then viewed as latin-1, so that one character of the automaton is
 one byte.
 
-Scale: the documents are only mapped, never shuffled. The benchmark side is
-broadcast in blocks of at most `block_chars` characters of patterns; a larger
-benchmark means more blocks, each scanning the texts, and the hits of a
-document are merged by aggregation. So what is held per worker is bounded
-whatever the benchmark's size.
+Scale: the documents are only mapped, never shuffled, and each row is judged
+by itself in one pass, whatever the benchmark's size. Spark cuts the items
+into pieces of at most `block_chars` characters of patterns; the driver deals
+the pieces into blocks, one at a time, and broadcasts them; windows are made
+in the workers. With several blocks a worker gathers texts of `HELD_BYTES`
+and scans them with one block after the other, so it holds one automaton.
 
 Edge cases: null or empty text has no words and no hits; a null item or one
 without words has no window; repeated items each count; an empty benchmark
-flags nothing; repeated doc_ids are judged row by row while one block holds
-the benchmark.
+flags nothing; repeated and null doc_ids are judged row by row.
 """
 from __future__ import annotations
 
@@ -30,7 +30,9 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +40,7 @@ from rowlog.llm.common import id_and_text, prepare
 
 WINDOW = 10
 BLOCK_CHARS = 8 << 20
+HELD_BYTES = 32 << 20
 _SPACE = 32
 _WORD_BYTES = {*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _TABLE = bytes((b + 32 if 0x41 <= b <= 0x5A else b) if b in _WORD_BYTES else _SPACE for b in range(256))
@@ -71,21 +74,30 @@ def build(patterns: dict[str, list[str]]) -> ahocorasick.Automaton:
 
 
 _BUILT: dict[str, ahocorasick.Automaton] = {}
+Block = list[tuple[str | None, str]]  # (item id, piece of an item)
+Blocks = list[tuple[Broadcast, str]]  # with a digest
 
 
-def _automaton(patterns: dict[str, list[str]], digest: str) -> ahocorasick.Automaton:
+def _automaton(shared: Broadcast, digest: str, window: int) -> ahocorasick.Automaton:
     """Built once in each Python worker; only the block in use is kept."""
     if digest not in _BUILT:
         _BUILT.clear()
-        _BUILT[digest] = build(patterns)
+        patterns: dict[str, set[str]] = {}
+        for item, piece in shared.value:
+            for p in item_windows(piece, window):
+                patterns.setdefault(p, set()).add(item)
+        _BUILT[digest] = build({p: sorted(i) for p, i in patterns.items()})
+        if shared._path:
+            vars(shared).pop("_value", None)  # read again when its turn comes
     return _BUILT[digest]
 
 
-def scan(text: str, a: ahocorasick.Automaton) -> tuple[int, np.ndarray, list[tuple[int, int]], set[str]]:
-    """(words, positions of hit words, code-point spans of hit runs, items)."""
+def hits(text: str, a: ahocorasick.Automaton) -> tuple[int, np.ndarray, set[str]]:
+    """(words, positions of hit words, items)."""
     w = words(text)
+    none = np.empty(0, np.int64)
     if not w or not len(a):
-        return len(w), np.empty(0, np.int64), [], set()
+        return len(w), none, set()
     line = _pattern(w)
     ends, lengths, items = [], [], set()
     for end, (n, ids) in a.iter(line):
@@ -93,82 +105,119 @@ def scan(text: str, a: ahocorasick.Automaton) -> tuple[int, np.ndarray, list[tup
         lengths.append(n)
         items.update(ids)
     if not ends:
-        return len(w), np.empty(0, np.int64), [], items
+        return len(w), none, items
     blanks = np.flatnonzero(np.frombuffer(line.encode("latin-1"), np.uint8) == _SPACE)
     last = np.asarray(ends)
     first = np.searchsorted(blanks, last - np.asarray(lengths) + 1)
     after = np.searchsorted(blanks, last)
     edge = np.bincount(first, minlength=len(w) + 1) - np.bincount(after, minlength=len(w) + 1)
-    hit = np.flatnonzero(np.cumsum(edge)[: len(w)] > 0)
-    where = [m.span() for m in _ORIGINAL_WORD.finditer(text)]
-    runs = np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1)
-    return len(w), hit, [(where[r[0]][0], where[r[-1]][1]) for r in runs], items
+    return len(w), np.flatnonzero(np.cumsum(edge)[: len(w)] > 0), items
+
 
+def hit_spans(text: str, hit: np.ndarray) -> list[tuple[int, int]]:
+    """Code-point spans of the runs of hit words."""
+    if not len(hit):
+        return []
+    where = [m.span() for m in _ORIGINAL_WORD.finditer(text)]
+    return [(where[r[0]][0], where[r[-1]][1]) for r in np.split(hit, np.flatnonzero(np.diff(hit) > 1) + 1)]
+
+
+def scan(texts: list[str], blocks: Blocks, window: int) -> list[tuple[int, np.ndarray, set[str]]]:
+    """hits() of each text over all blocks."""
+    found: list[tuple[int, np.ndarray, set[str]]] = [(0, np.empty(0, np.int64), set()) for _ in texts]
+    for shared, mark in blocks:
+        a = _automaton(shared, mark, window)
+        for k, t in enumerate(texts):
+            n, hit, items = hits(t, a)
+            old = found[k]
+            found[k] = n, np.union1d(old[1], hit) if len(old[1]) else hit, old[2] | items
+    return found
+
+
+def _gathered(batches: Iterator, sized, several: bool) -> Iterator[list]:
+    """Batches one by one or, for several blocks, as many as hold HELD_BYTES."""
+    held, size = [], 0
+    for b in batches:
+        held.append(b)
+        size += sized(b)
+        if not several or size >= HELD_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _cut(text: str | None, window: int, chars: int) -> Iterator[tuple[str, int]]:
+    """Pieces of an item that together have its windows, each with at most
+    `chars` characters of patterns (or one window), and that number."""
+    w = words(text)
+    n = min(window, len(w))
+    first = size = 0
+    for i in range(len(w) - n + 1 if n else 0):
+        one = sum(map(len, w[i:i + n])) + n + 1
+        if size and size + one > chars:
+            yield b" ".join(w[first:i + n - 1]).decode(), size
+            first, size = i, 0
+        size += one
+    if size:
+        yield b" ".join(w[first:]).decode(), size
+
+
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_chars: int) -> Iterator[Block]:
+    """Pieces of items in blocks of bounded size; they stream through the
+    driver one partition at a time."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for item, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                if (pieces := list(_cut(text, window, block_chars))):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([item] * len(pieces), pa.string()), pa.array([p for p, _ in pieces], pa.string()),
+                         pa.array([n for _, n in pieces], pa.int64())], names=["i", "piece", "n"])
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, block_chars: int) -> Iterator[dict[str, list[str]]]:
-    """Pattern -> item ids, in blocks of bounded size; items stream through
-    the driver one partition at a time."""
-    block: dict[str, list[str]] = {}
+    block: Block = []
     size = 0
     items = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
-    for row in items.where("i is not null").toLocalIterator():
-        for p in item_windows(row["t"], window):
-            if p not in block:
-                size += len(p)
-            block.setdefault(p, []).append(row["i"])
-        if size >= block_chars:
+    for row in items.where("i is not null").mapInArrow(cut, "i string, piece string, n long").toLocalIterator():
+        if block and size + row["n"] > block_chars:
             yield block
-            block, size = {}, 0
+            block, size = [], 0
+        block.append((row["i"], row["piece"]))
+        size += row["n"]
     yield block
 
 
-def _mark(patterns: dict[str, list[str]]) -> str:
-    return hashlib.sha256("\0".join(f"{p}\1{','.join(i)}" for p, i in sorted(patterns.items())).encode()).hexdigest()
+def _shared(benchmark: DataFrame, *how) -> Blocks:
+    sc = benchmark.sparkSession.sparkContext
+    return [(sc.broadcast(b), hashlib.sha256(repr(b).encode()).hexdigest()) for b in _blocks(benchmark, *how)]
 
 
-def _scan_block(docs: DataFrame, patterns: dict[str, list[str]]) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(patterns)
-    digest = _mark(patterns)
+def decontaminate(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+    item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_chars: int = BLOCK_CHARS,
+) -> DataFrame:
+    """One row per document row: doc_id, n_words, hit_words (positions), spans
+    (code-point offsets of the hit runs, end exclusive), items (sorted ids)."""
+    prepare(docs.sparkSession)
+    blocks = _shared(benchmark, item_col, item_text_col, window, block_chars)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        a = _automaton(shared.value, digest)
-        for b in batches:
-            found = [scan(t, a) for t in b.column(1).to_pylist()]
+        for held in _gathered(batches, lambda b: b.nbytes, len(blocks) > 1):
+            texts = [t for b in held for t in b.column(1).to_pylist()]
+            found = scan(texts, blocks, window)
             yield pa.RecordBatch.from_arrays(
                 [
-                    b.column(0),
+                    pa.concat_arrays([b.column(0) for b in held]),
                     pa.array([f[0] for f in found], pa.int64()),
                     pa.array([f[1].tolist() for f in found], pa.list_(pa.int32())),
-                    pa.array([[{"start": s, "end": e} for s, e in f[2]] for f in found],
+                    pa.array([[{"start": s, "end": e} for s, e in hit_spans(t, f[1])] for t, f in zip(texts, found, strict=True)],
                              pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                    pa.array([sorted(f[3]) for f in found], pa.list_(pa.string())),
+                    pa.array([sorted(f[2]) for f in found], pa.list_(pa.string())),
                 ],
                 names=["doc_id", "n_words", "hit_words", "spans", "items"],
             )
 
-    return docs.mapInArrow(judge, SCHEMA)
-
-
-def decontaminate(
-    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-    item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, block_chars: int = BLOCK_CHARS,
-) -> DataFrame:
-    """One row per document: doc_id, n_words, hit_words (positions), spans
-    (code-point offsets of the hit runs, end exclusive), items (sorted ids)."""
-    prepare(docs.sparkSession)
-    narrow = id_and_text(docs, id_col, text_col)
-    parts = [_scan_block(narrow, b) for b in _blocks(benchmark, item_col, item_text_col, window, block_chars)]
-    if len(parts) == 1:
-        return parts[0]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("hit_words")))).alias("hit_words"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"),
-    )
+    return id_and_text(docs, id_col, text_col).mapInArrow(judge, SCHEMA)
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -187,18 +236,12 @@ def clean(
 ) -> DataFrame:
     """The documents, all columns, in which no window occurs."""
     prepare(docs.sparkSession)
-    for patterns in _blocks(benchmark, item_col, item_text_col, window, block_chars):
-        docs = docs.where(~_hit(docs, patterns)(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    return docs
-
-
-def _hit(docs: DataFrame, patterns: dict[str, list[str]]):
-    shared = docs.sparkSession.sparkContext.broadcast(patterns)
-    digest = _mark(patterns)
+    blocks = _shared(benchmark, item_col, item_text_col, window, block_chars)
 
     @F.pandas_udf("boolean")
-    def hit(text):
-        a = _automaton(shared.value, digest)
-        return text.map(lambda t: len(scan(t, a)[1]) > 0)
+    def hit(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for held in _gathered(batches, lambda b: int(b.str.len().sum()), len(blocks) > 1):
+            for b in held if len(blocks) == 1 else [pd.concat(held)]:
+                yield pd.Series([len(f[1]) > 0 for f in scan(b.tolist(), blocks, window)], dtype=bool)
 
-    return hit
+    return docs.where(~hit(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))

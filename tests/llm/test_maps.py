@@ -72,3 +72,15 @@ def test_spans_are_offsets_of_the_original(spark):
     spans = decontaminate.decontaminate(df, items).first().spans
     text = df.first().text
     assert [text[s.start:s.end] for s in spans] == ["BETA -- Gamma. beta gamma"]
+
+
+@pytest.mark.parametrize("block", [8 << 20, 30])
+def test_each_row_is_judged_by_itself_at_every_benchmark_size(spark, block):
+    items = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(14))), (2, "other item")], "item_id long, text string")
+    rows = [(None, "plain one"), (None, "plain two three"), (7, "x " + " ".join(f"w{i}" for i in range(12))), (7, "no hit"), (7, "no hit"), (8, "an other item")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = decontaminate.decontaminate(df, items, block_chars=block).collect()
+    assert [(r.doc_id, r.n_words, r.hit_words, r["items"]) for r in got] == [
+        (None, 2, [], []), (None, 3, [], []), (7, 13, list(range(1, 13)), ["1"]), (7, 2, [], []), (7, 2, [], []), (8, 3, [1, 2], ["2"])]
+    assert [len(r.spans) for r in got] == [0, 0, 1, 0, 0, 1]
+    assert sorted(r.text for r in decontaminate.clean(df, items, block_chars=block).collect()) == ["no hit", "no hit", "plain one", "plain two three"]
