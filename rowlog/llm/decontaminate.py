@@ -19,7 +19,8 @@ in the workers. With several blocks a worker gathers texts of `HELD_BYTES`
 and scans them with one block after the other, so it holds one automaton.
 
 Edge cases: null or empty text has no words and no hits; a null item or one
-without words has no window; repeated items each count; an empty benchmark
+without words has no window; an item without an id hits, but is not listed
+in `items`; repeated items each count; an empty benchmark
 flags nothing; repeated and null doc_ids are judged row by row.
 """
 from __future__ import annotations
@@ -85,7 +86,7 @@ def _automaton(shared: Broadcast, digest: str, window: int) -> ahocorasick.Autom
         patterns: dict[str, set[str]] = {}
         for item, piece in shared.value:
             for p in item_windows(piece, window):
-                patterns.setdefault(p, set()).add(item)
+                patterns.setdefault(p, set()).update([] if item is None else [item])
         _BUILT[digest] = build({p: sorted(i) for p, i in patterns.items()})
         if shared._path:
             vars(shared).pop("_value", None)  # read again when its turn comes
@@ -178,7 +179,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, blo
     block: Block = []
     size = 0
     items = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
-    for row in items.where("i is not null").mapInArrow(cut, "i string, piece string, n long").toLocalIterator():
+    for row in items.mapInArrow(cut, "i string, piece string, n long").toLocalIterator():
         if block and size + row["n"] > block_chars:
             yield block
             block, size = [], 0

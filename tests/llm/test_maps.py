@@ -84,3 +84,12 @@ def test_each_row_is_judged_by_itself_at_every_benchmark_size(spark, block):
         (None, 2, [], []), (None, 3, [], []), (7, 13, list(range(1, 13)), ["1"]), (7, 2, [], []), (7, 2, [], []), (8, 3, [1, 2], ["2"])]
     assert [len(r.spans) for r in got] == [0, 0, 1, 0, 0, 1]
     assert sorted(r.text for r in decontaminate.clean(df, items, block_chars=block).collect()) == ["no hit", "no hit", "plain one", "plain two three"]
+
+
+@pytest.mark.parametrize("block", [8 << 20, 30])
+def test_items_without_an_id_hit(spark, block):
+    items = spark.createDataFrame([(None, "Secret question"), (1, "other item"), (1, None)], "item_id long, text string")
+    df = spark.createDataFrame([(1, "a secret question"), (2, "an other item"), (3, "none")], "doc_id long, text string")
+    got = decontaminate.digest(decontaminate.decontaminate(df, items, block_chars=block))
+    assert rows_of(got, "doc_id", "n_hit", "n_items", "contaminated") == [(1, 2, 0, True), (2, 2, 1, True), (3, 0, 0, False)]
+    assert [r.doc_id for r in decontaminate.clean(df, items, block_chars=block).collect()] == [3]
