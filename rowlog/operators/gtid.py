@@ -34,7 +34,9 @@ def gtid_runs(df: DataFrame, by, gtid_col: str = "gtid", bucket: int = DEFAULT_T
     edge = F.lag("lo").over(wb).isNull() | F.lead("lo").over(wb).isNull()
     local = local.withColumn("_edge", edge)
     w2 = Window.partitionBy(*by, "uuid").orderBy("lo", "hi")
-    brk2 = F.coalesce(F.col("lo") != F.lag("hi").over(w2) + 1, F.lit(True)).cast("long")
+    # Two edge runs of one bucket never join: numbers repeat between them.
+    apart = (F.col("lo") != F.lag("hi").over(w2) + 1) | (F.col("_b") == F.lag("_b").over(w2))
+    brk2 = F.coalesce(apart, F.lit(True)).cast("long")
     r = local.where("_edge").withColumn("_brk", brk2).withColumn("_isl", F.sum("_brk").over(w2.rowsBetween(_UNB, _CUR)))
     joined = r.groupBy(*by, "uuid", "_isl").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("_isl")
     return joined.unionByName(local.where("not _edge").select(*by, "uuid", "lo", "hi"))

@@ -22,6 +22,12 @@ def test_merge_rules(spark):
         assert merged(spark, [1, 2, 3, 4, 5, 6, 7, 9, 10, 11], b) == "a:1,u:1-7:9-11"
 
 
+def test_repeated_numbers_keep_their_runs(spark):
+    """As the reference: a run ends where its next number is repeated."""
+    for b in (1 << 20, 2, 3):
+        assert merged(spark, [1, 2, 2, 3, 3, 4], b) == "a:1,u:1-2:2-3:3-4"
+
+
 def test_intervals_roundtrip(spark):
     df = spark.createDataFrame([(f"u:1-3:5,\n v:7",)], "s string")
     got = sorted(tuple(r) for r in og.gtid_intervals(df, "s").collect())
