@@ -62,3 +62,19 @@ def test_few_and_no_vectors(spark):
     assert [i for i, _ in got[0]] == [1, 2, 3]
     assert found(ann.search(df.where("vec_id = 0"), F.col("id") % 50 == 0)) == {}
     assert ann.search(df.where("false"), F.col("id") % 50 == 0).count() == 0
+
+
+def test_an_id_with_two_vectors_is_found_by_both(spark):
+    v1, v2, rest = [1.0, 0.0, 0.0, 0.0], [0.0, 1.0, 0.0, 0.0], [0.0, 0.0, 1.0, 0.5]
+    rows = [(0, [1.0, 0.1, 0.0, 0.0]), (50, [0.1, 1.0, 0.0, 0.0]), (5, v1), (9, v1), (5, v2), (11, v2), (12, rest)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(ann.search(df, F.col("id") % 50 == 0, k=2, probes=8))
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {0: [5, 9], 50: [5, 11]}
+    assert all(abs(s - 1 / 1.01 ** 0.5) < 1e-12 for v in got.values() for _, s in v)
+
+
+def test_a_query_with_several_vectors_still_has_k_neighbours(spark):
+    rows = [(0, [1.0, 0.01 * i]) for i in range(4)] + [(i, [1.0, float(i)]) for i in range(1, 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    assert [i for i, _ in found(ann.search(df, F.col("id") % 50 == 0, k=3, probes=4))[0]][:1] == [1]
+    assert len(found(ann.search(df, F.col("id") % 50 == 0, k=3, probes=4))[0]) == 3
