@@ -1,5 +1,5 @@
 """GTID set algebra and time travel."""
-from conftest import UUID, raw_df
+from helpers import UUID, raw_df
 from pyspark.sql import functions as F
 
 from rowlog.operators import gtid as og
@@ -79,7 +79,7 @@ def test_bootstrap_equals_full_replay(spark):
 
 def test_row_history_buckets_equal_one_window(spark):
     """Bucketed history (carry over buckets of one key) equals one window per key."""
-    from conftest import SF
+    from helpers import SF
     from pyspark.sql import Window
 
     from checks.catalog import ORDERS_KEYS, changes_of
@@ -146,7 +146,7 @@ def test_transaction_scope_keeps_rows_outside_transactions(spark):
 def test_protection_leaves_no_clear_text(spark):
     import pytest
     from checks import fixtures as fx
-    from conftest import SF
+    from helpers import SF
 
     from rowlog.operators.protect import decrypt_images, encrypt_images
 

@@ -1,7 +1,7 @@
 """Registered queries against their DuckDB oracle on the smallest tables."""
 import duckdb
 import pytest
-from conftest import SF
+from helpers import SF
 
 import __spark_entry__ as entry
 

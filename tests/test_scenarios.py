@@ -1,5 +1,5 @@
 """The reference's three end-to-end scenarios, as hand-built decoded events."""
-from conftest import UUID, raw_df, txn
+from helpers import UUID, raw_df, txn
 from pyspark.sql import functions as F
 
 from rowlog.operators import stats

@@ -1,6 +1,6 @@
 """Per-file state rules (edge cases) and carry == window equivalence."""
 import pytest
-from conftest import SF, UUID, raw_df
+from helpers import SF, UUID, raw_df
 
 from rowlog.operators import stats
 from rowlog.operators.sequence import sequence_events

@@ -1,5 +1,5 @@
 """Lake writes, read-back, audit, plan properties and the streaming job."""
-from conftest import SF
+from helpers import SF
 from pyspark.sql import functions as F
 
 from rowlog.operators.history import state_at
