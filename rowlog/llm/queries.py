@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowlog.llm import ann, bpe, decontaminate, line_dedup, near_dups, repeats, secrets, token_counts, toxicity, urls
+from rowlog.llm import ann, bpe, decontaminate, line_dedup, near_dups, repeats, secrets, simhash, token_counts, toxicity, urls
 from rowlog.llm.common import table
 
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "")
@@ -67,6 +67,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_token_counts": op2_token_counts,
@@ -78,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dups": op8_near_dups,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op13_simhash": op13_simhash,
 }
 
 

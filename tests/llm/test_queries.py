@@ -18,6 +18,7 @@ COLUMNS = {
     "op8_near_dups": "doc_id n_shingles component_id kept",
     "op9_line_dedup": "doc_id n_lines n_dropped kept_sha256",
     "op10_decontamination": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op13_simhash": "doc_id fingerprint component_id",
 }
 
 
