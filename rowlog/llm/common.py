@@ -39,9 +39,16 @@ def ascii_lower(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def exact(df: DataFrame, *names: str) -> DataFrame:
+    """The columns of exactly these names, whatever other columns there are:
+    names that differ in case only are no clash."""
+    places = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*places).select(*(F.col(places[df.columns.index(n)]).alias(n) for n in names))
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator reads, under fixed names; null text is empty."""
-    return docs.select(
+    return exact(docs, id_col, text_col).select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )

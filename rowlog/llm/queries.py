@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowlog.llm import ann, bpe, decontaminate, line_dedup, near_dups, repeats, secrets, simhash, token_counts, toxicity, urls
+from rowlog.llm import (
+    ann, bpe, conversations, decontaminate, line_dedup, near_dups, repeats, secrets, simhash, token_counts, toxicity, urls, whitening,
+)
 from rowlog.llm.common import table
 
 TOKENIZER_DIR = os.environ.get("TOKENIZER_DIR", "")
@@ -67,6 +69,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.digest(found)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.digest(*whitening.whiten(table(spark, sf_dir, "embeddings")))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    reports = conversations.report(rows, "dropped")
+    return conversations.digest(reports, conversations.repaired(rows, reports, "dropped"))
+
+
 def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -82,6 +94,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dups": op8_near_dups,
     "op9_line_dedup": op9_line_dedup,
     "op10_decontamination": op10_decontamination,
+    "op11_whitening": op11_whitening,
+    "op12_conversations": op12_conversations,
     "op13_simhash": op13_simhash,
 }
 

@@ -18,6 +18,8 @@ COLUMNS = {
     "op8_near_dups": "doc_id n_shingles component_id kept",
     "op9_line_dedup": "doc_id n_lines n_dropped kept_sha256",
     "op10_decontamination": "doc_id n_words n_hit n_items items_sha256 contaminated",
+    "op11_whitening": "vec_id component n deviation whitened explained identity_error",
+    "op12_conversations": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
     "op13_simhash": "doc_id fingerprint component_id",
 }
 
@@ -32,12 +34,11 @@ def test_columns_rows_and_sql(spark, name):
     df = entry.queries()[name](spark, SF)
     assert set(COLUMNS[name].split()) <= set(df.columns)
     got = df.toPandas()
-    sizes = {"page_id": "pages", "doc_id": "documents"}
-    table = next((t for c, t in sizes.items() if c == df.columns[0]), None)
-    if table:
-        assert len(got) == spark.read.parquet(f"{SF}/{table}.parquet").count()
-    else:
-        assert len(got) == 50
+    sizes = {"page_id": ("pages", 1), "doc_id": ("documents", 1), "conv_id": ("conversations", 1), "vec_id": ("embeddings", 32), "query_id": ("embeddings", 0.1)}
+    key = df.columns[0]
+    table, times = sizes[key]
+    rows = spark.read.parquet(f"{SF}/{table}.parquet")
+    assert len(got) == times * (rows.select(key).distinct() if key == "conv_id" else rows).count()
     if (sql := entry.oracle_sql().get(name)) is None:
         return
     con = duckdb.connect()
