@@ -113,8 +113,8 @@ def made(seed=1, n=150):
             role = r.choice(["system", "tool", "", None, "User", "s"]) if r.random() < 0.1 else role
             text = None if r.random() < 0.03 else r.choice(words) + str(r.randrange(4)) * r.choice([0, 1]) + r.choice(["", ".", "."])
             out.append((c, t * r.choice([1, 1, 1, 2]), role, text, "z", 1))
-    # One row a turn and role, so that the order of ties is no matter of hashes.
-    return list({(c, t, role): (c, t, role, *rest) for c, t, role, *rest in out}.values())
+    # One row a turn, so that the order of ties is no matter of hashes.
+    return list({(c, t): (c, t, *rest) for c, t, *rest in out}.values())
 
 
 def run(df):
