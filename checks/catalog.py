@@ -182,12 +182,12 @@ def gtid_intervals(spark, sf):
 
 def event_type_counts(spark, sf):
     raw = raw_of(spark, sf, "shop")
-    return ost.event_type_counts(raw, build_changes(raw, fingerprints=False))
+    return ost.event_type_counts(raw)
 
 
 def total_events(spark, sf):
     raw = raw_of(spark, sf, "shop")
-    return ost.total_events(ost.event_type_counts(raw, build_changes(raw, fingerprints=False)))
+    return ost.total_events(ost.event_type_counts(raw))
 
 
 def table_op_counts(spark, sf):
@@ -460,7 +460,6 @@ QUERIES = {
 
 # ---- sinks and streams (K1-K8, S4, S5, T1-T4) ------------------------------
 def _lake(spark, sf, log="shop", by_file=False):
-    from rowlog.session import scratch_path, written
     from rowlog.sinks.parquet import write_by_table
 
     root = scratch_path(spark, "lake")
@@ -483,7 +482,6 @@ def lake_one_table(spark, sf):
 
 
 def single_file_roundtrip(spark, sf):
-    from rowlog.session import scratch_path, written
     from rowlog.sinks.parquet import write_single
 
     path = scratch_path(spark, "single")
@@ -502,7 +500,6 @@ def output_audit(spark, sf):
 
 
 def written_stats(spark, sf):
-    from rowlog.session import scratch_path, written
     from rowlog.sinks.parquet import write_stats
 
     root = scratch_path(spark, "stats")
@@ -512,46 +509,51 @@ def written_stats(spark, sf):
     return spark.read.parquet(f"{root}/_stats/table_op_counts")
 
 
-def _landed_events(spark, sf, log):
+def _landed_events(spark, sf, log, framed=False):
     """Land a fixture log as event-table files, each holding whole log files."""
-    from rowlog.session import scratch_path, written
-
     src = scratch_path(spark, "events")
-    raw_of(spark, sf, log).repartition(*FILE).write.parquet(src)
+    raw = raw_of(spark, sf, log)
+    (fx.framed(raw) if framed else raw).repartition(*FILE).write.parquet(src)
     return src
 
 
 def stream_convert(spark, sf):
-    from rowlog.session import scratch_path, written
     from rowlog.sinks.parquet import read_lake
     from rowlog.streaming.stream import stream_convert as start
 
-    src, dst = _landed_events(spark, sf, "orders"), scratch_path(spark, "stream-lake")
+    src, dst = _landed_events(spark, sf, "orders", framed=True), scratch_path(spark, "stream-lake")
     q = start(spark, src, dst, scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()
     lake = read_lake(spark, dst, by_file=True)
     return _flat(lake)
 
 
+def _rewritten_lake(spark, sf, log="shop", **kw):
+    """A lake whose logs are written, and again in a second version. Yields the
+    lake after each write, for a stream to read it."""
+    from rowlog.sinks.parquet import write_by_table
+
+    root, changes = scratch_path(spark, "lake"), changes_of(spark, sf, log, **kw)
+    for _ in range(2):
+        write_by_table(changes, root, by_file=True)
+        yield root
+
+
 def stream_write_rate(spark, sf):
-    from rowlog.session import scratch_path, written
     from rowlog.streaming.stream import stream_write_rate as start
 
-    out = scratch_path(spark, "rate")
-    start(spark, _lake(spark, sf), out, scratch_path(spark, "rate-ckpt")).awaitTermination()
+    out, ckpt = scratch_path(spark, "rate"), scratch_path(spark, "rate-ckpt")
+    for lake in _rewritten_lake(spark, sf, fingerprints=False):
+        start(spark, lake, out, ckpt).awaitTermination()
     return spark.read.parquet(out)
 
 
 def stream_query_shapes(spark, sf):
-    from rowlog.session import scratch_path, written
     from rowlog.streaming.stream import stream_query_shapes as start
 
-    root = scratch_path(spark, "lake")
-    from rowlog.sinks.parquet import write_by_table
-
-    write_by_table(changes_of(spark, sf, "shop"), root)
-    out = scratch_path(spark, "shapes")
-    start(spark, root, out, scratch_path(spark, "shapes-ckpt")).awaitTermination()
+    out, ckpt = scratch_path(spark, "shapes"), scratch_path(spark, "shapes-ckpt")
+    for lake in _rewritten_lake(spark, sf):
+        start(spark, lake, out, ckpt).awaitTermination()
     return spark.read.parquet(out)
 
 
@@ -591,7 +593,7 @@ def stream_two_batches(spark, sf):
     src, dst, ckpt = (scratch_path(spark, f"two-{x}") for x in ("src", "lake", "ckpt"))
     raw = raw_of(spark, sf, "customer")
     for base in ("cust-bin", "other-bin"):
-        _renamed(raw, base).repartition(*FILE).write.mode("append").parquet(src)
+        fx.framed(_renamed(raw, base)).repartition(*FILE).write.mode("append").parquet(src)
         start(spark, src, dst, ckpt, fingerprints=False).awaitTermination()
     return _per_log(read_lake(spark, dst, by_file=True))
 
@@ -630,7 +632,7 @@ def stream_rate_append(spark, sf):
     half = ch.where(F.col("timestamp") <= ch.select(F.expr("(min(timestamp) + max(timestamp)) div 2").alias("t")).scalar())
     for part in (half, ch):
         write_by_table(part, lake, by_file=True)
-        start(spark, lake, out, ckpt, watermark="1 hour", output_mode="append", by_file=True).awaitTermination()
+        start(spark, lake, out, ckpt, watermark="1 hour", output_mode="append").awaitTermination()
     return spark.read.parquet(out)
 
 
@@ -642,13 +644,54 @@ def stream_first_seen(spark, sf):
     lake, out, ckpt = (scratch_path(spark, f"seen-{x}") for x in ("lake", "out", "ckpt"))
     for log in ("customer", "shop"):
         write_by_table(changes_of(spark, sf, log), lake, by_file=True)
-        start(spark, lake, out, ckpt, by_file=True).awaitTermination()
+        start(spark, lake, out, ckpt).awaitTermination()
     return spark.read.parquet(out).groupBy("query_hash", "query_fingerprint").agg(F.count(F.lit(1)).alias("alerts"))
 
 
+def stream_split_log(spark, sf):
+    """Logs that land in two pieces, a few events in both: nothing is converted
+    before a log is whole, and each change comes once, in its place."""
+    from rowlog.sinks.parquet import read_lake
+    from rowlog.streaming.stream import stream_convert as start
+
+    src, dst, ckpt = (scratch_path(spark, f"split-{x}") for x in ("src", "lake", "ckpt"))
+    raw = written(fx.framed(raw_of(spark, sf, "customer")), "framed")
+    ends = raw.groupBy(*FILE).agg((F.max("seq") / 2).cast("long").alias("middle"))
+    cut = raw.join(ends, list(FILE))
+    for piece in ("seq <= middle + 5", "seq > middle"):
+        cut.where(piece).select(*raw.columns).write.mode("append").parquet(src)
+        start(spark, src, dst, ckpt).awaitTermination()
+    return _flat(read_lake(spark, dst, by_file=True))
+
+
+def stream_delete_storms(spark, sf):
+    """Closed days, each once: the second batch rewrites the logs of the first."""
+    from rowlog.sinks.parquet import write_by_table
+    from rowlog.streaming.stream import stream_delete_storms as start
+
+    lake, out, ckpt = (scratch_path(spark, f"storms-{x}") for x in ("lake", "out", "ckpt"))
+    ch = lake_of(spark, sf, "orders")
+    half = ch.where(F.col("timestamp") <= ch.select(F.expr("(min(timestamp) + max(timestamp)) div 2").alias("t")).scalar())
+    for part in (half, ch):
+        write_by_table(part, lake, by_file=True)
+        start(spark, lake, out, ckpt, watermark="1 day").awaitTermination()
+    return spark.read.parquet(out)
+
+
+def lake_versions(spark, sf):
+    """The snapshots of a lake whose logs are rewritten: all changes, then inserts only."""
+    from rowlog.sinks.parquet import read_lake, write_by_table
+
+    root, ch = scratch_path(spark, "lake"), lake_of(spark, sf, "shop")
+    write_by_table(ch, root, by_file=True)
+    write_by_table(ch.where("event = 'EXT_WRITE_ROWS' and server_id <> 4"), root, by_file=True)
+    each = [read_lake(spark, root, by_file=True, version=v).withColumn("version", F.lit(v)) for v in (1, 2)]
+    return each[0].unionByName(each[1]).groupBy("version", "table", "event").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES.update({
     f.__name__: f
-    for f in [lake_two_bases, lake_table_exact, stream_two_batches, convert_job, empty_lake, stream_rate_append,
+    for f in [stream_split_log, stream_delete_storms, lake_versions, lake_two_bases, lake_table_exact, stream_two_batches, convert_job, empty_lake, stream_rate_append,
               stream_first_seen, per_table_roundtrip, lake_one_table, single_file_roundtrip, output_audit, written_stats,
               stream_convert, stream_write_rate, stream_query_shapes]
 })

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from rowlog.functions.images import cell_literal
 from rowlog.functions.time import epoch_millis
-from rowlog.schema import RAW_SCHEMA
+from rowlog.schema import FILE, RAW_SCHEMA
 
 # Fixed values of the fixtures.
 UUID_PREFIX = "3e11fa47-71ca-11e1-9e33-c80aa942956"  # + one digit server id
@@ -360,3 +360,17 @@ def control_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shop_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders and customer logs together (two tables, four servers)."""
     return orders_log(spark, sf_dir).unionByName(customer_log(spark, sf_dir))
+
+
+def framed(raw: DataFrame) -> DataFrame:
+    """Logs as a server closes them: a FORMAT_DESCRIPTION before the first
+    event, a ROTATE after the last one, events numbered densely."""
+    ends = raw.groupBy(*FILE).agg(
+        F.min("seq").alias("first"), F.max("seq").alias("last"), F.max("next_position").alias("end"),
+        F.min("timestamp").alias("t0"), F.max("timestamp").alias("t1"))
+    opens = ends.select(*FILE, (F.col("first") - 1).alias("seq"), F.lit(4).alias("next_position"),
+                        F.lit("FORMAT_DESCRIPTION").alias("event_type"), F.col("t0").alias("timestamp"))
+    closes = ends.select(*FILE, (F.col("last") + 1).alias("seq"), (F.col("end") + 50).alias("next_position"),
+                         F.lit("ROTATE").alias("event_type"), F.col("t1").alias("timestamp"))
+    every = raw.unionByName(_conform(opens)).unionByName(_conform(closes))
+    return every.withColumn("seq", F.row_number().over(Window.partitionBy(*FILE).orderBy("seq")).cast("long"))

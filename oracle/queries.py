@@ -373,13 +373,17 @@ SELECT "table", {op_class('event')} AS op, {_bucket(HOUR)} AS bucket_start, CAST
 FROM changes GROUP BY 1, 2, 3""")
 
 
-def delete_storms():
-    return with_(nofp("shop"), f"""
+def _storms() -> str:
+    return f"""
 SELECT *, deletes >= 3 AND deletes * 7 >= trailing_deletes * 2 AS is_storm FROM (
   SELECT *, CAST(coalesce(sum(deletes) OVER (PARTITION BY "table" ORDER BY bucket_start
       RANGE BETWEEN {7 * DAY} PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS trailing_deletes
   FROM (SELECT "table", {_bucket(DAY)} AS bucket_start, CAST(count(*) AS BIGINT) AS deletes
-        FROM changes WHERE {op_class('event')} = 'delete' GROUP BY 1, 2) d) x""")
+        FROM changes WHERE {op_class('event')} = 'delete' GROUP BY 1, 2) d) x"""
+
+
+def delete_storms():
+    return with_(nofp("shop"), _storms())
 
 
 def silent_tables():
@@ -653,6 +657,22 @@ def stream_first_seen():
 SELECT query_hash, query_fingerprint, CAST(1 AS BIGINT) AS alerts FROM changes WHERE query_hash IS NOT NULL GROUP BY query_hash, query_fingerprint""")
 
 
+def stream_split_log():
+    return customer_changes()
+
+
+def stream_delete_storms():
+    """Days that the newest change, less a day's delay, has closed."""
+    return with_(nofp("orders"), f"SELECT s.* FROM ({_storms()}) s WHERE bucket_start + 2 * {DAY} <= (SELECT max(timestamp) FROM changes)")
+
+
+def lake_versions():
+    """The second version replaces the logs that it writes (servers 1 to 3), and keeps the others."""
+    return with_(nofp("shop"), """
+SELECT version, "table", event, CAST(count(*) AS BIGINT) AS n FROM changes, (VALUES (1), (2)) v(version)
+WHERE version = 1 OR server_id = 4 OR event = 'EXT_WRITE_ROWS' GROUP BY ALL""")
+
+
 SQL = {
     f.__name__: f
     for f in [
@@ -670,7 +690,7 @@ SQL = {
         stream_convert, stream_write_rate, stream_query_shapes,
         transitions_decimal, transitions_null, row_history_moves, redacted_query, lake_table_exact, convert_job,
         merge_gtids_fragmented, fingerprint_cases, co_changed_txn, lake_two_bases, stream_two_batches, empty_lake,
-        stream_rate_append, stream_first_seen,
+        stream_rate_append, stream_first_seen, stream_split_log, stream_delete_storms, lake_versions,
     ]
 }
 

@@ -1,12 +1,13 @@
 """SQL text normalization: literals become '?', so one statement shape has one
 fingerprint, and its SHA-256 is the shape's hash.
 
-A statement is cut into tokens in one pass from left to right: comments,
-quoted strings, backtick names, numbers, words, blanks and single characters,
-whichever starts first. So a comment mark inside a string is text, a quote
-inside a comment is a comment, and `--` opens a comment only before a blank.
-No pattern repeats a group, so a long statement costs neither backtracking
-nor stack; possessive quantifiers keep every token linear.
+A statement is read as tokens from left to right: comments, quoted strings,
+backtick names, numbers, words, blanks and single characters, whichever starts
+first. So a comment mark inside a string is text, a quote inside a comment is a
+comment, and `--` opens a comment only before a blank. Two patterns do that,
+one for comments and one for literals: each takes, from where the last match
+ended, all tokens that stay and then the token that goes, and puts the former
+back. Possessive quantifiers keep that linear, without stack for long texts.
 """
 from __future__ import annotations
 
@@ -22,18 +23,13 @@ _NUMBER = (
     r"0[xX][0-9a-fA-F]++(?![\w$])|0[bB][01]++(?![\w$])"
     r"|[0-9]++(?:\.[0-9]*+)?+(?:[eE][+-]?+[0-9]++)?+(?![\w$])|(?<![\w$`.])\.[0-9]++(?:[eE][+-]?+[0-9]++)?+"
 )
-_TOKEN = "|".join((_COMMENT, _QUOTED, _NAME, _NUMBER, r"[\w$\x{80}-\x{10FFFF}&&[^\s]]++", r"\s++", r"(?s:.)"))
-
-
-def _shape_of(token: Column) -> Column:
-    first, two = F.substring(token, 1, 1), F.substring(token, 1, 2)
-    comment = (two == "/*") | (first == "#") | ((two == "--") & (F.length(token) > 1))
-    literal = (
-        first.isin("'", '"')
-        | token.rlike(r"\A[xXbBnN]'")
-        | token.rlike(r"\A(?:0[xX][0-9a-fA-F]+|0[bB][01]+|[0-9]+(?:\.[0-9]*)?(?:[eE][+-]?[0-9]+)?|\.[0-9]+(?:[eE][+-]?[0-9]+)?)\z")
-    )
-    return F.when(comment, F.lit(" ")).when(literal, F.lit("?")).otherwise(token)
+_IN_WORD = r"[\w$\x{80}-\x{10FFFF}&&[^\s]]"
+_WORD = f"{_IN_WORD}++"
+# The last one: digits before a dot that belongs to no number (`1.5x`).
+_LITERAL = f"(?:{_QUOTED}|{_NUMBER}|[0-9]++(?:[eE][0-9]++)?+(?!{_IN_WORD}))"
+# Tokens that stay, as many as there are, before a comment; then before a literal.
+_TO_COMMENT = rf"""\G((?:'[^']*+'?+|"[^"]*+"?+|{_NAME}|[^'"`/#-]++|(?!{_COMMENT})[/#-])*+)(?:{_COMMENT})"""
+_TO_LITERAL = rf"\G((?:(?!{_LITERAL})(?:{_NAME}|{_WORD}|\s++|(?s:.)))*+){_LITERAL}"
 
 
 # What follows on the short normalized text, in this order. Each
@@ -52,8 +48,9 @@ _TIDY = (
 
 def fingerprint(c) -> Column:
     c = F.col(c) if isinstance(c, str) else c
-    tokens = F.regexp_extract_all(F.regexp_replace(c, _ESCAPES, ""), F.lit(_TOKEN), F.lit(0))
-    out = F.array_join(F.transform(tokens, _shape_of), "")
+    out = F.regexp_replace(c, _ESCAPES, "")
+    out = F.regexp_replace(out, _TO_COMMENT, "$1 ")
+    out = F.regexp_replace(out, _TO_LITERAL, "$1?")
     for pattern, repl in _TIDY:
         out = F.regexp_replace(out, pattern, repl)
     return F.trim(out)

@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rowlog.functions.text import qualified_table, table_key
@@ -28,7 +28,9 @@ from rowlog.operators.protect import redact_rows
 from rowlog.operators.sequence import DEFAULT_BUCKET, resolve_table_maps, sequence_events, with_query_text
 from rowlog.operators.stats import event_type_counts, file_summary, table_op_counts
 from rowlog.schema import FILE, ROW_EVENT_TYPES
-from rowlog.sinks.parquet import read_lake, write_by_table, write_stats
+from rowlog.session import written
+from rowlog.sinks import manifest
+from rowlog.sinks.parquet import audited, read_lake, write_by_table, write_logs, write_stats
 from rowlog.sources.raw import assert_event_types, raw_events
 
 
@@ -55,8 +57,12 @@ def build_changes(
     gate: bool = True,
     store: bool = True,
     redact: dict | None = None,
+    seq: DataFrame | None = None,
 ) -> DataFrame:
-    seq = sequenced(raw, method, bucket_size, query_scope, gate, store)
+    """The changes of `raw`. The sequence is computed (and, stored, written)
+    while this is called; `seq` gives one that is there already."""
+    if seq is None:
+        seq = sequenced(raw, method, bucket_size, query_scope, gate, store)
     images = raw.where(F.col("event_type").isin(*ROW_EVENT_TYPES)).select(*FILE, "seq", "rows")
     joined = resolve_table_maps(seq, raw, missing).join(images, [*FILE, "seq"], "inner")
     joined = with_query_text(joined, raw, fingerprints)
@@ -67,41 +73,53 @@ def build_changes(
 
 @dataclass
 class Conversion:
-    """What a conversion wrote: the lake and its reports."""
+    """What a conversion wrote: the lake and its reports. `rows` is the number
+    of rows that went into the writer, observed as they went."""
 
     root: str
+    rows: int
     audit: DataFrame
     event_type_counts: DataFrame
     table_op_counts: DataFrame
     file_summary: DataFrame
 
 
+SEQUENCE_OPTIONS = ("method", "bucket_size", "query_scope", "gate", "store")
+
+
 def convert(spark: SparkSession, src: str, dst: str, by_file: bool = True, replace: str | None = None, fmt: str = "parquet", **opts) -> Conversion:
     """Event table `src` -> change lake `dst`, audit and statistics (under
     `dst/_stats`). Events without row changes leave an empty lake that can be
-    read. The lake is written in one pass; the reports count what was written
-    against what the events hold, without converting again."""
+    read. Events are sequenced once, and changes made once: the audit counts
+    rows expected from the sequence, rows observed on their way into the
+    writer, and rows in the files as the snapshot's list has them."""
     raw = raw_events(spark, src, fmt, with_file_size=True)
     events = raw.drop("file_size")
-    write_by_table(build_changes(events, **opts), dst, by_file=by_file, replace=replace)
-    lake = read_lake(spark, dst, by_file)
-    if by_file:  # of the logs converted now; the root may hold others
-        lake = lake.join(events.select(*FILE).distinct(), list(FILE), "left_semi")
-    seq = sequenced(events, **{k: v for k, v in opts.items() if k in ("method", "bucket_size", "query_scope", "gate", "store")})
+    seq = sequenced(events, **{k: v for k, v in opts.items() if k in SEQUENCE_OPTIONS})
+    if opts.get("method", "carry") != "carry" or not opts.get("store", True):
+        seq = written(seq, "sequence")  # read twice below
+    seen = Observation()
+    changes = build_changes(events, seq=seq, **opts).observe(seen, F.count(F.lit(1)).alias("rows"))
+    if by_file:
+        generation = write_logs(changes, dst, replace or "touched")
+        files = manifest.live(spark, dst).where(F.col("generation") == generation)
+        ops = ("writes", "updates", "deletes")
+        got = files.groupBy("table_key").agg(F.sum("rows").alias("written_rows"), *(F.sum(op).alias(op) for op in ops))
+        counts = got.select("table_key", *ops, sum(F.col(op) for op in ops).alias("total")).orderBy(F.desc("total"), "table_key")
+    else:
+        write_by_table(changes, dst, replace=replace)
+        lake = read_lake(spark, dst)
+        got = lake.groupBy("table_key").agg(F.count(F.lit(1)).alias("written_rows"))
+        counts = table_op_counts(lake)
     mapped = resolve_table_maps(seq.where(F.col("event_type").isin("TABLE_MAP", *ROW_EVENT_TYPES)), events, opts.get("missing", "fail"))
     expected = mapped.groupBy(table_key(qualified_table("db", "tbl")).alias("table_key")).agg(F.sum("n_rows").alias("expected_rows"))
-    written_rows = lake.groupBy("table_key").agg(F.count(F.lit(1)).alias("written_rows"))
-    audit = expected.where("expected_rows > 0").join(written_rows, "table_key", "full").select(
-        "table_key",
-        F.coalesce("expected_rows", F.lit(0)).cast("long").alias("expected_rows"),
-        F.coalesce("written_rows", F.lit(0)).cast("long").alias("written_rows"),
-        F.col("expected_rows").eqNullSafe(F.col("written_rows")).alias("ok"),
-    )
     reports = {
-        "audit": audit,
-        "event_type_counts": event_type_counts(events, lake),
-        "table_op_counts": table_op_counts(lake),
+        "audit": audited(expected.where("expected_rows > 0"), got.select("table_key", "written_rows")),
+        "event_type_counts": event_type_counts(events),
+        "table_op_counts": counts,
         "file_summary": file_summary(raw),
     }
     write_stats(dst, **reports)
-    return Conversion(dst, **{k: spark.read.schema(df.schema).parquet(f"{dst.rstrip('/')}/_stats/{k}") for k, df in reports.items()})
+    # Of an empty plan nothing is observed.
+    rows = 0 if got.where("written_rows > 0").isEmpty() else seen.get["rows"]
+    return Conversion(dst, rows, **{k: spark.read.schema(df.schema).parquet(f"{dst.rstrip('/')}/_stats/{k}") for k, df in reports.items()})

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowlog.functions.text import file_base, padded_seq, table_key
+from rowlog.functions.text import file_base, padded_seq, table_key, table_key_of
 from rowlog.schema import CHANGE_COLUMNS, CHANGE_SCHEMA
-from rowlog.session import written
+from rowlog.sinks import manifest
 
 # The reference writer's Parquet settings.
 REFERENCE_PROFILE = {
@@ -18,10 +18,6 @@ REFERENCE_PROFILE = {
 }
 
 
-# The identity of a log: base name, server, number.
-LOG = ("log_base", "server_id", "log_seq")
-
-
 def lake_frame(changes: DataFrame, by_file: bool = False) -> DataFrame:
     """The 18 output columns plus partition columns (`table_key`, and with
     by_file `log_base` and `log_seq`; `server_id` is an output column already)."""
@@ -45,62 +41,56 @@ def write_by_table(
     several tasks and merges small ones) and sorted within each task in
     partition and log order, so each file holds one partition in log order.
     by_file partitions by (log_base, server_id, log_seq, table_key), the whole
-    identity of a log, so many servers and logs share one root.
-
-    replace="all" empties the root first; "touched" replaces only the logs
-    being written, all their tables included (a re-run of a log is idempotent
-    even if it yields fewer tables). The default is "touched" for a shared
-    root (by_file), else "all". `root/_schema` is an empty dataset with the
-    schema, so an empty output can be read, too."""
-    replace = replace or ("touched" if by_file else "all")
-    if replace not in ("all", "touched"):
-        raise ValueError("replace must be 'all' or 'touched'")
-    spark = changes.sparkSession
-    df = lake_frame(changes, by_file)
-    parts = [*LOG, "table_key"] if by_file else ["table_key"]
-    idx = ["row_idx"] if "row_idx" in df.columns else []
-    df = df.hint("rebalance", *parts).withColumn("_ls", padded_seq("binarylog"))
-    df = df.sortWithinPartitions(*parts, "server_id", "_ls", "binarylog", "position", *idx).drop("_ls")
-    touched = by_file and replace == "touched"
-    before = written(_files(spark, root), "lake-files") if touched and _exists(spark, root) else None
-    w = df.write.mode("overwrite").partitionBy(*parts)
-    w = w.option("partitionOverwriteMode", "dynamic" if replace == "touched" else "static")
-    for k, v in (profile or REFERENCE_PROFILE).items():
-        w = w.option(k, v)
-    w.parquet(root)
-    df.limit(0).write.mode("overwrite").parquet(f"{root.rstrip('/')}/_schema")
-    if before is not None:
-        _drop_stale(spark, root, before)
+    identity of a log, so many servers and logs share one root; the files
+    become visible as one snapshot (see `sinks.manifest`).
+
+    replace="all" replaces everything under the root; "touched" (by_file)
+    replaces only the logs being written, all their tables included (a re-run
+    of a log is idempotent even if it yields fewer tables). The default is
+    "touched" for a shared root (by_file), else "all". `root/_schema` is an
+    empty dataset with the schema, so an empty output can be read, too."""
+    if by_file:
+        write_logs(changes, root, replace or "touched", profile)
+        return root
+    if replace not in (None, "all"):
+        raise ValueError("without by_file, replace must be 'all'")
+    _writer(_in_log_order(lake_frame(changes), ["table_key"]), ["table_key"], profile).mode("overwrite").option(
+        "partitionOverwriteMode", "static").parquet(root)
+    _keep_schema(changes, root, by_file)
     return root
 
 
-def _path(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+def write_logs(changes: DataFrame, root: str, replace: str = "touched", profile: dict | None = None) -> str:
+    """Write the logs of `changes` as a new generation and commit it as the
+    next snapshot of the lake; returns the generation."""
+    if replace not in ("all", "touched"):
+        raise ValueError("replace must be 'all' or 'touched'")
+    spark, generation = changes.sparkSession, manifest.new_generation()
+    parts = ["generation", *manifest.LOG, "table_key"]
+    df = lake_frame(changes, by_file=True).withColumn("generation", F.lit(generation))
+    _writer(_in_log_order(df, parts[1:]), parts, profile).mode("append").parquet(root)
+    _keep_schema(changes, root, by_file=True)
+    manifest.commit(spark, root, generation, replace)
+    return generation
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _path(spark, path)
-    return fs.exists(p)
+def _in_log_order(df: DataFrame, parts: list[str]) -> DataFrame:
+    idx = ["row_idx"] if "row_idx" in df.columns else []
+    df = df.hint("rebalance", *parts).withColumn("_ls", padded_seq("binarylog"))
+    return df.sortWithinPartitions(*parts, "server_id", "_ls", "binarylog", "position", *idx).drop("_ls")
 
 
-def _files(spark: SparkSession, root: str) -> DataFrame:
-    """path, folder (of a log's table), log (folder of the log): a listing, no reads."""
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "part-*").load(root)
-    folder = F.regexp_extract("path", r"\A(.*/table_key=[^/]*)/[^/]*\z", 1)
-    return found.select("path", folder.alias("folder")).where("folder <> ''").withColumn(
-        "log", F.regexp_extract("folder", r"\A(.*)/table_key=[^/]*\z", 1))
+def _writer(df: DataFrame, parts: list[str], profile: dict | None):
+    w = df.write.partitionBy(*parts)
+    for k, v in (profile or REFERENCE_PROFILE).items():
+        w = w.option(k, v)
+    return w
 
 
-def _drop_stale(spark: SparkSession, root: str, before: DataFrame) -> None:
-    """Delete the table folders that a rewritten log no longer has."""
-    now = _files(spark, root)
-    fresh = now.join(before, "path", "left_anti").select("log", "folder")
-    kept = now.join(before.select("path"), "path", "left_semi").select("log", "folder").distinct()
-    stale = kept.join(fresh.select("log").distinct(), "log", "left_semi").join(fresh.select("folder").distinct(), "folder", "left_anti")
-    for row in stale.select("folder").distinct().toLocalIterator():
-        p, fs = _path(spark, row["folder"])
-        fs.delete(p, True)
+def _keep_schema(changes: DataFrame, root: str, by_file: bool) -> None:
+    path = f"{root.rstrip('/')}/_schema"
+    if not manifest.exists(changes.sparkSession, path):
+        changes.sparkSession.createDataFrame([], lake_schema(by_file)).write.mode("overwrite").parquet(path)
 
 
 def write_single(changes: DataFrame, path: str, files: int | None = None) -> str:
@@ -133,10 +123,18 @@ def lake_schema(by_file: bool = False):
     return schema.add("table_key", T.StringType())
 
 
-def read_lake(spark: SparkSession, root: str, by_file: bool = False, tables=None) -> DataFrame:
+def read_lake(spark: SparkSession, root: str, by_file: bool = False, tables=None, version: int | None = None) -> DataFrame:
     """Read a change lake, an empty one too; `tables` (db.table names) prune
-    partition directories and match exactly."""
-    df = spark.read.schema(lake_schema(by_file)).parquet(root)
+    partition directories and match exactly. A lake by_file is read as its
+    newest snapshot, or as `version`: only the folders of live files are listed."""
+    schema = lake_schema(by_file)
+    if not by_file:
+        df = spark.read.schema(schema).parquet(root)
+    else:
+        files = manifest.live(spark, root, version)
+        if tables:
+            files = files.where(F.col("table_key").isin([table_key_of(t) for t in tables]))
+        df = read_files(spark, root, files)
     if tables:
         from rowlog.operators.protect import filter_tables
 
@@ -144,29 +142,41 @@ def read_lake(spark: SparkSession, root: str, by_file: bool = False, tables=None
     return df
 
 
+def read_files(spark: SparkSession, root: str, files: DataFrame, whole_folders: bool = True) -> DataFrame:
+    """The rows of listed files. With whole_folders, all files of the folders
+    they are in, which one write made; else these files only."""
+    found = manifest.paths(root, files, whole_folders)
+    schema = lake_schema(by_file=True)
+    df = spark.read.schema(schema).option("basePath", root).parquet(*(found or [f"{root.rstrip('/')}/_schema"]))
+    return df.select(*schema.names)
+
+
 def audit_output(spark: SparkSession, root: str, expected: DataFrame, by_file: bool = False) -> DataFrame:
     """Compare a written lake with expected row counts per table_key.
 
-    Reports rows read back, number of files, smallest file size, and flags:
+    Reports rows read back (by_file: as the snapshot's list has them, which is
+    read back from the files), number of files, smallest file size, and flags:
     `ok` (counts match, every file non-empty) and `small_file` (< 100 bytes)."""
-    lake = spark.read.schema(lake_schema(by_file)).parquet(root).select("table_key", F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("sz"))
-    got = lake.groupBy("table_key").agg(
-        F.count(F.lit(1)).alias("written_rows"),
-        F.countDistinct("f").alias("files"),
-        F.min("sz").alias("min_file_size"),
-    )
-    j = expected.join(got, "table_key", "full")
-    same = F.coalesce("written_rows", F.lit(0)) == F.coalesce("expected_rows", F.lit(0))
-    ok = same & (F.coalesce("min_file_size", F.lit(1)) > 0)
-    return j.select(
-        "table_key",
-        F.coalesce("expected_rows", F.lit(0)).cast("long").alias("expected_rows"),
-        F.coalesce("written_rows", F.lit(0)).cast("long").alias("written_rows"),
-        ok.alias("ok"),
+    if by_file:
+        got = manifest.live(spark, root).groupBy("table_key").agg(
+            F.sum("rows").alias("written_rows"), F.min("bytes").alias("min_file_size"))
+    else:
+        lake = spark.read.schema(lake_schema()).parquet(root).select("table_key", F.col("_metadata.file_size").alias("sz"))
+        got = lake.groupBy("table_key").agg(F.count(F.lit(1)).alias("written_rows"), F.min("sz").alias("min_file_size"))
+    return audited(expected, got).select(
+        "table_key", "expected_rows", "written_rows",
+        (F.col("ok") & (F.coalesce("min_file_size", F.lit(1)) > 0)).alias("ok"),
         F.coalesce(F.col("min_file_size") < 100, F.lit(False)).alias("small_file"),
     )
 
 
+def audited(expected: DataFrame, got: DataFrame) -> DataFrame:
+    """table_key, expected_rows, written_rows, ok, beside the further columns of `got`."""
+    j = expected.join(got, "table_key", "full").withColumns({
+        "expected_rows": F.coalesce("expected_rows", F.lit(0)).cast("long"), "written_rows": F.coalesce("written_rows", F.lit(0)).cast("long")})
+    return j.withColumn("ok", F.col("expected_rows") == F.col("written_rows"))
+
+
 def write_stats(root: str, **tables: DataFrame) -> str:
     """Write statistics DataFrames (event_type_counts=..., table_op_counts=...,
     file_summary=...) as small Parquet tables under root/_stats/<name>."""

@@ -51,7 +51,7 @@ def test_writer_options_and_order_of_files(spark):
     ch = build_changes(fx.shop_log(spark, SF), fingerprints=False)
     root = scratch_path(spark, "t-files")
     write_by_table(ch, root, by_file=True)
-    files = glob.glob(root.removeprefix("file:") + "/log_base=*/**/part-*.parquet", recursive=True)
+    files = glob.glob(root.removeprefix("file:") + "/generation=*/**/part-*.parquet", recursive=True)
     assert files
     for f in files:
         meta = pq.ParquetFile(f)
@@ -105,12 +105,27 @@ def test_statistics_of_a_conversion(spark):
     ops = done.table_op_counts.first()
     assert (ops.table_key, ops.total) == ("shop.customer", read_lake(spark, dst, by_file=True).count())
     assert done.event_type_counts.where("event_type = 'EXT_WRITE_ROWS'").first().rows == ops.writes
+    assert done.rows == ops.total
+
+
+def test_a_conversion_sequences_once(spark, monkeypatch):
+    from rowlog.operators import sequence
+
+    made, real = [], sequence.written
+    monkeypatch.setattr(sequence, "written", lambda df, name: made.append(name) or real(df, name))
+    src = scratch_path(spark, "t-once")
+    fx.customer_log(spark, SF).write.parquet(src)
+    done = convert(spark, src, scratch_path(spark, "t-once-lake"))
+    assert made == ["sequence", "carry"] and all(r.ok for r in done.audit.collect())
+    plain = convert(spark, src, scratch_path(spark, "t-plain-lake"), by_file=False)
+    assert sorted(plain.table_op_counts.collect()) == sorted(done.table_op_counts.collect()) and all(r.ok for r in plain.audit.collect())
+    assert plain.rows == done.rows
 
 
 def test_stream_convert_equals_batch(spark):
     raw = fx.orders_log(spark, SF)
     src, dst = scratch_path(spark, "t-src"), scratch_path(spark, "t-dst")
-    raw.repartition("server_id", "binarylog").write.parquet(src)
+    fx.framed(raw).repartition("server_id", "binarylog").write.parquet(src)
     stream_convert(spark, src, dst, scratch_path(spark, "t-ckpt"), fingerprints=False).awaitTermination()
     got = read_lake(spark, dst, by_file=True).select("binarylog", "position", "row_idx", "data", "gtid", "query")
     want = build_changes(raw, fingerprints=False).select("binarylog", "position", "row_idx", "data", "gtid", "query")
