@@ -21,9 +21,10 @@ every 35 bytes, with hashes of the anchor and of the run's bytes.
    by binary search; a window that an earlier document has is a repeat.
 5. The repeats of a document are joined to its text, which is cut.
 
-Documents are identified by doc_id and a 22-bit mark of the text, so rows
+Documents are identified by doc_id and a 128-bit hash of the text, so rows
 that repeat an id with other text are documents of their own, in the order
-of the marks, and rows that repeat both are one document. Neither texts nor
+of the hashes, and rows that repeat both are one document. Runs count as equal
+by 128 bits (64 of the anchor, 64 of the bytes). Neither texts nor
 groups are collected in one place: step 1 and 2 aggregate before they join,
 and joins may be split on hot anchors. Joins with texts ask for a merge at
 every size, so their cost on little data tells that on much.
@@ -40,94 +41,95 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowlog.llm.common import landed, prepare
+from rowlog.llm.common import exact, landed, prepare
 from rowlog.llm.shingles import mix, slices
 from rowlog.llm.suffixes import BASES, anchored_runs, prefix_sums, range_hash, repeated_windows
 
 LENGTH = 100
 K = 32
 SHARD_BYTES = 1 << 20
-HOT_RUNS = 4096
+HOT_RUNS = 512
 SLICE_BYTES = 1 << 18
 SLICE_ROWS = 128
-_PLACE = 1 << 41  # pos = mark * _PLACE + byte offset
+DOC = ["id", "t1", "t2"]
+_AT = 31  # at = byte offset of the first window << _AT | number of windows
+_WINDOWS = (1 << _AT) - 1
 _NULL_ID = -(1 << 63)
 _U = np.uint64
 
 
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id (null as the smallest), mark (22 bits of the text), text."""
-    rows = docs.select(
+    """id (null as the smallest), t1 and t2 (hashes of the text), text."""
+    rows = exact(docs, id_col, text_col).select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(_NULL_ID)).alias("id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return rows.select("id", F.pmod(F.xxhash64("text"), F.lit(1 << 22)).alias("mark"), "text")
+    return rows.select("id", F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(7), "text").alias("t2"), "text")
+
+
+def _packed(lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    return lo.astype(np.int64) << _AT | n
 
 
 def _runs(docs: DataFrame, length: int, k: int) -> DataFrame:
-    """h (anchor), c (bytes of the run), id, pos (first window), n (windows)."""
+    """h (anchor), c (bytes of the run), DOC, at (first window and number of windows)."""
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, marks = b.column(0).to_numpy(), b.column(1).to_numpy()
-            for first, raw, offsets in slices(b.column(2), SLICE_BYTES):
+            doc = [b.column(i).to_numpy() for i in range(3)]
+            for first, raw, offsets in slices(b.column(3), SLICE_BYTES):
                 for text, lo, n, anchor, context in anchored_runs(raw, offsets, length, k):
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(anchor.view(np.int64)), pa.array(context.view(np.int64)),
-                            pa.array(ids[first + text]), pa.array(marks[first + text] * _PLACE + lo), pa.array(n.astype(np.int32)),
-                        ],
-                        names=["h", "c", "id", "pos", "n"])
+                    cols = [anchor.view(np.int64), context.view(np.int64), *(d[first + text] for d in doc), _packed(lo, n)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["h", "c", *DOC, "at"])
 
-    return docs.select("id", "mark", "text").mapInArrow(index, "h long, c long, id long, pos long, n int")
+    return docs.select(*DOC, "text").mapInArrow(index, "h long, c long, id long, t1 long, t2 long, at long")
 
 
 def _bytes_of(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
-    """The runs (h, salt, salts, id, pos, n) with their bytes."""
-    per = runs.withColumn("mark", F.expr(f"pos div {_PLACE}")).groupBy("id", "mark").agg(
-        F.collect_list(F.struct("h", "salt", "salts", "pos", "n")).alias("runs"))
+    """The runs (h, salt, salts, DOC, at) with their bytes."""
+    per = runs.groupBy(*DOC).agg(F.collect_list(F.struct("h", "salt", "salts", "at")).alias("runs"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
-            parts = b.column(2).flatten()
-            of = np.repeat(np.arange(b.num_rows), [len(r) for r in b.column(2)])
-            h, salt, salts, pos, n = (parts.field(i) for i in range(5))
-            raw = [t.encode("utf-8") for t in b.column(1).to_pylist()]
-            lo = pos.to_numpy() % _PLACE
-            hi = lo + n.to_numpy() - 1 + length
+            parts = b.column(4).flatten()
+            of = np.repeat(np.arange(b.num_rows), [len(r) for r in b.column(4)])
+            h, salt, salts, at = (parts.field(i) for i in range(4))
+            raw = [t.encode("utf-8") for t in b.column(3).to_pylist()]
+            lo = at.to_numpy() >> _AT
+            hi = lo + (at.to_numpy() & _WINDOWS) - 1 + length
             cells = [raw[d][x:y] for d, x, y in zip(of.tolist(), lo.tolist(), hi.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [h, salt, salts, pa.array(b.column(0).to_numpy()[of]), pos, n, pa.array(cells, pa.binary())],
-                names=["h", "salt", "salts", "id", "pos", "n", "bytes"])
+                [h, salt, salts, *(pa.array(b.column(i).to_numpy()[of]) for i in range(3)), at, pa.array(cells, pa.binary())],
+                names=["h", "salt", "salts", *DOC, "at", "bytes"])
 
-    return docs.join(per.hint("merge"), ["id", "mark"]).dropDuplicates(["id", "mark"]).select("id", "text", "runs").mapInArrow(
-        cut, "h long, salt int, salts int, id long, pos long, n int, bytes binary")
+    return docs.join(per.hint("merge"), DOC).dropDuplicates(DOC).select(*DOC, "text", "runs").mapInArrow(
+        cut, "h long, salt int, salts int, id long, t1 long, t2 long, at long, bytes binary")
 
 
 def _shards(cut: DataFrame, length: int, shard_bytes: int) -> DataFrame:
-    """Repeats (kind 0: id, pos, n windows) and, for anchors that are dealt
-    over shards, first windows (kind 1: id, pos, w1, w2, shard)."""
+    """Repeats (kind 0: DOC, at) and, for anchors that are dealt over shards,
+    first windows (kind 1: DOC, at, w1, w2, shard)."""
 
     def shard(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        rows.sort(key=lambda r: (r[3], r[4]))  # document order
-        raw = np.frombuffer(b"".join(r[6] for r in rows), np.uint8)
-        size = np.array([len(r[6]) for r in rows])
+        rows.sort(key=lambda r: r[3:7])  # document order
+        raw = np.frombuffer(b"".join(r[7] for r in rows), np.uint8)
+        size = np.array([len(r[7]) for r in rows])
         base = np.cumsum(size) - size
-        count, ids, pos = (np.array([r[k] for r in rows], np.int64) for k in (5, 3, 4))
+        *doc, at = (np.array([r[k] for r in rows], np.int64) for k in (3, 4, 5, 6))
         split = np.array([r[2] > 1 for r in rows])
-        again, least = repeated_windows(raw, base, count, length)
+        again, least = repeated_windows(raw, base, at & _WINDOWS, length)
         if len(again):
             run = np.searchsorted(base, again, "right") - 1
             head = np.ones(len(again), bool)
             head[1:] = (again[1:] != again[:-1] + 1) | (run[1:] != run[:-1])
-            at = np.flatnonzero(head)
-            r = run[at]
-            yield _found(0, ids[r], pos[r] + again[at] - base[r], np.diff(np.append(at, len(again))))
+            first = np.flatnonzero(head)
+            r = run[first]
+            yield _found(0, [d[r] for d in doc], _packed((at[r] >> _AT) + again[first] - base[r], np.diff(np.append(first, len(again)))))
         run = np.searchsorted(base, least, "right") - 1
         least, run = least[split[run]], run[split[run]]
         if len(least):
             w1, w2 = (mix(range_hash(prefix_sums(raw, BASES[i]), i, least, least + length)).view(np.int64) for i in range(2))
             salt = np.array([r[1] for r in rows], np.int64)[run]
-            yield _found(1, ids[run], pos[run] + least - base[run], np.ones(len(least), np.int64), w1, w2, salt)
+            yield _found(1, [d[run] for d in doc], _packed((at[run] >> _AT) + least - base[run], 1), w1, w2, salt)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -138,23 +140,24 @@ def _shards(cut: DataFrame, length: int, shard_bytes: int) -> DataFrame:
                     yield from shard(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[6])
+                size += len(row[7])
         if held:
             yield from shard(held)
 
     return cut.repartition("h", "salt").sortWithinPartitions("h", "salt").mapInArrow(
-        build, "kind int, id long, pos long, n long, w1 long, w2 long, shard long")
+        build, "kind int, id long, t1 long, t2 long, at long, w1 long, w2 long, shard long")
 
 
-def _found(kind: int, ids, pos, n, w1=None, w2=None, shard=None) -> pa.RecordBatch:
-    none = np.zeros(len(ids), np.int64)
-    cols = [np.full(len(ids), kind, np.int32), ids, pos, n, *(none if x is None else x for x in (w1, w2, shard))]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kind", "id", "pos", "n", "w1", "w2", "shard"])
+def _found(kind: int, doc: list[np.ndarray], at: np.ndarray, w1=None, w2=None, shard=None) -> pa.RecordBatch:
+    none = np.zeros(len(at), np.int64)
+    cols = [np.full(len(at), kind, np.int32), *doc, at, *(none if x is None else x for x in (w1, w2, shard))]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["kind", *DOC, "at", "w1", "w2", "shard"])
 
 
-def merge_runs(w1: np.ndarray, w2: np.ndarray, ids: np.ndarray, pos: np.ndarray, shard: np.ndarray) -> np.ndarray:
-    """Which windows another shard has earlier: the shards' sorted runs are
-    merged one by one, by binary search in what is merged so far."""
+def merge_runs(w1: np.ndarray, w2: np.ndarray, place: np.ndarray, shard: np.ndarray) -> np.ndarray:
+    """Which windows another shard has earlier (at a smaller place): the
+    shards' sorted runs are merged one by one, by binary search in what is
+    merged so far."""
     late = np.zeros(len(w1), bool)
     merged = np.empty(0, np.int64)  # rows of the earliest windows, by (w1, w2)
     for s in np.unique(shard):
@@ -166,7 +169,7 @@ def merge_runs(w1: np.ndarray, w2: np.ndarray, ids: np.ndarray, pos: np.ndarray,
         there = np.minimum(at, max(len(merged) - 1, 0))
         hit = (at < len(merged)) & (keys[there] == asked) if len(merged) else np.zeros(len(run), bool)
         a, b = merged[there[hit]], run[hit]
-        swap = (ids[b] < ids[a]) | ((ids[b] == ids[a]) & (pos[b] < pos[a]))
+        swap = place[b] < place[a]
         late[np.where(swap, a, b)] = True
         merged[there[hit]] = np.where(swap, b, a)
         merged = np.insert(merged, at[~hit], run[~hit])
@@ -174,15 +177,17 @@ def merge_runs(w1: np.ndarray, w2: np.ndarray, ids: np.ndarray, pos: np.ndarray,
 
 
 def _merged(windows: DataFrame) -> DataFrame:
-    """id, pos, n of the windows of dealt anchors that another shard has earlier."""
+    """DOC, at of the windows of dealt anchors that another shard has earlier."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[list[np.ndarray]] = []
 
         def flush() -> Iterator[pa.RecordBatch]:
-            w1, w2, ids, pos, shard = (np.concatenate([h[k] for h in held]) for k in range(5))
-            late = merge_runs(w1, w2, ids, pos, shard)
-            yield pa.RecordBatch.from_arrays([pa.array(ids[late]), pa.array(pos[late]), pa.array(np.ones(late.sum(), np.int64))], names=["id", "pos", "n"])
+            w1, w2, *place, shard = (np.concatenate([h[k] for h in held]) for k in range(7))
+            order = np.empty(len(w1), np.int64)
+            order[np.lexsort(place[::-1])] = np.arange(len(w1))  # document order
+            late = merge_runs(w1, w2, order, shard)
+            yield pa.RecordBatch.from_arrays([pa.array(c[late]) for c in place], names=[*DOC, "at"])
 
         size = 0
         for b in batches:
@@ -198,24 +203,24 @@ def _merged(windows: DataFrame) -> DataFrame:
         if held:
             yield from flush()
 
-    return windows.repartition("w1").sortWithinPartitions("w1").select("w1", "w2", "id", "pos", "shard").mapInArrow(
-        merge, "id long, pos long, n long")
+    return windows.repartition("w1").sortWithinPartitions("w1").select("w1", "w2", *DOC, "at", "shard").mapInArrow(
+        merge, "id long, t1 long, t2 long, at long")
 
 
 def repeated(docs: DataFrame, length: int, k: int, shard_bytes: int, hot_runs: int) -> DataFrame:
-    """id, pos, n: n windows from pos on start earlier elsewhere."""
+    """DOC, at: the windows of `at` start earlier elsewhere."""
+    place = [*DOC, "at"]
     runs = _runs(docs, length, k)
     twice = runs.select("h").groupBy("h").count().where("count > 1").select("h")
     shared = landed(runs.join(twice, "h"), "shared-runs")
-    kinds = landed(shared.groupBy("h", "c").agg(F.min(F.struct("id", "pos", "n")).alias("first"), F.count("*").alias("times")), "run-kinds")
-    copies = shared.join(kinds.where("times > 1").select("h", "c", F.col("first.id").alias("id1"), F.col("first.pos").alias("pos1")), ["h", "c"]).where(
-        "id <> id1 or pos <> pos1").select("id", "pos", F.col("n").cast("long").alias("n"))
+    kinds = landed(shared.groupBy("h", "c").agg(F.min(F.struct(*place)).alias("first"), F.count("*").alias("times")), "run-kinds")
+    copies = shared.join(kinds.where("times > 1").select("h", "c", "first"), ["h", "c"]).where(F.struct(*place) != F.col("first")).select(*place)
     several = kinds.groupBy("h").agg(F.count("*").alias("kinds")).where("kinds > 1")
     salts = F.ceil(F.col("kinds") / hot_runs).cast("int")
-    apart = kinds.join(several, "h").select("h", "first.id", "first.pos", "first.n", salts.alias("salts")).withColumn(
-        "salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
+    apart = kinds.join(several, "h").select("h", "first.*", salts.alias("salts")).withColumn(
+        "salt", F.pmod(F.xxhash64(*place), F.col("salts")).cast("int"))
     found = landed(_shards(_bytes_of(docs, apart, length), length, shard_bytes), "shards")
-    return copies.unionByName(found.where("kind = 0").select("id", "pos", "n")).unionByName(_merged(found.where("kind = 1")))
+    return copies.unionByName(found.where("kind = 0").select(*place)).unionByName(_merged(found.where("kind = 1")))
 
 
 def remove_repeats(
@@ -226,8 +231,7 @@ def remove_repeats(
     removed runs), kept (the remaining bytes)."""
     prepare(docs.sparkSession)
     rows = _documents(docs, id_col, text_col)
-    gone = landed(repeated(rows, length, k, shard_bytes, hot_runs), "repeats").withColumn("mark", F.expr(f"pos div {_PLACE}")).groupBy("id", "mark").agg(
-        F.collect_list(F.struct(F.expr(f"pos % {_PLACE}").alias("at"), "n")).alias("gone"))
+    gone = landed(repeated(rows, length, k, shard_bytes, hot_runs), "repeats").groupBy(*DOC).agg(F.collect_list("at").alias("gone"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (whole.slice(at, SLICE_ROWS) for whole in batches for at in range(0, whole.num_rows, SLICE_ROWS)):
@@ -236,7 +240,7 @@ def remove_repeats(
                 [b.column(0), *(pa.array([o[i] for o in out], pa.int64()) for i in range(3)), pa.array([o[3] for o in out], pa.binary())],
                 names=["id", "n_bytes", "n_removed", "n_spans", "kept"])
 
-    done = rows.join(gone.hint("merge"), ["id", "mark"], "left").select("id", "text", "gone").mapInArrow(
+    done = rows.join(gone.hint("merge"), DOC, "left").select("id", "text", "gone").mapInArrow(
         cut, "id long, n_bytes long, n_removed long, n_spans long, kept binary")
     return done.select(_null_again().alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept")
 
@@ -245,13 +249,14 @@ def _null_again() -> Column:
     return F.when(F.col("id") != F.lit(_NULL_ID), F.col("id"))
 
 
-def _without(raw: bytes, gone: list[dict] | None, length: int) -> tuple[int, int, int, bytes]:
+def _without(raw: bytes, gone: list[int] | None, length: int) -> tuple[int, int, int, bytes]:
     if not gone:
         return len(raw), 0, 0, raw
     edge = np.zeros(len(raw) + 1, np.int64)
     for g in gone:
-        edge[g["at"]] += 1
-        edge[g["at"] + g["n"] - 1 + length] -= 1
+        lo, n = g >> _AT, g & _WINDOWS
+        edge[lo] += 1
+        edge[lo + n - 1 + length] -= 1
     keep = np.cumsum(edge[:-1]) == 0
     spans = int((~keep[1:] & keep[:-1]).sum()) + int(not keep[0])
     return len(raw), int((~keep).sum()), spans, np.frombuffer(raw, np.uint8)[keep].tobytes()

@@ -5,6 +5,7 @@ import brute
 import numpy as np
 import pytest
 from cases import TEXTS, rows_of
+from pyspark.sql import functions as F
 
 from rowlog.llm import repeats, suffixes
 
@@ -50,6 +51,19 @@ def test_repeated_and_null_ids(spark):
     assert got == sorted([(None, 120, 0, 0), (5, 150, 120, 1), (5, 150, 120, 1), (6, 151, 150, 1)], key=str)
 
 
+def test_many_texts_of_one_id(spark):
+    """Thousands of texts under one id, null or not, are documents of their own."""
+    r = random.Random(8)
+    shared = ["".join(r.choice("abcdefgh") for _ in range(n)) for n in (100, 130, 260)]
+    texts = [f"{i} " + "".join(r.choice("ijkl") for _ in range(r.randrange(60))) + r.choice(["", *shared]) for i in range(14_000)]
+    hashes = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.xxhash64("t"), F.xxhash64(F.lit(7), "t")).collect()
+    want = sorted(x[1:] for x in brute.repeats([((a, b), t) for t, a, b in hashes]))  # in the order of the texts' hashes
+    for doc in (None, 7):
+        df = spark.createDataFrame([(doc, t) for t in texts], "doc_id long, text string").repartition(6)
+        got = repeats.digest(repeats.remove_repeats(df)).collect()
+        assert {x.doc_id for x in got} == {doc} and sorted(tuple(x)[1:] for x in got) == want
+
+
 def test_suffix_order_and_prefixes():
     r = np.random.default_rng(1)
     raw = np.concatenate([r.integers(0, 2, 300), np.zeros(150, int), r.integers(0, 2, 50), np.zeros(130, int)]).astype(np.uint8)
