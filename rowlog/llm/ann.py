@@ -9,10 +9,11 @@ exactly, by the cosine of the original vectors in double precision.
 Equal vectors are one representative in the index, a landed number that rises
 with their smallest id (their smallest ids come back at the end, which is
 exact, as ties go to the smaller id), so a vector that many rows share is no
-large bucket. A bucket is further dealt over
-salts, and queries over blocks, whose numbers grow with the tables, so a
-task holds at most about `BUCKET_ROWS` vectors and `QUERY_ROWS` queries even
-if one axis has all rows. A query that found fewer than k candidates is
+large bucket. Vectors and queries of each (table, axis) bucket are counted
+first; only a bucket with more than `BUCKET_ROWS` vectors is dealt over salts,
+and only one with more than `QUERY_ROWS` queries over blocks. So a task holds
+at most about that many even if one axis has all rows, and rows are copied
+for overfull buckets alone. A query that found fewer than k candidates is
 searched again over all axes of one table, which is an exact scan.
 
 Recall on isotropic random vectors of 64 dimensions, the hardest case, is
@@ -35,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowlog.llm.common import landed, prepare
+from rowlog.llm.common import exact, landed, prepare
 
 TABLES = 6
 PROBES = 12
@@ -108,6 +109,7 @@ def nearest(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k:
 
 def usable(table: DataFrame, id_col: str, vector_col: str) -> tuple[DataFrame, int, str]:
     """(id, v) of the vectors that take part, their length, and their binary type."""
+    table = exact(table, id_col, vector_col)
     kind = table.schema[vector_col].dataType.elementType
     dtype, to = ("<f4", "array<float>") if isinstance(kind, T.FloatType) else ("<f8", "array<double>")
     rows = table.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast(to).alias("v")).where("id is not null and v is not null")
@@ -149,16 +151,31 @@ def _hashed(rows: DataFrame, dtype: str, tables: list[int], probes: int, id_name
     return rows.select(id_name, "v").mapInArrow(place, f"tab int, axis int, {id_name} long, v binary")
 
 
-def _dealt(id_name: str, parts: int) -> Column:
-    return F.pmod(F.xxhash64(id_name), F.lit(parts)).cast("int")
+def _dealt(id_name: str, parts: Column) -> Column:
+    return F.pmod(F.xxhash64(id_name), parts).cast("int")
 
 
-def _search(index: DataFrame, queries: DataFrame, dtype: str, tables: list[int], probes: int, k: int, salts: int, blocks: int) -> DataFrame:
+def parts_of(index: DataFrame, queries: DataFrame, bucket_rows: int, query_rows: int) -> DataFrame:
+    """tab, axis, salts, blocks of every bucket: at most 2 * width rows a table."""
+    bucket = ["tab", "axis"]
+    rows = index.groupBy(*bucket).agg(F.count(F.lit(1)).alias("rows")).join(
+        queries.groupBy(*bucket).agg(F.count(F.lit(1)).alias("asked")), bucket, "full")
+    return rows.select(
+        *bucket, F.greatest(F.lit(1), F.ceil(F.coalesce("rows", F.lit(0)) / bucket_rows)).cast("int").alias("salts"),
+        F.greatest(F.lit(1), F.ceil(F.coalesce("asked", F.lit(0)) / query_rows)).cast("int").alias("blocks"))
+
+
+def _search(
+    index: DataFrame, queries: DataFrame, dtype: str, tables: list[int], probes: int, k: int, bucket_rows: int, query_rows: int,
+) -> DataFrame:
     """FOUND: for each query vector its k best candidates of every probed bucket."""
-    left = _hashed(queries, dtype, tables, probes, "q").withColumn("block", _dealt("q", blocks)).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    right = _hashed(index, dtype, tables, 1, "rep").withColumn("salt", _dealt("rep", salts)).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    asked, held = _hashed(queries, dtype, tables, probes, "q"), _hashed(index, dtype, tables, 1, "rep")
+    # A row for each table and axis: a proven bound for the broadcast.
+    parts = F.broadcast(landed(parts_of(held, asked, bucket_rows, query_rows), "ann-parts"))
+    left = asked.join(parts, ["tab", "axis"]).withColumn("block", _dealt("q", F.col("blocks"))).withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts", "blocks")
+    right = held.join(parts, ["tab", "axis"]).withColumn("salt", _dealt("rep", F.col("salts"))).withColumn(
+        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("salts", "blocks")
 
     def rerank(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
         if q.empty or x.empty:
@@ -189,18 +206,16 @@ def search(
     index = landed(_packed(marked.join(classes, ["id", "h1", "h2"]), dtype, "rep").dropDuplicates(["rep"]), "ann-index")
     asked = members.where(is_query)
     queries = index.join(asked.select("rep").distinct(), "rep", "left_semi").withColumnRenamed("rep", "q")
-    n, nq = index.count(), queries.count()
+    n = index.count()
     # A query's own vectors, mostly one, may be among its candidates.
     own_vectors = asked.groupBy("id").count().agg(F.max("count")).first()[0] or 1
     wanted = k + own_vectors
-    salts = max(1, -(-n // bucket_rows))
-    blocks = max(1, -(-nq // query_rows))
 
-    best = landed(_best(_search(index, queries, dtype, list(range(tables)), probes, wanted, salts, blocks), wanted), "ann-found")
+    best = landed(_best(_search(index, queries, dtype, list(range(tables)), probes, wanted, bucket_rows, query_rows), wanted), "ann-found")
     enough = best.groupBy("q").count().where(F.col("count") >= min(wanted, n)).select("q")
     short = landed(queries.join(enough, "q", "left_anti"), "ann-short")
     if short.limit(1).count():
-        again = _search(index, short, dtype, [0], 2 * width(dim), wanted, salts, blocks)
+        again = _search(index, short, dtype, [0], 2 * width(dim), wanted, bucket_rows, query_rows)
         best = best.join(short.select("q"), "q", "left_anti").unionByName(_best(again, wanted))
 
     # The k + 1 smallest ids of each vector are enough: ties go to the smaller id.

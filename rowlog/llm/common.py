@@ -46,6 +46,22 @@ def exact(df: DataFrame, *names: str) -> DataFrame:
     return df.toDF(*places).select(*(F.col(places[df.columns.index(n)]).alias(n) for n in names))
 
 
+def boxed(df: DataFrame, *names: str) -> DataFrame:
+    """`row`, the whole input row as a struct whose fields are named by place
+    (c0, c1, ..), and x0, x1, ..: the columns of exactly these names. No
+    column of the input, whatever its name, can meet another one."""
+    places = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*places).select(
+        F.struct(*places).alias("row"), *(F.col(places[df.columns.index(n)]).alias(f"x{i}") for i, n in enumerate(names)))
+
+
+def unboxed(rows: DataFrame, like: DataFrame, **new: Column) -> DataFrame:
+    """The columns of `like` from `row`, in order and by their names; those in
+    `new` have a new value."""
+    each = [new.get(n, F.col("row").getField(f"c{i}")).alias(f"c{i}") for i, n in enumerate(like.columns)]
+    return rows.select(*each).toDF(*like.columns)
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The two columns an operator reads, under fixed names; null text is empty."""
     return exact(docs, id_col, text_col).select(

@@ -37,7 +37,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowlog.llm.common import id_and_text, prepare
+from rowlog.llm.common import boxed, exact, id_and_text, prepare, unboxed
 
 WINDOW = 10
 BLOCK_CHARS = 8 << 20
@@ -178,7 +178,7 @@ def _blocks(benchmark: DataFrame, item_col: str, text_col: str, window: int, blo
 
     block: Block = []
     size = 0
-    items = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
+    items = exact(benchmark, item_col, text_col).select(F.col(item_col).cast("string").alias("i"), F.col(text_col).cast("string").alias("t"))
     for row in items.mapInArrow(cut, "i string, piece string, n long").toLocalIterator():
         if block and size + row["n"] > block_chars:
             yield block
@@ -245,4 +245,4 @@ def clean(
             for b in held if len(blocks) == 1 else [pd.concat(held)]:
                 yield pd.Series([len(f[1]) > 0 for f in scan(b.tolist(), blocks, window)], dtype=bool)
 
-    return docs.where(~hit(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
+    return unboxed(boxed(docs, text_col).where(~hit(F.coalesce(F.col("x0").cast("string"), F.lit("")))), docs)

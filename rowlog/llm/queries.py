@@ -61,7 +61,7 @@ def op8_near_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.digest(line_dedup.clean_lines(table(spark, sf_dir, "documents")))
+    return line_dedup.digest(line_dedup.cleaned(table(spark, sf_dir, "documents")))
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -48,7 +48,7 @@ from rowlog.llm.suffixes import BASES, anchored_runs, prefix_sums, range_hash, r
 LENGTH = 100
 K = 32
 SHARD_BYTES = 1 << 20
-HOT_RUNS = 512
+HOT_RUNS = 4096
 SLICE_BYTES = 1 << 18
 SLICE_ROWS = 128
 DOC = ["id", "t1", "t2"]

@@ -1,29 +1,33 @@
 """Toxicity: a linear classifier regularised by counterfactual identity swaps.
 
 Features are the distinct words of a text and the prefixes of those words
-(inflected and compound forms share a prefix). A logistic regression with an
-L1 penalty, which leaves neutral words at exactly 0 so that long texts do
-not add up noise, is fitted with one more term: for labelled sentences in
-which an identity term is swapped for another one, the squared change of the
-score. A term that merely stands often in toxic texts then cannot carry
-weight of its own, and neutral mentions of a group are not flagged. Where a
-sentence has no identity term, a pair of terms is put in by turns, so the
-term holds for terms that the labelled rows hardly show.
-
-Fitting reads at most `max_rows` labelled rows (a documented bound, taken by
-hash of the id); the numpy fit on their sparse features is bounded with it.
-Scoring maps every whole text with the broadcast model, whose size is
-bounded by `max_features`; nothing is shuffled.
+(inflected and compound forms share a prefix). Identity terms are whole words
+only, so what is learned or unlearned for a term touches no other word. A
+logistic regression with an L1 penalty, which leaves neutral words at exactly
+0 so that long texts do not add up noise, is fitted with one more term: every
+labelled sentence with identity terms has counterparts, in which the terms are
+swapped for others of their kind, and the squared change of its score,
+(p(x) - p(swapped x))^2, is penalised. A term that merely stands often in toxic
+texts then cannot carry weight of its own, and neutral mentions of a group are
+not flagged. Which terms there are is a parameter; `term_counts` tells how
+many texts of a corpus hold each. Where no labelled sentence holds one, the
+term is 0 and the fit is a plain L1 regression.
+
+Fitting reads at most `max_rows` labelled documents (a documented bound, taken by
+hash of the id; of rows that repeat an id, one); the numpy fit on their sparse
+features is bounded with it. Scoring maps every whole text with the broadcast
+model, whose size is bounded by `max_features`; nothing is shuffled.
 
 Edge cases: null and empty texts score as the intercept alone; a document
 labelled twice with different labels counts as toxic; without labelled rows
-of both classes every text gets the smoothed share of toxic rows.
+of both classes every text gets the smoothed share of toxic rows. Further
+columns are carried along whatever their names.
 """
 from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rowlog.llm.common import id_and_text, prepare
+from rowlog.llm.common import boxed, exact, id_and_text, prepare, unboxed
 
 MAX_ROWS = 8_000
 MAX_FEATURES = 4_000
@@ -57,18 +61,19 @@ def word_set(text: str | None) -> set[str]:
     return set(_words((text or "").lower()))
 
 
-def word_features(word: str) -> list[str]:
-    return [word] + [f"{word[:n]}*" for n in PREFIXES if len(word) >= n]
+def word_features(word: str, terms: frozenset[str] = frozenset()) -> list[str]:
+    return [word] if word in terms else [word] + [f"{word[:n]}*" for n in PREFIXES if len(word) >= n]
 
 
 @dataclass
 class Model:
     bias: float
     weights: dict[str, float] = field(default_factory=dict)
+    terms: frozenset[str] = frozenset()
 
     def word_weight(self, word: str) -> float:
         get = self.weights.get
-        return sum(get(f, 0.0) for f in word_features(word))
+        return sum(get(f, 0.0) for f in word_features(word, self.terms))
 
     def score(self, found: set[str], cache: dict[str, float] | None = None) -> float:
         cache = {} if cache is None else cache
@@ -81,29 +86,32 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def _swaps(found: set[str], terms: tuple[tuple[str, ...], ...], turn: int) -> list[tuple[str, str]]:
-    """(term, other term of its kind) pairs for one sentence."""
-    out = [(w, t[(t.index(w) + 1 + turn % (len(t) - 1)) % len(t)]) for t in terms for w in t if w in found]
-    if not out:
-        kind = terms[turn % len(terms)]
-        a = (turn // len(terms)) % len(kind)
-        out = [(kind[a], kind[(a + 1) % len(kind)])]
-    return out
+def swapped(found: set[str], terms: tuple[tuple[str, ...], ...], turn: int) -> set[str] | None:
+    """The sentence with every identity term swapped for another one of its
+    kind, which one by turns; None if it has none."""
+    out = set(found)
+    for kind in terms:
+        here = [t for t in kind if t in found]
+        rest = [t for t in kind if t not in found] or [t for t in kind if t != here[0]] if here else []
+        if here and rest:
+            out = (out - set(here)) | {rest[(turn + k) % len(rest)] for k in range(len(here))}
+    return None if out == found else out
 
 
 def fit(
-    rows: list[tuple[set[str], int]], terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, swap_weight: float = 1.0,
+    rows: list[tuple[set[str], int]], terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, swap_weight: float = 10.0,
     l1: float = 4e-4, positive: float = 3.0, steps: int = 120, max_features: int = MAX_FEATURES,
 ) -> Model:
     """The model for (word set, label) rows; `swap_weight` 0 leaves the swaps
     out, `positive` is the cost of a missed toxic row against a false alarm."""
+    whole = frozenset(t for kind in terms for t in kind)
     y = np.array([r[1] for r in rows], float)
     n, n1 = len(rows), int(y.sum()) if rows else 0
     if not n1 or n1 == n:
-        return Model(float(np.log((n1 + 1) / (n - n1 + 1))))
+        return Model(float(np.log((n1 + 1) / (n - n1 + 1))), terms=whole)
     seen, hits = Counter(), Counter()
     for found, label in rows:
-        f = {x for w in found for x in word_features(w)}
+        f = {x for w in found for x in word_features(w, whole)}
         seen.update(f)
         if label:
             hits.update(f)
@@ -111,29 +119,24 @@ def fit(
     # Screening: how far the share of toxic rows among a feature's rows is from the whole.
     strength = {f: abs(hits[f] - c * rate) / (c * rate * (1 - rate)) ** 0.5 for f, c in seen.items() if c >= 2}
     names = sorted(strength, key=lambda f: (-strength[f], f))[:max_features]
-    swapped = {t for kind in terms for t in kind}
-    index = {f: i for i, f in enumerate(dict.fromkeys([*names, *(f for t in sorted(swapped) for f in word_features(t) if f in seen)]))}
+    index = {f: i for i, f in enumerate(dict.fromkeys([*names, *(t for t in sorted(whole) if t in seen)]))}
     row_at, col_at = [], []
-    delta: dict[int, float] = defaultdict(float)
-    pairs: Counter = Counter()
+    # Counterparts: the sentence, and where its features differ from it (columns, +1 or -1).
+    of, p_at, p_col, p_val = [], [], [], []
     for i, (found, _) in enumerate(rows):
-        cols = [index[x] for w in found for x in word_features(w) if x in index]
+        cols = [index[x] for w in found for x in word_features(w, whole) if x in index]
         row_at += [i] * len(cols)
         col_at += cols
-        pairs.update(_swaps(found, terms, i))
+        other = swapped(found, terms, i)
+        if other is None:
+            continue
+        change = [(index[w], 1.0) for w in other - found if w in index] + [(index[w], -1.0) for w in found - other if w in index]
+        p_at += [len(of)] * len(change)
+        p_col += [c for c, _ in change]
+        p_val += [v for _, v in change]
+        of.append(i)
     r, c = np.array(row_at, np.int64), np.array(col_at, np.int64)
-    p_at, p_col, p_val, p_mul = [], [], [], []
-    for j, ((a, b), times) in enumerate(sorted(pairs.items())):
-        delta.clear()
-        for sign, word in ((1.0, a), (-1.0, b)):
-            for x in word_features(word):
-                if x in index:
-                    delta[index[x]] += sign
-        p_at += [j] * len(delta)
-        p_col += list(delta)
-        p_val += list(delta.values())
-        p_mul.append(times / n)
-    pr, pc, pv, pm = np.array(p_at, np.int64), np.array(p_col, np.int64), np.array(p_val), np.array(p_mul)
+    of, pr, pc, pv = np.array(of, np.int64), np.array(p_at, np.int64), np.array(p_col, np.int64), np.array(p_val)
     d = len(index)
     # Features are scaled by the root of their count for an even step size.
     scale = 1 / np.sqrt(np.maximum(np.bincount(c, minlength=d), 1) / n + 1e-3)
@@ -143,16 +146,25 @@ def fit(
     width = float(np.bincount(r, weights=scale[c] ** 2, minlength=n).max(initial=1.0)) if len(r) else 1.0
     step = 1.0 / min(width, 50.0)
 
+    def sigmoid(z: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
     def gradient(w: np.ndarray, b: float) -> tuple[np.ndarray, float, float]:
         z = b + np.bincount(r, weights=(w * scale)[c], minlength=n)
-        p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        g = np.bincount(c, weights=((p - y) * cost)[r], minlength=d) * scale
-        loss = float(cost @ (np.logaddexp(0, z) - y * z))
-        if swap_weight and len(pr):
-            change = np.bincount(pr, weights=(w * scale)[pc] * pv, minlength=len(pm))
-            loss += swap_weight * float(pm @ change ** 2)
-            g += 2 * swap_weight * np.bincount(pc, weights=(pm * change)[pr] * pv, minlength=d) * scale
-        return g, float(cost @ (p - y)), loss
+        p = sigmoid(z)
+        by_row, loss = (p - y) * cost, float(cost @ (np.logaddexp(0, z) - y * z))
+        g_swap = 0.0
+        if swap_weight and len(of):
+            q = sigmoid(z[of] + np.bincount(pr, weights=(w * scale)[pc] * pv, minlength=len(of)))
+            gap, slope = p[of] - q, q * (1 - q)
+            each = 2 * swap_weight / n * gap
+            loss += swap_weight / n * float(gap @ gap)
+            # d gap = p (1 - p) dz - q (1 - q) (dz + change)
+            shared = each * (p[of] * (1 - p[of]) - slope)
+            by_row = by_row + np.bincount(of, weights=shared, minlength=n)
+            g_swap = np.bincount(pc, weights=-(each * slope)[pr] * pv, minlength=d) * scale
+        g = np.bincount(c, weights=by_row[r], minlength=d) * scale + g_swap
+        return g, float(by_row.sum()), loss
 
     for _ in range(steps):
         g, gb, loss = gradient(v, vb)
@@ -171,7 +183,7 @@ def fit(
         if done:
             break
     real = w * scale
-    return Model(b, {f: float(real[i]) for f, i in index.items() if real[i]})
+    return Model(b, {f: float(real[i]) for f, i in index.items() if real[i]}, whole)
 
 
 def fold_of(id_col: Column | str, folds: int = FOLDS) -> Column:
@@ -186,7 +198,7 @@ def train(
     """Fit on at most `max_rows` labelled documents whose fold is not 0."""
     prepare(docs.sparkSession)
     chosen = (
-        labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
+        exact(labels, id_col, label_col).select(F.col(id_col).cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("y"))
         .where("doc_id is not null and y is not null").where(fold_of("doc_id") != 0)
         .groupBy("doc_id").agg(F.max("y").alias("y"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
@@ -194,13 +206,35 @@ def train(
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([" ".join(sorted(word_set(t))) for t in b.column(1).to_pylist()], pa.string()), b.column(2)], names=["words", "y"])
+            found = [" ".join(sorted(word_set(t))) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.string()), b.column(2)], names=["doc_id", "words", "y"])
 
     # At most max_rows narrow rows: a proven bound for the broadcast.
     rows = id_and_text(docs, id_col, text_col).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
-    found = rows.mapInArrow(sets, "words string, y int").limit(2 * max_rows)
-    return fit_rows([(set(r["words"].split()), r["y"]) for r in found.toLocalIterator()])
+    # One text of each document, whichever rows repeat its id.
+    one = rows.mapInArrow(sets, "doc_id long, words string, y int").groupBy("doc_id").agg(
+        F.min(F.struct(F.xxhash64("words"), "words")).getField("words").alias("words"), F.max("y").alias("y")).orderBy("doc_id")
+    return fit_rows([(set(r["words"].split()), r["y"]) for r in one.toLocalIterator()])
+
+
+def term_counts(
+    docs: DataFrame, terms: tuple[tuple[str, ...], ...] = IDENTITY_TERMS, text_col: str = "text", id_col: str = "doc_id",
+) -> DataFrame:
+    """kind, term, n_docs (rows of `docs` whose text holds the term), for every
+    term: the inventory that swaps can draw on in this corpus."""
+    prepare(docs.sparkSession)
+    all_terms = {t: k for k, kind in enumerate(terms) for t in kind}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = Counter()
+        for b in batches:
+            for t in b.column(1).to_pylist():
+                found.update(word_set(t) & all_terms.keys())
+        yield pa.RecordBatch.from_pydict({"term": pa.array(list(found), pa.string()), "n": pa.array(list(found.values()), pa.int64())})
+
+    every = docs.sparkSession.createDataFrame(sorted((k, t) for t, k in all_terms.items()), "kind int, term string")
+    got = id_and_text(docs, id_col, text_col).mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("n_docs"))
+    return every.join(got, "term", "left").select("kind", "term", F.coalesce("n_docs", F.lit(0)).alias("n_docs"))
 
 
 def scores(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -227,7 +261,7 @@ def clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: floa
     def score(text):
         return text.map(lambda t: shared.value.score(word_set(t), cache))
 
-    return docs.where(score(F.coalesce(F.col(text_col).cast("string"), F.lit(""))) < threshold)
+    return unboxed(boxed(docs, text_col).where(score(F.coalesce(F.col("x0").cast("string"), F.lit(""))) < threshold), docs)
 
 
 def held_out(doc_id: int) -> bool:

@@ -56,6 +56,26 @@ def test_ties_copies_and_bad_vectors(spark):
         assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in want.items()}
 
 
+def test_rows_are_copied_for_overfull_buckets_only(spark):
+    """Rows hashed for a search grow with the table; they are copied only where a bucket is overfull."""
+    r = np.random.default_rng(3)
+    written = []
+    for n in (1000, 2000, 4000):
+        x = r.normal(size=(n, 16)).astype(np.float32)
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<float>")
+        index = ann._packed(df.withColumnRenamed("id", "rep"), "<f4", "rep")
+        queries = index.where("rep % 50 = 0").withColumnRenamed("rep", "q")
+        held, asked = ann._hashed(index, "<f4", [0, 1], 1, "rep"), ann._hashed(queries, "<f4", [0, 1], 4, "q")
+        parts = ann.parts_of(held, asked, 1000, 1000).collect()
+        assert len(parts) <= 2 * 32 and all(p.salts == p.blocks == 1 for p in parts)
+        by = {(p.tab, p.axis): p.salts for p in parts}
+        written.append(sum(by[q.tab, q.axis] for q in asked.select("tab", "axis").collect()) + held.count())
+        few = ann.parts_of(held, asked, 40, 1000).collect()
+        sizes = {(x.tab, x.axis): x["count"] for x in held.groupBy("tab", "axis").count().collect()}
+        assert all(p.salts == max(1, -(-sizes.get((p.tab, p.axis), 0) // 40)) for p in few)
+    assert written == [2000 + 20 * 8, 4000 + 40 * 8, 8000 + 80 * 8]
+
+
 def test_few_and_no_vectors(spark):
     df = spark.createDataFrame([(i, [float(i + 1), 1.0, -2.0]) for i in range(4)] + [(3, [4.0, 1.0, -2.0])], "vec_id long, embedding array<double>")
     got = found(ann.search(df, F.col("id") % 50 == 0, tables=1, probes=1))
