@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowlog.llm import bpe, decontaminate, line_dedup, near_dups, toxicity
-from rowlog.llm.common import landed, table
+from rowlog.llm.common import boxed, landed, table, unboxed
 from rowlog.llm.queries import tokenizer_path
 
 
@@ -32,14 +32,13 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.clean_lines(docs).withColumn(
-        "n_chars", F.when(F.col("_n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return cleaned.select(*docs.columns)
+    return line_dedup.clean_lines(docs, length_col="n_chars")
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     gone = near_dups.near_duplicates(docs).where(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    rows = boxed(docs, "doc_id").join(gone.hint("merge"), F.col("x0") == F.col("doc_id"), "left_anti")
+    return unboxed(rows, docs)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
