@@ -245,4 +245,5 @@ def clean(
             for b in held if len(blocks) == 1 else [pd.concat(held)]:
                 yield pd.Series([len(f[1]) > 0 for f in scan(b.tolist(), blocks, window)], dtype=bool)
 
+    hit = hit.asNondeterministic()  # so that no rule moves it to where a Python function can't run
     return unboxed(boxed(docs, text_col).where(~hit(F.coalesce(F.col("x0").cast("string"), F.lit("")))), docs)

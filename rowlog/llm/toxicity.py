@@ -261,6 +261,7 @@ def clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: floa
     def score(text):
         return text.map(lambda t: shared.value.score(word_set(t), cache))
 
+    score = score.asNondeterministic()  # so that no rule moves it to where a Python function can't run
     return unboxed(boxed(docs, text_col).where(score(F.coalesce(F.col("x0").cast("string"), F.lit(""))) < threshold), docs)
 
 
