@@ -43,6 +43,9 @@ SILENT_FROM_MS, SILENT_TO_MS = 883_612_800_000, 915_148_800_000  # 1998
 CUSTOMER_SNAPSHOT_SET = fx.UUID_PREFIX + "4:1-1000"
 AUDITED_TABLES = ("shop.customer",)
 REDACT_POLICY = {"shop.customer": {"c_name": "hash", "c_mktsegment": "drop"}}
+STATE_STEPS_MS = tuple(725_846_400_000 + k * 7 * 2_592_000_000 for k in range(9))  # every 210 days from 1993-01-01
+STATE_INSTANTS_MS = (STATE_STEPS_MS[3] + 86_400_000, STATE_STEPS_MS[8], STATE_AT_MS)
+LOOKED_UP_ORDER = 17
 ACCOUNT_KEYS = {"id": "bigint"}
 ACCOUNT_POLICY = {"shop.acct book": {"amount": "hash"}}
 
@@ -392,11 +395,12 @@ def time_formats(spark, sf):
 
 def json_images(spark, sf):
     ch = changes_of(spark, sf, "orders", fingerprints=False)
-    return ch.select(*FILE, "position", "row_idx",
-                     fi.image_col("data", "cents", "bigint").alias("cents"),
-                     fi.image_col("data", "o_orderstatus").alias("status"),
-                     fi.image_has("data", "cents").alias("has_cents"),
-                     fi.image_has("data", "missing").alias("has_missing"))
+    read = fi.once(fi.parsed("data"), lambda v: F.struct(
+        fi.image_col("data", "cents", "bigint", v).alias("cents"),
+        fi.image_col("data", "o_orderstatus", variant=v).alias("status"),
+        fi.image_has("data", "cents", v).alias("has_cents"),
+        fi.image_has("data", "missing", v).alias("has_missing")))
+    return ch.select(*FILE, "position", "row_idx", read.alias("x")).select(*FILE, "position", "row_idx", "x.*")
 
 
 # ---- protection (L5-L7) ----------------------------------------------------
@@ -689,9 +693,36 @@ def lake_versions(spark, sf):
     return each[0].unionByName(each[1]).groupBy("version", "table", "event").agg(F.count(F.lit(1)).alias("n"))
 
 
+def state_at_incremental(spark, sf):
+    """The orders at three instants, from segments folded at many instants and the changes after them."""
+    from rowlog.operators.statetable import StateTable
+
+    table, ch = StateTable(spark, scratch_path(spark, "state"), ORDERS_KEYS, fanout=3), _orders(spark, sf)
+    for t in STATE_STEPS_MS:
+        table.advance(ch, t)
+    out = None
+    for t in STATE_INSTANTS_MS:
+        one = table.at(ch, t).withColumn("instant", F.lit(t))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def key_lookup(spark, sf):
+    """The changes of one order, and of one status, from the files that an index of values leaves."""
+    from rowlog.sinks.parquet import write_by_table
+    from rowlog.sinks.skipping import index_columns, lookup
+
+    root = scratch_path(spark, "indexed")
+    write_by_table(_orders(spark, sf), root, by_file=True)
+    index_columns(spark, root, "shop.orders", ["o_orderkey", "o_orderstatus", "o_orderpriority"])
+    one = lookup(spark, root, "shop.orders", {"o_orderkey": LOOKED_UP_ORDER})
+    some = lookup(spark, root, "shop.orders", {"o_orderstatus": "P", "o_orderpriority": "1-URGENT"})
+    return one.unionByName(some).select(*FILE, "position", "row_idx", "event", "data", "old")
+
+
 QUERIES.update({
     f.__name__: f
-    for f in [stream_split_log, stream_delete_storms, lake_versions, lake_two_bases, lake_table_exact, stream_two_batches, convert_job, empty_lake, stream_rate_append,
+    for f in [state_at_incremental, key_lookup, stream_split_log, stream_delete_storms, lake_versions, lake_two_bases, lake_table_exact, stream_two_batches, convert_job, empty_lake, stream_rate_append,
               stream_first_seen, per_table_roundtrip, lake_one_table, single_file_roundtrip, output_audit, written_stats,
               stream_convert, stream_write_rate, stream_query_shapes]
 })

@@ -673,6 +673,23 @@ SELECT version, "table", event, CAST(count(*) AS BIGINT) AS n FROM changes, (VAL
 WHERE version = 1 OR server_id = 4 OR event = 'EXT_WRITE_ROWS' GROUP BY ALL""")
 
 
+def state_at_incremental():
+    from checks.catalog import STATE_INSTANTS_MS
+
+    parts = " UNION ALL ".join(f"SELECT *, CAST({t} AS BIGINT) AS instant FROM ({_state('ko', 'o_orderkey', t, False)}) s{i}" for i, t in enumerate(STATE_INSTANTS_MS))
+    return with_(nofp("orders") + keyed_ctes("changes", "o_orderkey", "ko"), parts)
+
+
+def key_lookup():
+    from checks.catalog import LOOKED_UP_ORDER
+
+    def has(*pairs):
+        both = [" AND ".join(f"json_extract_string({side}, '$.{c}') = '{v}'" for c, v in pairs) for side in ("data", "old")]
+        return f"SELECT {FILE}, position, row_idx, event, data, old FROM changes WHERE coalesce({both[0]}, false) OR coalesce({both[1]}, false)"
+
+    return with_(nofp("orders"), f"{has(('o_orderkey', LOOKED_UP_ORDER))} UNION ALL {has(('o_orderstatus', 'P'), ('o_orderpriority', '1-URGENT'))}")
+
+
 SQL = {
     f.__name__: f
     for f in [
@@ -691,6 +708,7 @@ SQL = {
         transitions_decimal, transitions_null, row_history_moves, redacted_query, lake_table_exact, convert_job,
         merge_gtids_fragmented, fingerprint_cases, co_changed_txn, lake_two_bases, stream_two_batches, empty_lake,
         stream_rate_append, stream_first_seen, stream_split_log, stream_delete_storms, lake_versions,
+        state_at_incremental, key_lookup,
     ]
 }
 

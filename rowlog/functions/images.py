@@ -94,20 +94,49 @@ def _exact(value: Column, source: Column, pattern: str) -> Column:
     return F.when(value.rlike(r"\A" + _NUMBER + r"\z") & (text != ""), text).otherwise(value)
 
 
-def image_col(image, name: str, type_: str = "string") -> Column:
+def parsed(image) -> Column:
+    """A JSON image as a variant: parsed once, then read by path. Where the
+    exact text of a number matters, readers look it up in the text beside it."""
+    return F.try_parse_json(_c(image))
+
+
+def once(value: Column, read) -> Column:
+    """`read` of a value that is computed once for a row, however often
+    `read` uses it (a lambda's variable is never inlined)."""
+    return F.get(F.transform(F.array(value), lambda v: read(v)), F.lit(0))
+
+
+def _step(name: str) -> str:
+    """A key as a step of a variant path. A key that holds both kinds of
+    quotes can't be written as one."""
+    if '"' not in name:
+        return f'["{name}"]'
+    if "'" not in name:
+        return f"['{name}']"
+    raise ValueError(f"no variant path can name the key {name!r}")
+
+
+def image_col(image, name: str, type_: str = "string", variant: Column | None = None) -> Column:
     """One column of a JSON image: strings unquoted, other values as their
     JSON text (`100.00` keeps its scale), JSON null as null. The name is a
-    key, not a path, so dots and quotes in it are plain."""
+    key, not a path, so dots and quotes in it are plain. `variant` is the
+    image `parsed`, which saves parsing it again."""
     image = _c(image)
-    v = F.from_json(image, "map<string,string>").getItem(name)
+    if variant is None:
+        v = F.from_json(image, "map<string,string>").getItem(name)
+    else:
+        v = F.try_variant_get(variant, "$" + _step(name), "string")
     v = _exact(v, image, _key_pattern(name) + f"({_NUMBER})")
     return v if type_ == "string" else v.try_cast(type_)
 
 
-def change_col(changed, name: str, side: str) -> Column:
+def change_col(changed, name: str, side: str, variant: Column | None = None) -> Column:
     """The `old` or `new` value of one column in a diff, read as `image_col` does."""
     changed = _c(changed)
-    v = F.from_json(changed, "map<string,struct<old:string,new:string>>").getItem(name).getField(side)
+    if variant is None:
+        v = F.from_json(changed, "map<string,struct<old:string,new:string>>").getItem(name).getField(side)
+    else:
+        v = F.try_variant_get(variant, f"${_step(name)}.{side}", "string")
     # Atomic, so that only the column's own new value can follow.
     skip = "" if side == "old" else '(?>(?s:.*?),"new":)'
     before = r'\{"old":' + skip
@@ -121,12 +150,16 @@ def value_text(value) -> str | None:
     return json.dumps(value) if isinstance(value, (bool, dict, list)) else str(value)
 
 
-def has_change(changed, name: str) -> Column:
+def has_change(changed, name: str, variant: Column | None = None) -> Column:
+    if variant is not None:
+        return F.try_variant_get(variant, "$" + _step(name), "variant").isNotNull()
     return F.array_contains(F.json_object_keys(_c(changed)), F.lit(name))
 
 
-def image_has(image, name: str) -> Column:
+def image_has(image, name: str, variant: Column | None = None) -> Column:
     """True when the image has the key, even if its value is null."""
+    if variant is not None:  # a JSON null is a variant, a missing key is none
+        return F.try_variant_get(variant, "$" + _step(name), "variant").isNotNull()
     return F.array_contains(F.json_object_keys(_c(image)), F.lit(name))
 
 

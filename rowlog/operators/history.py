@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowlog.functions.images import image_col
+from rowlog.functions.images import image_col, once, parsed
 from rowlog.functions.text import op_class, padded_seq
 from rowlog.operators.gtid import after_gtid_set
 from rowlog.operators.workload import log_order, log_order_struct
@@ -17,14 +17,19 @@ from rowlog.operators.workload import log_order, log_order_struct
 
 def key_columns(changes: DataFrame, keys: dict) -> DataFrame:
     """Add key columns read from the post-image (delete: the deleted row)."""
-    return changes.select("*", *[image_col("data", k, t).alias(k) for k, t in keys.items()])
+    return changes.select("*", _key("data", keys).alias("_k")).select("*", "_k.*").drop("_k")
 
 
-def _keyed(changes: DataFrame, keys: dict) -> DataFrame:
+def _key(image: str, keys: dict):
+    """The key columns of an image, parsed once, as a struct (its fields are null without an image)."""
+    return once(parsed(image), lambda v: F.struct(*[image_col(image, k, t, v).alias(k) for k, t in keys.items()]))
+
+
+def keyed_changes(changes: DataFrame, keys: dict) -> DataFrame:
     """One row per (key, change). A key-changing UPDATE also emits a delete
     of the old key, ordered just before the upsert."""
-    old_k = F.struct(*[image_col("old", k, t).alias(k) for k, t in keys.items()])
-    new_k = F.struct(*[image_col("data", k, t).alias(k) for k, t in keys.items()])
+    changes = changes.withColumns({"_old_k": _key("old", keys), "_new_k": _key("data", keys)})
+    old_k, new_k = F.col("_old_k"), F.col("_new_k")
     op = op_class("event")
     moved = (F.col("event") == "EXT_UPDATE_ROWS") & ~old_k.eqNullSafe(new_k)
     items = F.when(
@@ -53,7 +58,7 @@ def state_at(changes: DataFrame, keys: dict, ts_ms: int, use_preimage: bool = Fa
     does not reach back far enough to see their insert)."""
     if not use_preimage:  # later changes don't matter: the scan drops them
         changes = changes.where(F.col("timestamp") <= F.lit(ts_ms))
-    k = _keyed(changes, keys)
+    k = keyed_changes(changes, keys)
     before = F.col("timestamp") <= F.lit(ts_ms)
     last_before = F.max(F.when(before, F.struct("_ord", "op", "data")))
     first_after = F.min(F.when(~before, F.struct("_ord", "op", "old")))
@@ -84,7 +89,8 @@ def row_history(changes: DataFrame, keys: dict, bucket: int = HISTORY_BUCKET) ->
     # back is a plain equi-join and keeps the local side's partitioning.
     if "old" not in changes.columns:
         changes = changes.withColumn("old", F.lit(None).cast("string"))
-    old_k, new_k = (F.struct(*[image_col(c, k, t).alias(k) for k, t in keys.items()]) for c in ("old", "data"))
+    changes = changes.withColumns({"_old_k": _key("old", keys), "_new_k": _key("data", keys)})
+    old_k, new_k = F.col("_old_k"), F.col("_new_k")
     moved = (F.col("event") == "EXT_UPDATE_ROWS") & F.col("old").isNotNull() & ~old_k.eqNullSafe(new_k)
 
     def version(key, data, sub):
@@ -128,7 +134,7 @@ def bootstrap(snapshot: DataFrame, changes: DataFrame, intervals: DataFrame, key
     changes not in that set, folded to the current (or `ts_ms`) state. The
     snapshot sorts before every change of its key."""
     later = after_gtid_set(changes, intervals)
-    k = _keyed(later, keys)
+    k = keyed_changes(later, keys)
     low = F.struct(
         F.struct(
             F.lit(None).cast("long").alias("s"), F.lit(None).cast("string").alias("p"), F.lit(None).cast("string").alias("b"),

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rowlog.functions.fingerprint import fingerprint, query_hash
-from rowlog.functions.images import change_col, has_change, image_col, image_has, value_text
+from rowlog.functions.images import change_col, has_change, image_col, image_has, once, parsed, value_text
 from rowlog.functions.text import op_class, padded_seq, table_key
 from rowlog.schema import FILE
 
@@ -164,11 +164,14 @@ def transitions(changes: DataFrame, column: str, old, new) -> DataFrame:
     their exact text (`100.00` is not `100.0`); None is JSON null."""
     diff = F.col("changed")
 
-    def is_value(side: str, value) -> Column:
-        return change_col(diff, column, side).eqNullSafe(F.lit(value_text(value)))
+    def hit(v: Column) -> Column:
+        def is_value(side: str, value) -> Column:
+            return change_col(diff, column, side, v).eqNullSafe(F.lit(value_text(value)))
 
-    hit = (F.col("event") == "EXT_UPDATE_ROWS") & has_change(diff, column)
-    return changes.where(hit & is_value("old", old) & is_value("new", new))
+        return has_change(diff, column, v) & is_value("old", old) & is_value("new", new)
+
+    updates = changes.where(F.col("event") == "EXT_UPDATE_ROWS")
+    return updates.where(once(parsed(diff), hit))
 
 
 def first_set(changes: DataFrame, keys: dict, column: str, value) -> DataFrame:
@@ -177,10 +180,13 @@ def first_set(changes: DataFrame, keys: dict, column: str, value) -> DataFrame:
     as new value."""
     from rowlog.operators.history import key_columns
 
-    v = F.lit(value_text(value))
-    ins = (F.col("event") == "EXT_WRITE_ROWS") & image_has("data", column) & image_col("data", column).eqNullSafe(v)
-    upd = (F.col("event") == "EXT_UPDATE_ROWS") & has_change("changed", column) & change_col("changed", column, "new").eqNullSafe(v)
-    c = key_columns(changes.where(ins | upd), keys)
+    wanted = F.lit(value_text(value))
+    # Each image is parsed once; of a change only the one that can show it.
+    ins = once(parsed("data"), lambda v: image_has("data", column, v) & image_col("data", column, variant=v).eqNullSafe(wanted))
+    upd = once(parsed("changed"), lambda v: has_change("changed", column, v) & change_col("changed", column, "new", v).eqNullSafe(wanted))
+    event = F.col("event")
+    sets = F.when(event == "EXT_WRITE_ROWS", ins).when(event == "EXT_UPDATE_ROWS", upd)
+    c = key_columns(changes.where(sets), keys)
     rec = F.struct(
         log_order_struct().alias("o"), F.col("gtid"), F.col("timestamp"), F.col("binarylog"), F.col("position"), F.col("query")
     )
