@@ -42,6 +42,16 @@ def test_a_log_in_pieces_is_held_until_it_is_whole(spark):
     assert gate._batches("held") == [3] and gate._batches("open") == [2, 3]
 
 
+def test_a_log_that_lands_again_starts_anew(spark):
+    """Held events of its first landing are still there, as another log is open since; they don't count again."""
+    log, other = whole_log(spark), whole_log(spark, "mysql-bin.000002", 1)
+    gate = LogGate(spark, scratch_path(spark, "t-gate5"))
+    gate.take(log.where("seq < 8").unionByName(other.where("seq < 3")), 0)
+    assert gate.take(log.where("seq >= 8"), 1).count() == 20
+    assert gate.take(log, 2).count() == 20 and gate._batches("held") == [0, 1, 2]
+    assert gate.take(other.where("seq >= 3"), 3).count() == 8
+
+
 def test_doubled_events_do_not_make_up_for_missing_ones(spark):
     log = whole_log(spark)
     gate = LogGate(spark, scratch_path(spark, "t-gate2"))
