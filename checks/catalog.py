@@ -693,6 +693,41 @@ def lake_versions(spark, sf):
     return each[0].unionByName(each[1]).groupBy("version", "table", "event").agg(F.count(F.lit(1)).alias("n"))
 
 
+def file_sizes(spark, sf):
+    """Logs landed with the size of the original file."""
+    src, raw = scratch_path(spark, "sized"), raw_of(spark, sf, "orders")
+    sizes = raw.groupBy(*FILE).agg(F.max("next_position").alias("log_size"))
+    raw.join(sizes, list(FILE)).write.parquet(src)
+    return ost.file_summary(raw_events(spark, src, with_file_size=True, with_log_size=True)).select(*FILE, "log_size")
+
+
+def empty_row_events(spark, sf):
+    """Row events without images give no rows; the lengths of update images are checked."""
+    raw = raw_of(spark, sf, "customer")
+    empty = F.col("event_type").isin(*ROW_EVENT_TYPES) & (F.expr("timestamp div 60000 % 7") == 0)
+    raw = raw.withColumn("rows", F.when(~empty, F.col("rows")).otherwise(F.filter("rows", lambda r: F.lit(False))))
+    ch = build_changes(raw, fingerprints=False, strict=True)
+    return ch.select(*FILE, "position", "row_idx", "event", "data")
+
+
+def single_ordered(spark, sf):
+    """The place of every change in the one output file."""
+    from rowlog.sinks.parquet import write_single
+
+    path = scratch_path(spark, "ordered")
+    write_single(lake_of(spark, sf, "shop"), path, files=1)
+    return spark.read.parquet(path).select(*FILE, "position", "row_idx", (F.col("_metadata.row_index") + 1).alias("place"))
+
+
+def typed_images(spark, sf):
+    """Images of typed rows: times with their offset, bytes in base64, nulls kept; and single cells."""
+    e = fx._read(spark, sf, "events")
+    row = F.struct("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").cast("binary").alias("kind"),
+                   F.lit(None).cast("string").alias("none"), (F.col("user_id") % 2 == 0).alias("even"))
+    return e.select("event_id", fi.typed_image(row).alias("image"), fi.cell_literal("event_type").alias("text"),
+                    fi.cell_literal(F.when(F.col("user_id") % 3 != 0, F.col("user_id"))).alias("number"))
+
+
 def state_at_incremental(spark, sf):
     """The orders at three instants, from segments folded at many instants and the changes after them."""
     from rowlog.operators.statetable import StateTable
@@ -722,7 +757,7 @@ def key_lookup(spark, sf):
 
 QUERIES.update({
     f.__name__: f
-    for f in [state_at_incremental, key_lookup, stream_split_log, stream_delete_storms, lake_versions, lake_two_bases, lake_table_exact, stream_two_batches, convert_job, empty_lake, stream_rate_append,
+    for f in [file_sizes, empty_row_events, single_ordered, typed_images, state_at_incremental, key_lookup, stream_split_log, stream_delete_storms, lake_versions, lake_two_bases, lake_table_exact, stream_two_batches, convert_job, empty_lake, stream_rate_append,
               stream_first_seen, per_table_roundtrip, lake_one_table, single_file_roundtrip, output_audit, written_stats,
               stream_convert, stream_write_rate, stream_query_shapes]
 })

@@ -690,6 +690,27 @@ def key_lookup():
     return with_(nofp("orders"), f"{has(('o_orderkey', LOOKED_UP_ORDER))} UNION ALL {has(('o_orderstatus', 'P'), ('o_orderpriority', '1-URGENT'))}")
 
 
+def file_sizes():
+    return with_(raw_ctes("orders"), f"SELECT {FILE}, max(next_position) AS log_size FROM ord_raw GROUP BY {FILE}")
+
+
+def empty_row_events():
+    return with_(nofp("customer"), f"SELECT {FILE}, position, row_idx, event, data FROM changes WHERE timestamp // 60000 % 7 <> 0")
+
+
+def single_ordered():
+    order = f"server_id, {padded_seq('binarylog')}, binarylog, position, row_idx"
+    return with_(nofp("shop"), f"SELECT {FILE}, position, row_idx, row_number() OVER (ORDER BY {order}) AS place FROM changes")
+
+
+def typed_images():
+    at = "strftime(make_timestamp(epoch_us(ts) // 1000 * 1000), '%Y-%m-%dT%H:%M:%S.%g')"
+    return f"""
+SELECT event_id, '{{"event_id":' || event_id || ',"ts":"' || {at} || '+00:00","kind":"' || base64(encode(event_type)) || '","none":null,"even":'
+  || CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END || '}}' AS image,
+  '"' || event_type || '"' AS text, CASE WHEN user_id % 3 <> 0 THEN CAST(user_id AS VARCHAR) END AS number FROM events"""
+
+
 SQL = {
     f.__name__: f
     for f in [
@@ -708,7 +729,7 @@ SQL = {
         transitions_decimal, transitions_null, row_history_moves, redacted_query, lake_table_exact, convert_job,
         merge_gtids_fragmented, fingerprint_cases, co_changed_txn, lake_two_bases, stream_two_batches, empty_lake,
         stream_rate_append, stream_first_seen, stream_split_log, stream_delete_storms, lake_versions,
-        state_at_incremental, key_lookup,
+        state_at_incremental, key_lookup, file_sizes, empty_row_events, single_ordered, typed_images,
     ]
 }
 

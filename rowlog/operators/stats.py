@@ -52,14 +52,14 @@ def file_summary(raw: DataFrame) -> DataFrame:
     """One row per log file: file-level server id (from PREVIOUS_GTIDS, else
     0), previous and merged GTID sets, next log, earliest (last
     FORMAT_DESCRIPTION) and latest (last ROTATE, null if never rotated); and
-    the size, if the events were scanned with `file_size`."""
+    the sizes, if the events were scanned with `file_size` or `log_size`."""
     t = F.col("event_type")
-    sized = [F.max("file_size").alias("file_size")] if "file_size" in raw.columns else []
+    sizes = [c for c in ("file_size", "log_size") if c in raw.columns]
     agg = raw.groupBy(*FILE).agg(
         _last(t == "PREVIOUS_GTIDS", "server_id", "previous_gtids").alias("_pg"),
         _last(t == "ROTATE", "next_binlog", "timestamp").alias("_rot"),
         _last(t == "FORMAT_DESCRIPTION", "timestamp").alias("_fd"),
-        *sized,
+        *(F.max(c).alias(c) for c in sizes),
     )
     merged = merge_gtids(raw, FILE)
     j = agg.join(merged, list(FILE), "left")
@@ -75,7 +75,7 @@ def file_summary(raw: DataFrame) -> DataFrame:
         latest.alias("latest"),
         utc_millis(earliest).alias("earliest_utc"),
         utc_millis(latest).alias("latest_utc"),
-        *(["file_size"] if sized else []),
+        *sizes,
     )
 
 

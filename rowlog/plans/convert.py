@@ -93,8 +93,8 @@ def convert(spark: SparkSession, src: str, dst: str, by_file: bool = True, repla
     read. Events are sequenced once, and changes made once: the audit counts
     rows expected from the sequence, rows observed on their way into the
     writer, and rows in the files as the snapshot's list has them."""
-    raw = raw_events(spark, src, fmt, with_file_size=True)
-    events = raw.drop("file_size")
+    raw = raw_events(spark, src, fmt, with_file_size=True, with_log_size=True)
+    events = raw.drop("file_size", "log_size")
     seq = sequenced(events, **{k: v for k, v in opts.items() if k in SEQUENCE_OPTIONS})
     if opts.get("method", "carry") != "carry" or not opts.get("store", True):
         seq = written(seq, "sequence")  # read twice below

@@ -3,20 +3,26 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rowlog.functions.text import padded_seq
-from rowlog.schema import ALLOWED_EVENT_TYPES, RAW_COLUMNS, RAW_SCHEMA
+from rowlog.schema import ALLOWED_EVENT_TYPES, RAW_SCHEMA
 
 
-def raw_events(spark: SparkSession, path: str, fmt: str = "parquet", with_file_size: bool = False) -> DataFrame:
+def raw_events(
+    spark: SparkSession, path: str, fmt: str = "parquet", with_file_size: bool = False, with_log_size: bool = False,
+) -> DataFrame:
     """Scan a decoded event table with the fixed input schema (no inference).
 
     with_file_size adds `file_size`: the size of the event-table file each row
-    came from (from the scan's hidden metadata column).
+    came from (from the scan's hidden metadata column). with_log_size adds
+    `log_size`: the size of the original log, which the decoder may land with
+    its events; null where the table lacks the column.
     """
-    df = spark.read.schema(RAW_SCHEMA).format(fmt).load(path)
+    schema = T.StructType([*RAW_SCHEMA.fields, T.StructField("log_size", T.LongType())]) if with_log_size else RAW_SCHEMA
+    df = spark.read.schema(schema).format(fmt).load(path)
     if with_file_size:
-        df = df.select(*RAW_COLUMNS, F.col("_metadata.file_size").alias("file_size"))
+        df = df.select(*schema.names, F.col("_metadata.file_size").alias("file_size"))
     return df
 
 

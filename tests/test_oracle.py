@@ -10,7 +10,8 @@ NAMES = ["row_changes", "txn_tagging", "table_map_resolution", "captured_transac
          "merge_gtids", "multi_row_explode", "state_at", "bootstrap", "delete_storms", "redacted_changes",
          "padded_names", "gtid_parse", "transitions_decimal", "transitions_null", "row_history_moves", "redacted_query",
          "lake_table_exact", "convert_job", "merge_gtids_fragmented", "fingerprint_cases", "co_changed_txn",
-         "lake_two_bases", "empty_lake", "stream_rate_append"]
+         "lake_two_bases", "empty_lake", "stream_rate_append", "stream_split_log", "lake_versions", "file_sizes",
+         "empty_row_events", "single_ordered", "typed_images", "key_lookup"]
 
 
 @pytest.fixture(scope="module")

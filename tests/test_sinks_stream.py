@@ -55,7 +55,10 @@ def test_writer_options_and_order_of_files(spark):
     assert files
     for f in files:
         meta = pq.ParquetFile(f)
-        assert meta.metadata.row_group(0).column(0).compression == "SNAPPY"
+        group = meta.metadata.row_group(0)
+        assert group.column(0).compression == "SNAPPY" and group.total_byte_size <= 16 << 20
+        # Only pages of the second version have delta encodings.
+        assert any("DELTA" in e for k in range(group.num_columns) for e in group.column(k).encodings)
         at = meta.read(["position", "row_idx"]).to_pydict()
         order = list(zip(at["position"], at["row_idx"], strict=True))
         assert order == sorted(order)
