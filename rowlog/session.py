@@ -16,7 +16,6 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
@@ -64,10 +63,21 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's intermediates, under the shared folder."""
+    return f"{shared_dir(spark).rstrip('/')}/rowlog-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique location under the shared folder."""
-    base = shared_dir(spark).rstrip("/")
-    return f"{base}/rowlog-{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique location in the run folder."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete the application's intermediates. For when results are written:
+    DataFrames that were returned before read some of them."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

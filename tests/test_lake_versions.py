@@ -116,3 +116,22 @@ def test_the_list_says_what_the_files_hold(spark, changes):
     row = one.first()
     back = sink.read_files(spark, root, one, whole_folders=False)
     assert (back.count(), *back.agg(F.min("position"), F.max("position")).first()) == (row["rows"], row["first_position"], row["last_position"])
+
+
+def test_intermediates_of_a_run_can_be_dropped(spark):
+    from rowlog.session import drop_scratch, run_folder, written
+
+    assert written(spark.range(3), "kept").count() == 3
+    other = spark.newSession()  # of the same application: the same folder
+    assert run_folder(other) == run_folder(spark) and manifest.names(spark, run_folder(spark))
+    import rowlog.session as session
+
+    real = session.run_folder
+    session.run_folder = lambda _: f"{real(spark)}/part"  # not those of the other tests
+    try:
+        one = written(spark.range(3), "gone")
+        assert len(manifest.names(spark, session.run_folder(spark))) == 1 and one.count() == 3
+        drop_scratch(spark)
+        assert not manifest.exists(spark, session.run_folder(spark))
+    finally:
+        session.run_folder = real

@@ -61,7 +61,7 @@ def test_scenario01_stats(spark):
     ch = build_changes(raw)
     ops = {r.table_key: (r.writes, r.updates, r.deletes, r.total) for r in stats.table_op_counts(ch).collect()}
     assert ops == {"binlogtest.customers": (2, 1, 0, 3), "binlogtest.items": (3, 1, 1, 5)}
-    cnt = {r.event_type: r.reference_count for r in stats.event_type_counts(raw, ch).collect()}
+    cnt = {r.event_type: r.reference_count for r in stats.event_type_counts(raw).collect()}
     assert cnt["EXT_WRITE_ROWS"] == 7 and cnt["EXT_UPDATE_ROWS"] == 4 and cnt["EXT_DELETE_ROWS"] == 2
     fs = stats.file_summary(raw).collect()[0]
     assert fs.merged_gtids == f"{UUID}:1-7"
