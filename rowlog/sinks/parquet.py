@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rowlog.functions.text import file_base, padded_seq, table_key, table_key_of
 from rowlog.schema import CHANGE_COLUMNS, CHANGE_SCHEMA
+from rowlog.session import INTERMEDIATE, scratch_path
 from rowlog.sinks import manifest
 
 # The reference writer's Parquet settings.
@@ -96,14 +97,15 @@ def _keep_schema(changes: DataFrame, root: str, by_file: bool) -> None:
 def write_single(changes: DataFrame, path: str, files: int | None = None) -> str:
     """All tables in one dataset, globally ordered by log order.
 
-    A range-partitioned sort writes part files whose name order is log order;
-    files=1 gives the single-file form (one task: small outputs only)."""
+    A range-partitioned sort writes part files whose name order is log order.
+    files=1 gives the single-file form: the sorted parts are written first, and
+    one task copies them in order, row by row, without a sort of its own."""
     df = lake_frame(changes).drop("table_key")
     df = df.withColumn("_ls", padded_seq("binarylog"))
     keys = ["server_id", "_ls", "binarylog", "position"] + (["row_idx"] if "row_idx" in df.columns else [])
     df = df.orderBy(*keys).drop("_ls")
     if files == 1:
-        df = df.coalesce(1)
+        df = _in_one_task(df)
     w = df.write.mode("overwrite")
     for k, v in REFERENCE_PROFILE.items():
         w = w.option(k, v)
@@ -111,6 +113,19 @@ def write_single(changes: DataFrame, path: str, files: int | None = None) -> str
     return path
 
 
+def _in_one_task(ordered: DataFrame) -> DataFrame:
+    """The rows of an ordered frame as one partition that is read, not sorted:
+    the parts are written and scanned one after the other, by name."""
+    spark, path = ordered.sparkSession, scratch_path(ordered.sparkSession, "sorted")
+    ordered.write.options(**INTERMEDIATE).parquet(path)
+    parts = [n for n in manifest.names(spark, path) if n.startswith("part-")]
+    rows = spark.createDataFrame([], ordered.schema)
+    for i, name in enumerate(parts):
+        part = spark.read.schema(ordered.schema).parquet(f"{path}/{name}")
+        rows = part if i == 0 else rows.unionByName(part)
+    return rows.coalesce(1)
+
+
 def lake_schema(by_file: bool = False):
     """Explicit read schema: partition values keep their text (no type
     inference turning `0000000008` into 8)."""

@@ -7,6 +7,7 @@ from helpers import SF, UUID, raw_df
 from checks import fixtures as fx
 from rowlog.operators import sequence
 from rowlog.plans.convert import build_changes, sequenced
+from rowlog.sinks import parquet
 
 
 def _plan(df) -> str:
@@ -58,3 +59,11 @@ def test_state_is_carried_over_some_buckets_only(spark, no_broadcast):
 def test_shuffles_grow_by_partitions(spark):
     """A join's tasks are merged from many partitions, so that their size holds."""
     assert int(spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum")) >= 1024
+
+
+def test_a_single_file_is_copied_not_sorted(spark):
+    rows = parquet._in_one_task(spark.range(0, 1000, 1, 7).orderBy("id"))
+    assert rows.rdd.getNumPartitions() == 1
+    assert not re.search(r"\b(Sort|Exchange)\b", _plan(rows))
+    assert [r.id for r in rows.collect()] == list(range(1000))
+    assert parquet._in_one_task(spark.range(0).orderBy("id")).count() == 0
