@@ -126,7 +126,7 @@ def delete_storms(
 
 def silent_tables(catalog: DataFrame, changes: DataFrame, start_ms: int, end_ms: int) -> DataFrame:
     """Tables of `catalog` (column `table`) with no change in [start, end)."""
-    active = changes.where((F.col("timestamp") >= start_ms) & (F.col("timestamp") < end_ms)).select("table")
+    active = changes.where((F.col("timestamp") >= start_ms) & (F.col("timestamp") < end_ms)).select("table").distinct()
     return catalog.select("table").distinct().join(active, "table", "left_anti")
 
 

@@ -5,7 +5,7 @@ import pytest
 from helpers import SF, UUID, raw_df
 
 from checks import fixtures as fx
-from rowlog.operators import sequence
+from rowlog.operators import sequence, workload
 from rowlog.plans.convert import build_changes, sequenced
 from rowlog.sinks import parquet
 
@@ -67,3 +67,11 @@ def test_a_single_file_is_copied_not_sorted(spark):
     assert not re.search(r"\b(Sort|Exchange)\b", _plan(rows))
     assert [r.id for r in rows.collect()] == list(range(1000))
     assert parquet._in_one_task(spark.range(0).orderBy("id")).count() == 0
+
+
+def test_silent_tables_compare_tables_not_rows(spark, no_broadcast):
+    changes = spark.createDataFrame([("a", 5), ("a", 6), ("b", 50)], "table string, timestamp long")
+    got = workload.silent_tables(spark.createDataFrame([("a",), ("b",), (None,)], "table string"), changes, 0, 10)
+    assert sorted(str(r.table) for r in got.collect()) == ["None", "b"]
+    right = got._jdf.queryExecution().optimizedPlan().toString().split("Filter")[0]
+    assert right.count("Aggregate") == 2
