@@ -75,3 +75,22 @@ def test_silent_tables_compare_tables_not_rows(spark, no_broadcast):
     assert sorted(str(r.table) for r in got.collect()) == ["None", "b"]
     right = got._jdf.queryExecution().optimizedPlan().toString().split("Filter")[0]
     assert right.count("Aggregate") == 2
+
+
+def test_an_index_sends_the_list_of_files_to_the_images(spark, no_broadcast, tmp_path, monkeypatch):
+    """However long the list is; and columns indexed one after the other are indexed as at once."""
+    from rowlog.sinks import skipping
+
+    lake, plans = str(tmp_path / "lake"), []
+    parquet.write_by_table(build_changes(fx.customer_log(spark, SF), fingerprints=False), lake, by_file=True)
+    read = type(spark.range(1).write).parquet
+    monkeypatch.setattr(type(spark.range(1).write), "parquet", lambda self, path, *a, **k: (plans.append(_plan(self._df)), read(self, path, *a, **k))[1])
+    n = skipping.index_columns(spark, lake, "shop.customer", ["c_custkey"])
+    assert n and skipping.index_columns(spark, lake, "shop.customer", ["c_custkey", "c_name"]) == n
+    for plan in plans:
+        assert plan.count("Generate explode(concat") == 1  # images are read once
+        assert "BroadcastHashJoin" in plan
+    entries = spark.read.schema(skipping.INDEX_SCHEMA).parquet(f"{lake}/_index/*")
+    assert sorted(r["count"] for r in entries.groupBy("column", "file").count().collect()) == [1] * (2 * n)
+    hit = skipping.lookup(spark, lake, "shop.customer", {"c_custkey": 5})
+    assert hit.count() == 2  # inserted, and raised
