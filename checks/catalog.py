@@ -494,10 +494,12 @@ def single_file_roundtrip(spark, sf):
 
 
 def output_audit(spark, sf):
-    from rowlog.sinks.parquet import audit_output
+    from rowlog.sinks.parquet import audit_output, write_by_table
 
-    root = _lake(spark, sf)
-    expected = ost.table_op_counts(changes_of(spark, sf, "shop", fingerprints=False)).select(
+    changes = written(changes_of(spark, sf, "shop", fingerprints=False), "changes")  # once, for the counts and for the lake
+    root = scratch_path(spark, "lake")
+    write_by_table(changes, root)
+    expected = ost.table_op_counts(changes).select(
         "table_key", F.col("total").alias("expected_rows")
     )
     return audit_output(spark, root, expected)
