@@ -258,7 +258,8 @@ def lineitem_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         _s(F.col("l_quantity").cast("long")), _s(F.round(F.col("l_extendedprice") * 100).cast("long")),
         cell_literal("l_returnflag"), cell_literal("l_linestatus"),
     )
-    r = li.select("l_orderkey", "l_shipdate", after.alias("after"), F.row_number().over(w).alias("rn"))
+    r = li.select("l_orderkey", *order_cols, F.row_number().over(w).alias("rn"))  # dealt as typed values
+    r = r.select("l_orderkey", "l_shipdate", after.alias("after"), "rn")
     ev = r.groupBy("l_orderkey").agg(
         F.array_sort(F.collect_list(F.struct("rn", "after"))).alias("_rows"),
         F.min("l_shipdate").alias("_ship"),
