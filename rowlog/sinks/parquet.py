@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rowlog.functions.text import file_base, padded_seq, table_key, table_key_of
 from rowlog.schema import CHANGE_COLUMNS, CHANGE_SCHEMA
-from rowlog.session import INTERMEDIATE, scratch_path
+from rowlog.session import INTERMEDIATE, scratch_path, written
 from rowlog.sinks import manifest
 
 # The reference writer's Parquet settings.
@@ -98,12 +98,13 @@ def write_single(changes: DataFrame, path: str, files: int | None = None) -> str
     """All tables in one dataset, globally ordered by log order.
 
     A range-partitioned sort writes part files whose name order is log order.
-    files=1 gives the single-file form: the sorted parts are written first, and
+    It reads its rows twice, first to find the ranges, so the changes are made
+    and written before it. files=1 gives the single-file form: the sorted parts are written first, and
     one task copies them in order, row by row, without a sort of its own."""
     df = lake_frame(changes).drop("table_key")
     df = df.withColumn("_ls", padded_seq("binarylog"))
     keys = ["server_id", "_ls", "binarylog", "position"] + (["row_idx"] if "row_idx" in df.columns else [])
-    df = df.orderBy(*keys).drop("_ls")
+    df = written(df, "unsorted").orderBy(*keys).drop("_ls")
     if files == 1:
         df = _in_one_task(df)
     w = df.write.mode("overwrite")
