@@ -4,7 +4,11 @@ import re
 import pytest
 from helpers import SF, UUID, raw_df
 
+from pyspark.sql import functions as F
+
 from checks import fixtures as fx
+from rowlog.functions.fingerprint import fingerprint
+from rowlog.functions.images import json_string, quoted_names
 from rowlog.operators import sequence, workload
 from rowlog.plans.convert import build_changes, sequenced
 from rowlog.sinks import parquet
@@ -94,3 +98,36 @@ def test_an_index_sends_the_list_of_files_to_the_images(spark, no_broadcast, tmp
     assert sorted(r["count"] for r in entries.groupBy("column", "file").count().collect()) == [1] * (2 * n)
     hit = skipping.lookup(spark, lake, "shop.customer", {"c_custkey": 5})
     assert hit.count() == 2  # inserted, and raised
+
+
+def test_bucket_state_takes_one_running_frame(spark):
+    """Beside the look at the next event, a bucket's state is running results
+    over one frame: what was before an event."""
+    plan = _plan(sequenced(fx.customer_log(spark, SF), store=False)).lower()
+    assert "unboundedpreceding$(), -1)" in plan
+    assert not re.search(r"_b#\w+, seq#\w+ asc nulls first, specifiedwindowframe\(rowframe, unboundedpreceding\$\(\), currentrow", plan)
+
+
+def test_a_text_goes_only_through_patterns_it_may_hold(spark):
+    texts = ["a", "a = 'x''y'", "a\t\n in\x0b( 1 , -2,3 )", "f(1 ,2) /* b */ -- c", "x = - 1 # d", "VALUES (1, 2), (3,4)", "'it\\'s', ,b", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", fingerprint("t").alias("f"))
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"CASE WHEN", plan)) >= 9  # all patterns but that of literals
+    assert [r.f for r in df.collect()] == ["a", "a = ?", "a IN (...)", "f(?, ?)", "x = ?", "VALUES (?, ?)", "?, , b", None]
+
+
+def test_names_without_escapes_are_quoted_as_they_are(spark):
+    names = [["a", "b c"], [], [""], ['q"', "x"], ['a","b'], ["n", None], [None], ["\u00e9\\", "/", "\t"], None]
+    df = spark.createDataFrame([(n,) for n in names], "n array<string>")
+    got = df.select(quoted_names("n").alias("q"), F.transform("n", lambda n: json_string(n)).alias("w"))
+    assert "array_join" in got._jdf.queryExecution().optimizedPlan().toString()
+    assert all(r.q == r.w for r in got.collect())
+
+
+def test_a_sorted_output_makes_its_changes_once(spark, tmp_path, monkeypatch):
+    """A range-partitioned sort reads its rows twice: written ones, then."""
+    plans, write = [], type(spark.range(1).write).parquet
+    monkeypatch.setattr(type(spark.range(1).write), "parquet", lambda self, path, *a, **k: (plans.append(_plan(self._df)), write(self, path, *a, **k))[1])
+    parquet.write_single(build_changes(fx.customer_log(spark, SF), fingerprints=False), str(tmp_path / "one"))
+    assert "rangepartitioning" in plans[-1] and "Join" not in plans[-1] and "Generate" not in plans[-1]
+    assert spark.read.parquet(str(tmp_path / "one")).count() == 180
