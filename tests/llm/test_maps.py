@@ -47,6 +47,17 @@ def test_token_counts_equal_the_library(spark, all_texts, empty):
     assert token_counts.token_counts(empty, path).count() == 0
 
 
+def test_the_table_holds_what_is_frequent_in_all_texts(spark):
+    """Not in a sample: 6,000 texts, of which the last 12 alone hold the commonest pre-token."""
+    path = tokenizer_path("byte_bpe_50k.json")
+    rows = [(i, "rare" if i % 2 else "seldom") for i in range(5988)] + [(i, " mostly" * 1000) for i in range(5988, 6000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    for held in (1, 200_000):
+        assert list(token_counts.frequent(df, path, 1, held)) == [" mostly"]
+        assert token_counts.frequent(df, path, 2, held) == {" mostly": 1, "rare": 2}  # as often as `seldom`
+    assert {r.n_misses for r in token_counts.token_counts(df, path, table_size=3).collect()} == {0}
+
+
 ITEMS = [(1, "Alpha, beta GAMMA delta"), (2, "the quick brown fox jumps over the lazy dog again and again"), (3, None), (4, "..."), (5, "Ünï çõdé"), (6, "alpha beta gamma delta"), (7, "word " * 12)]
 
 
