@@ -131,3 +131,27 @@ def test_a_sorted_output_makes_its_changes_once(spark, tmp_path, monkeypatch):
     parquet.write_single(build_changes(fx.customer_log(spark, SF), fingerprints=False), str(tmp_path / "one"))
     assert "rangepartitioning" in plans[-1] and "Join" not in plans[-1] and "Generate" not in plans[-1]
     assert spark.read.parquet(str(tmp_path / "one")).count() == 180
+
+
+def _tasks(spark, group, job):
+    """The most tasks that a stage of the job's has."""
+    sc = spark.sparkContext
+    sc.setJobGroup(group, group)
+    try:
+        job()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    return max(tracker.getStageInfo(s).numTasks for s in stages if tracker.getStageInfo(s))
+
+
+def test_folders_of_logs_are_listed_by_few_tasks(spark, tmp_path):
+    """A lake of 180 logs: a task lists many folders, both to commit and to read."""
+    logs = build_changes(fx.customer_log(spark, SF), fingerprints=False).withColumn("binarylog", F.format_string("cust-bin.%06d", "position"))
+    lake = str(tmp_path / "lake")
+    most = _tasks(spark, "write", lambda: parquet.write_by_table(logs.coalesce(8), lake, by_file=True))
+    assert most <= 96
+    assert _tasks(spark, "read", lambda: parquet.read_lake(spark, lake, by_file=True)) <= 96
+    back = parquet.read_lake(spark, lake, by_file=True)
+    assert back.count() == 180 and back.select("log_seq").distinct().count() == 180
