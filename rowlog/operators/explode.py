@@ -18,23 +18,28 @@ from rowlog.functions.time import typed_instant
 W, U, D = "EXT_WRITE_ROWS", "EXT_UPDATE_ROWS", "EXT_DELETE_ROWS"
 
 
-def explode_rows(events: DataFrame, strict: bool = False) -> DataFrame:
-    """One row per row image of each row event, in event order (`row_idx`).
-
-    `events` are row events carrying the sequencing columns, the resolved table
-    map (db, tbl, column_names), `last_query` (with query_fingerprint and
-    query_hash, if wanted) and `rows`. Empty row arrays emit nothing.
-    Per-event work (key quoting, the all-columns list) happens before the
-    explode, so it runs once per event, not once per row.
-    """
-    ev = events.select(
+def with_names(events: DataFrame) -> DataFrame:
+    """Attach what the images of an event have in common (quoted keys, the
+    all-columns list, the table): before its images are, so it is made once per
+    event, not once per row."""
+    return events.select(
         "*",
         quoted_names("column_names").alias("_qn"),
         all_columns("column_names").alias("_all"),
         qualified_table("db", "tbl").alias("_table"),
     )
-    ex = ev.select("*", F.posexplode("rows").alias("row_idx", "_r")).drop("rows")
-    b, a = F.col("_r.before"), F.col("_r.after")
+
+
+def image_rows(ex: DataFrame, strict: bool = False) -> DataFrame:
+    """The changes: one row per row image of each row event, numbered in event
+    order (`row_idx`).
+
+    `ex` are the images (`image`, `row_idx`) of row events carrying the
+    sequencing columns, the resolved table map (db, tbl, column_names) and what
+    `with_names` makes of it, and `last_query` (with query_fingerprint and
+    query_hash, if wanted).
+    """
+    b, a = F.col("image.before"), F.col("image.after")
     et = F.col("event_type")
     if strict:
         check = F.when(
@@ -42,14 +47,14 @@ def explode_rows(events: DataFrame, strict: bool = False) -> DataFrame:
             F.raise_error(F.lit("update row images differ in length")),
         )
         b = F.coalesce(check.cast("array<string>"), b)
-    ex = ex.withColumn("_idx", F.when(et == U, changed_index(b, a)))
+    one = ex.withColumn("_idx", F.when(et == U, changed_index(b, a)))
     named = F.col("column_names").isNotNull()
     data = F.when(named, F.when(et == D, row_image("_qn", b)).otherwise(row_image("_qn", a)))
     old = F.when(named & et.isin(U, D), row_image("_qn", b))
     changed = F.when(named & (et == U), row_diff("_qn", b, a, "_idx"))
     columns = F.when(named, F.when(et == U, changed_columns("column_names", "_idx")).otherwise(F.col("_all")))
     g = F.col("txn_gtid")
-    out = ex.select(
+    return one.select(
         F.col("binarylog"),
         F.col("position"),
         F.col("txn_position").alias("gtid_position"),
@@ -62,7 +67,7 @@ def explode_rows(events: DataFrame, strict: bool = False) -> DataFrame:
         et.alias("event"),
         F.col("_table").alias("table"),
         F.col("last_query").alias("query"),
-        *(F.col(c) if c in events.columns else F.lit(None).cast("string").alias(c) for c in ("query_fingerprint", "query_hash")),
+        *(F.col(c) if c in ex.columns else F.lit(None).cast("string").alias(c) for c in ("query_fingerprint", "query_hash")),
         data.alias("data"),
         old.alias("old"),
         changed.alias("changed"),
@@ -72,4 +77,3 @@ def explode_rows(events: DataFrame, strict: bool = False) -> DataFrame:
         F.col("segment"),
         (F.col("rows_before") + F.col("row_idx") + 1).alias("counter"),
     )
-    return out

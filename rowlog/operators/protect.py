@@ -35,7 +35,7 @@ def filter_tables(df: DataFrame, allow=None, deny=None, regex: bool = False) ->
 
 
 def redact_rows(events: DataFrame, policy: dict) -> DataFrame:
-    """Apply a redaction policy to row events before images are built.
+    """Apply a redaction policy to the images of row events before their JSON is built.
 
     policy: {"db.table": {"column": "hash" | "null" | "drop"}}. "hash"
     replaces the cell by the JSON string of its SHA-256, "null" by JSON null,
@@ -47,7 +47,6 @@ def redact_rows(events: DataFrame, policy: dict) -> DataFrame:
         return events
     table = F.concat(F.col("db"), F.lit("."), F.col("tbl"))
     names = F.col("column_names")
-    rows = F.col("rows")
     new_names = names
     for t, cols in policy.items():
         drops = [c for c, a in cols.items() if a == "drop"]
@@ -69,8 +68,8 @@ def redact_rows(events: DataFrame, policy: dict) -> DataFrame:
             out = F.when(table == t, t_cells).otherwise(out)
         return out
 
-    new_rows = F.transform(rows, lambda r: F.struct(fix(r["before"]).alias("before"), fix(r["after"]).alias("after")))
-    events = events.withColumn("rows", new_rows).withColumn("column_names", new_names)
+    image = F.struct(fix(F.col("image.before")).alias("before"), fix(F.col("image.after")).alias("after"))
+    events = events.withColumns({"image": image, "column_names": new_names})
     if "last_query" in events.columns:
         shape = F.col("query_fingerprint") if "query_fingerprint" in events.columns else fingerprint("last_query")
         events = events.withColumn("last_query", shape)

@@ -230,9 +230,13 @@ def _place(seq: str) -> Column:
 
 
 def with_images(seq: DataFrame, raw: DataFrame) -> DataFrame:
-    """Attach the row images of each row event. `seq` is `by_place`."""
-    images = raw.where(F.col("event_type").isin(*ROW_EVENT_TYPES)).select(*FILE, _place("seq").alias("_place"), "seq", "rows")
-    return seq.join(images, [*FILE, "_place", "seq"], "inner")
+    """One row for each row image (`image`, numbered `row_idx`) of each row
+    event; events without images give none. `seq` is `by_place`. The images of
+    an event are taken apart before they move: where only the rows are wanted,
+    as for counts, their cells stay behind."""
+    images = raw.where(F.col("event_type").isin(*ROW_EVENT_TYPES)).select(
+        *FILE, _place("seq").alias("_place"), "seq", F.posexplode("rows").alias("row_idx", "image"))
+    return seq.join(images, [*FILE, "_place", "seq"], "inner").drop("_place")
 
 
 def outside_texts(seq: DataFrame) -> DataFrame:
@@ -250,7 +254,8 @@ def with_query_text(
     """Attach the SQL text that `query_seq` points to (`last_query`), and with
     fingerprints its shape and hash, computed once for each SQL-text event and
     place. Texts are joined in the place of the rows that point to them;
-    `outside_texts` (which `outside` gives, if they are known) are copied."""
+    `outside_texts` (which `outside` gives, if they are known) are copied.
+    The rows keep their `_place`."""
     if "_place" not in seq.columns:
         seq = seq.withColumn("_place", _place("seq"))
     texts = raw.where(_is("ROWS_QUERY")).select(*FILE, F.col("seq").alias("query_seq"), F.col("query").alias("last_query"))
@@ -263,7 +268,7 @@ def with_query_text(
         texts = texts.select(*FILE, "query_seq", "last_query", F.explode(every).alias("_place"))
     if fingerprints:
         texts = texts.withColumn("query_fingerprint", fingerprint("last_query")).withColumn("query_hash", query_hash("query_fingerprint"))
-    return seq.join(texts, [*FILE, "_place", "query_seq"], "left").drop("_place")
+    return seq.join(texts, [*FILE, "_place", "query_seq"], "left")
 
 
 def resolve_table_maps(seq: DataFrame, raw: DataFrame, missing: str = "fail") -> DataFrame:

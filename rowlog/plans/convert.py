@@ -8,9 +8,9 @@ Plan shape:
     row events of the sequence
         + table map on (file, segment, table id)
         dealt by (file, place), a range of numbers
-        + row images on (file, place, seq)
         + SQL text and fingerprint on (file, place, query_seq)
-        -> posexplode + JSON image/diff expressions -> changes
+        + row images, one row each, on (file, place, seq)
+        -> JSON image/diff expressions -> changes
 
 Only narrow rows are sorted. The raw events are read once for the narrow
 columns; images, table maps and SQL texts are disjoint columns of disjoint
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from rowlog.functions.text import qualified_table, table_key
-from rowlog.operators.explode import explode_rows
+from rowlog.operators.explode import image_rows, with_names
 from rowlog.operators.protect import redact_rows
 from rowlog.operators.sequence import DEFAULT_BUCKET, by_place, outside_texts, resolve_table_maps, sequence_events, with_images, with_query_text
 from rowlog.operators.stats import event_type_counts, file_summary, table_op_counts
@@ -64,14 +64,16 @@ def build_changes(
     while this is called; `seq` gives one that is there already."""
     if seq is None:
         seq = sequenced(raw, method, bucket_size, query_scope, gate, store)
-    joined = with_images(by_place(resolve_table_maps(seq, raw, missing)), raw)
+    rows = by_place(resolve_table_maps(seq, raw, missing))
     outside = outside_texts(seq.where(F.col("event_type").isin(*ROW_EVENT_TYPES)))
     if store:
         outside = written(outside, "outside-texts")
-    joined = with_query_text(joined, raw, fingerprints, outside, all_inside=store and outside.isEmpty())
-    if redact:
-        joined = redact_rows(joined, redact)
-    return explode_rows(joined, strict=strict)
+    rows = with_query_text(rows, raw, fingerprints, outside, all_inside=store and outside.isEmpty())
+    if redact:  # the policy may change the names
+        rows = with_names(redact_rows(with_images(rows, raw), redact))
+    else:
+        rows = with_images(with_names(rows), raw)
+    return image_rows(rows, strict=strict)
 
 
 @dataclass

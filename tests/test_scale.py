@@ -155,3 +155,27 @@ def test_folders_of_logs_are_listed_by_few_tasks(spark, tmp_path):
     assert _tasks(spark, "read", lambda: parquet.read_lake(spark, lake, by_file=True)) <= 96
     back = parquet.read_lake(spark, lake, by_file=True)
     assert back.count() == 180 and back.select("log_seq").distinct().count() == 180
+
+
+def test_counts_leave_the_cells_of_images_behind(spark):
+    """Where no image is wanted, none moves: its rows do."""
+    changes = build_changes(fx.lineitem_log(spark, SF), fingerprints=False)
+
+    def moved(df):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        return [line for line in plan.splitlines() if re.search(r"Project .* AS _place#", line) and "image#" in line]
+
+    assert moved(changes) and not moved(workload.table_event_counts(changes))
+    lines = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    assert [tuple(r) for r in workload.table_event_counts(changes).collect()] == [("shop.lineitem", "EXT_WRITE_ROWS", lines)]
+
+
+def test_images_of_events_with_one_number(spark):
+    """Each of two events that share a number meets the images of both; null and empty arrays give no rows."""
+    m = {"t": "TABLE_MAP", "table_id": 5, "db": "d", "tbl": "t", "cols": ["v"]}
+    w = {"t": "EXT_WRITE_ROWS", "table_id": 5}
+    ev = [{"t": "GTID", "gtid": f"{UUID}:1"}, m, {**w, "rows": [(None, ["1"]), (None, ["2"])]}, {**w, "rows": [(None, ["3"])], "seq": 2},
+          {**w, "rows": []}, w, {**w, "rows": [(None, ["4"]), (None, None)]}]
+    got = build_changes(raw_df(spark, ev)).select("seq", "row_idx", "data").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(2, 0, '{"v":1}'), (2, 1, '{"v":2}'), (2, 0, '{"v":3}')] * 2 + [(6, 0, '{"v":4}'), (6, 1, None)], key=str)
